@@ -181,17 +181,24 @@ def bronze_checks(df: DataFrame, declared: StructType, table: str, min_rows: int
 
 def history_checks(versions: DataFrame, natural: str, table: str, surrogate: str,
                    effective: str = "effective_date", expiry: str = "expiry_date", layer: str = "history") -> DataFrame:
-    """One current row per key, open end iff current, ascending and non-overlapping ranges."""
-    w = Window.partitionBy(natural).orderBy(effective, surrogate)
-    tagged = versions.select(
-        natural, "is_current", expiry, effective,
-        F.lead(effective).over(w).alias("next_eff"),
-        F.lag(surrogate).over(w).alias("prev_key"), F.col(surrogate).alias("this_key"))
-    per_key = tagged.groupBy(natural).agg(
+    """One current row per key, open end iff current, ascending and non-overlapping ranges.
+
+    Versions are folded to one row per key and start day first, so the calendar bounds a key.
+    """
+    per_day = versions.groupBy(natural, effective).agg(
+        F.count(F.lit(1)).alias("n"),
         F.count_if("is_current").alias("current_rows"),
         F.count_if(F.col("is_current") != F.col(expiry).isNull()).alias("open_mismatch"),
-        F.count_if(F.col("next_eff") <= F.col(expiry)).alias("overlaps"),
-        F.count_if(F.col("prev_key") > F.col("this_key")).alias("disorder"))
+        F.max(expiry).alias("ends"), F.min(surrogate).alias("low"), F.max(surrogate).alias("high"))
+    w = Window.partitionBy(natural).orderBy(effective)
+    chained = per_day.withColumns({
+        "next_start": F.lead(effective).over(w), "previous_high": F.lag("high").over(w)})
+    per_key = chained.groupBy(natural).agg(
+        F.sum("current_rows").alias("current_rows"),
+        F.sum("open_mismatch").alias("open_mismatch"),
+        F.sum(F.col("n") - 1 + F.coalesce(F.col("next_start") <= F.col("ends"), F.lit(False)).cast("bigint")
+              ).alias("overlaps"),
+        F.count_if(F.col("previous_high") > F.col("low")).alias("disorder"))
     total = per_key.agg(
         F.count_if(F.col("current_rows") != 1).alias("current_rows"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("open_mismatch", "overlaps", "disorder")])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..functions import fixed_values as fixed
+from ..functions.columns import code_map
 
 
 def prefix_sum(df: DataFrame, value: str, out: str, keys: list[str], levels: dict[str, Column],
@@ -48,6 +49,33 @@ def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+def with_previous(df: DataFrame, columns: list[str], keys: list[str], levels: dict[str, Column],
+                  order_by: list[str]) -> DataFrame:
+    """Add prev_<column>: the values of the key's row before, hot keys split by level.
+
+    Levels and order as in `prefix_sum`. The first row of a slice looks back at the last row
+    of the nearest earlier slice, of which only one row per slice is kept.
+    """
+    names = list(levels)
+    tagged = df.withColumns(levels)
+    taken = F.struct(*[F.col(c).alias(c) for c in columns])
+    order = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
+    slices = (
+        tagged.filter(_all([F.col(c).isNotNull() for c in keys + names]))
+        .groupBy(*keys, *names).agg(F.max(F.struct(order.alias("o"), taken.alias("t"))).alias("__last"))
+        .withColumn("__before", F.lag("__last.t").over(Window.partitionBy(*keys).orderBy(*names)))
+        .select(*[F.col(c).alias(f"__of_{c}") for c in keys + names], "__before")
+    )
+    within = Window.partitionBy(*keys, *names).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+    local = tagged.withColumns({
+        "__first": F.row_number().over(within) == 1, "__inside": F.lag(taken).over(within)})
+    same_slice = _all([F.col(c) == F.col(f"__of_{c}") for c in keys + names])
+    prev = F.when(F.col("__first"), F.col("__before")).otherwise(F.col("__inside"))
+    return local.join(slices, same_slice, "left").withColumn("__prev", prev).select(
+        *df.columns, *[F.col(f"__prev.{c}").alias(f"prev_{c}") for c in columns],
+        F.col("__prev").isNotNull().alias("has_previous"))
+
+
 def day_levels(key: str = "date_key") -> dict[str, Column]:
     """Levels of an integer YYYYMMDD day key."""
     return {"__year": dates.key_year(key), "__month": dates.key_month(key), "__day": F.col(key)}
@@ -66,17 +94,16 @@ def number_levels(key: str, width: int = 4096) -> dict[str, Column]:
     }
 
 
-def magnitude_levels(value: str) -> dict[str, Column]:
-    """Levels that put larger positive values first, for ranked running sums.
+def magnitude_levels(value: str, descending: bool = True) -> dict[str, Column]:
+    """Levels of a measure ordered by size, for ranked running sums.
 
     The coarse level is the power of two, the fine one 1024 steps within it.
     """
     v = F.greatest(F.col(value).cast("double"), F.lit(1e-9))
     power = F.floor(F.log2(v))
-    return {
-        "__power": -power,
-        "__step_of_power": -F.floor(v / F.pow(F.lit(2.0), power) * 1024),
-    }
+    step = F.floor(v / F.pow(F.lit(2.0), power) * 1024)
+    sign = F.lit(-1 if descending else 1)
+    return {"__power": power * sign, "__step": step * sign}
 
 
 def running_balance(events: DataFrame, key: str = "customer_key", day: str = "date_key",
@@ -99,32 +126,32 @@ def one_per_day(versions: DataFrame, key: str, effective: str, tie: str) -> Data
         *[(F.col(c) if c in (key, effective) else F.col(f"__top.{c}")).alias(c) for c in versions.columns])
 
 
-def changed_rows(df: DataFrame, key: str, order_by: str, tracked: list[str]) -> DataFrame:
-    """Rows whose tracked columns differ (null-safe) from the key's previous row."""
-    w = Window.partitionBy(key).orderBy(order_by)
-    first = F.row_number().over(w) == 1
-    same = None
-    for c in tracked:
-        eq = F.col(c).eqNullSafe(F.lag(c).over(w))
-        same = eq if same is None else same & eq
-    return df.withColumn("__new", first | ~same).filter("__new").drop("__new")
+def changed_rows(df: DataFrame, key: str, order_by: str, tracked: list[str],
+                 levels: dict[str, Column] | None = None) -> DataFrame:
+    """Rows whose tracked columns differ (null-safe) from the key's previous row.
+
+    `order_by` must be unique per key; by default it is its own level.
+    """
+    prev = with_previous(df, tracked, [key], levels or {"__slice": F.col(order_by)}, [order_by])
+    same = _all([F.col(c).eqNullSafe(F.col(f"prev_{c}")) for c in tracked])
+    return prev.filter(~F.col("has_previous") | ~same).select(*df.columns)
 
 
 def tier_upgrades(versions: DataFrame, key: str = "customer_id", effective: str = "effective_date",
-                  tier: str = "loyalty_tier", ranks: dict[str, int] | None = None) -> DataFrame:
+                  tier: str = "loyalty_tier", surrogate: str = "customer_key",
+                  ranks: dict[str, int] | None = None) -> DataFrame:
     """Versions whose tier ranks above the previous version's; unknown tiers rank 0."""
-    from ..functions.columns import code_map
-
     ranks = ranks or fixed.TIER_RANK
-    w = Window.partitionBy(key).orderBy(effective)
-    return (
-        versions.withColumn("prev_tier", F.lag(tier).over(w))
-        .filter(F.col("prev_tier").isNotNull() & (code_map(tier, ranks, 0) > code_map("prev_tier", ranks, 0)))
-    )
+    prev = with_previous(versions, [tier], [key], {"__slice": F.col(effective)}, [surrogate])
+    rose = code_map(tier, ranks, 0) > code_map(f"prev_{tier}", ranks, 0)
+    return prev.filter(F.col(f"prev_{tier}").isNotNull() & rose).drop("has_previous")
 
 
 def version_chain(versions: DataFrame, key: str, effective: str = "effective_date") -> DataFrame:
-    """Add expiry_date (day before the next version, NULL if open) and is_current."""
+    """Add expiry_date (day before the next version, NULL if open) and is_current.
+
+    Expects one version per key and day (`one_per_day`).
+    """
     nxt = F.lead(effective).over(Window.partitionBy(key).orderBy(effective))
     return versions.withColumn("expiry_date", F.date_sub(nxt, 1)).withColumn(
         "is_current", F.col("expiry_date").isNull())
@@ -195,5 +222,5 @@ def falling_watermarks(runs: DataFrame, table: str = "table_name", order_by: str
 
 def out_of_order_versions(versions: DataFrame, key: str, surrogate: str, effective: str = "effective_date") -> DataFrame:
     """Versions that start before the version with the next lower surrogate key."""
-    w = Window.partitionBy(key).orderBy(surrogate)
-    return versions.withColumn("previous", F.lag(effective).over(w)).filter(F.col(effective) < F.col("previous"))
+    prev = with_previous(versions, [effective], [key], {"__slice": F.floor(F.col(surrogate) / 4096)}, [surrogate])
+    return prev.filter(F.col(effective) < F.col(f"prev_{effective}")).drop("has_previous")

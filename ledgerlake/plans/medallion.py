@@ -56,17 +56,24 @@ def run_load(spark: SparkSession, raw: dict[str, DataFrame], silver_db: str, gol
     """Load every given entity to silver, then publish it to gold.
 
     Entities do not depend on each other, so their jobs are submitted side by side and
-    share the cluster. Dimensions are published before facts.
+    share the cluster. Dimensions are published before facts, facts only for the months that
+    the raw rows touch.
     """
     specs = [SPECS[name] for name in raw]
     silver = _side_by_side(lambda s: load_silver(spark, s, raw[s.name], silver_db), specs)
     dims = [s for s in specs if not s.is_fact]
     facts = [s for s in specs if s.is_fact]
     gold = _side_by_side(lambda s: publish_gold(spark, s, silver_db, gold_db), dims)
-    gold |= _side_by_side(lambda s: publish_gold(spark, s, silver_db, gold_db), facts)
+    gold |= _side_by_side(
+        lambda s: publish_gold(spark, s, silver_db, gold_db, _months(raw[s.name])), facts)
     return {"silver": silver, "gold": gold}
 
 
+def _months(raw: DataFrame) -> list[int]:
+    """Months present in raw facts: partition values, not rows."""
+    return [r[0] for r in raw.select(month_key("date_key").alias("m")).distinct().collect()]
+
+
 def checkpoint_results(spark: SparkSession, silver_db: str, gold_db: str, as_of: date,
                        tables: list[str] | None = None) -> DataFrame:
     """All checks of the star: keys, silver/gold sync, foreign keys, freshness.
