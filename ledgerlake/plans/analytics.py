@@ -413,15 +413,19 @@ def sell_through(sold: DataFrame, received: DataFrame, key: str) -> DataFrame:
                     ratio(units, units + F.col("units_on_hand")).alias("sell_through"))
 
 
-def size_bracketing(sales: DataFrame, returned_lines: DataFrame, size: str = "size", style: str = "style_code") -> DataFrame:
+def mark_returned(sales: DataFrame, returns: DataFrame) -> DataFrame:
+    """Sale lines with is_returned, by sale key."""
+    back = returns.select("sale_key", F.lit(True).alias("__back")).distinct()
+    return sales.join(back, "sale_key", "left").withColumn("is_returned", F.coalesce("__back", F.lit(False))).drop("__back")
+
+
+def size_bracketing(lines: DataFrame, size: str = "size", style: str = "style_code") -> DataFrame:
     """Orders with two or more sizes of a style, and how many of their extra lines come back.
 
-    The smallest size is the one kept; the others are the bracket.
+    Lines carry is_returned. The smallest size is the one kept; the others are the bracket.
     """
-    lines = sales.select("order_id", style, size, "sale_key").join(
-        returned_lines.select("sale_key", F.lit(True).alias("back")).distinct(), "sale_key", "left")
     per_size = lines.groupBy("order_id", style, size).agg(
-        count().alias("n"), F.count_if("back").alias("back"))
+        count().alias("n"), F.count_if("is_returned").alias("back"))
     per_style = per_size.groupBy("order_id", style).agg(
         count().alias("sizes"), F.sum("n").alias("n"), F.sum("back").alias("back"),
         F.min(F.struct(size, "n", "back")).alias("kept"))
@@ -468,10 +472,11 @@ def before_after(sales: DataFrame, launches: DataFrame, days: int = 90) -> DataF
         F.sum(amount("net_amount")).alias("net"))
     j = per_day.join(launches.select("store_key", "launch_date"), "store_key")
     off = F.datediff(dates.key_to_date("date_key"), F.col("launch_date"))
-    return j.groupBy("store_key").agg(
-        F.coalesce(F.sum(F.when(off.between(-days, -1), F.col("net"))), F.lit(0)).cast("double").alias("net_before"),
-        F.coalesce(F.sum(F.when(off.between(0, days - 1), F.col("net"))), F.lit(0)).cast("double").alias("net_after"),
-    ).withColumn("change", ratio(F.col("net_after") - F.col("net_before"), "net_before"))
+    g = j.groupBy("store_key").agg(
+        F.coalesce(F.sum(F.when(off.between(-days, -1), F.col("net"))), F.lit(0)).alias("a"),
+        F.coalesce(F.sum(F.when(off.between(0, days - 1), F.col("net"))), F.lit(0)).alias("b"))
+    return g.select("store_key", F.col("a").cast("double").alias("net_before"), F.col("b").cast("double").alias("net_after"),
+                    ratio(F.col("b") - F.col("a"), "a").alias("change"))
 
 
 def event_lift(daily: DataFrame, event_days: DataFrame, keys: list[str], measure: str) -> DataFrame:

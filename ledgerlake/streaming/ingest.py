@@ -45,12 +45,12 @@ def dedupe_stream(stream: DataFrame, ts: str, keys: list[str],
 
     The watermark bounds the state: keys are forgotten once the window has passed.
     """
-    return stream.withWatermark(ts, within).dropDuplicatesWithinWatermark(keys)
+    return _event_time(stream, ts).withWatermark(ts, within).dropDuplicatesWithinWatermark(keys)
 
 
 def hourly_counts(df: DataFrame, ts: str, by: list[str] | None = None, watermark: str | None = None) -> DataFrame:
     """Rows per tumbling hour; works on a table and, with a watermark, on a stream."""
-    timed = df.withWatermark(ts, watermark) if watermark else df
+    timed = _event_time(df, ts).withWatermark(ts, watermark) if watermark else df
     return (
         timed.groupBy(F.window(ts, "1 hour").alias("w"), *(by or []))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -64,3 +64,8 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
         stream.writeStream.format("parquet").option("path", path)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def _event_time(df: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need an instant; zone-less times are read in the session's zone."""
+    return df.withColumn(ts, F.col(ts).cast("timestamp"))
