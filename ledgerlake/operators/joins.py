@@ -34,26 +34,27 @@ def without_current(source: DataFrame, current: DataFrame, keys: list[str]) -> D
     return source.join(current.select(*keys), keys, "left_anti")
 
 
-def version_ranges(versions: DataFrame, key: str, effective: str, tie: str) -> DataFrame:
+def version_ranges(versions: DataFrame, key: str, effective: str, tie: str | None) -> DataFrame:
     """Half-open validity [effective, next_effective) per version; one version per key and day."""
     from .windows import one_per_day
 
-    single = one_per_day(versions, key, effective, tie)
+    single = one_per_day(versions, key, effective, tie) if tie else versions
     nxt = F.lead(effective).over(Window.partitionBy(key).orderBy(effective))
     return single.withColumn("next_effective", nxt)
 
 
-def as_of_join(facts: DataFrame, versions: DataFrame, key: str, day: str, effective: str, tie: str,
-               take: list[str], horizon: Column | None = None) -> DataFrame:
+def as_of_join(facts: DataFrame, versions: DataFrame, key: str, day: str, effective: str, take: list[str],
+               tie: str | None = None, horizon: Column | None = None) -> DataFrame:
     """Each fact with the version of its key valid on its day; earlier facts get NULLs.
 
-    Two versions on one day: the higher `tie` wins. A fact meets only the version that
-    covers its calendar month, so both sides are matched on (key, month): a hot key is
-    spread over its months and a fact is not compared with its key's whole history.
-    `horizon` is the last day any fact may carry; by default it is read from the facts.
+    Of two versions on one day the higher `tie` wins; without `tie`, versions hold one row
+    per key and day. A fact meets only the version that covers its calendar month, so both
+    sides are matched on (key, month): a hot key is spread over its months and a fact is not
+    compared with its key's whole history. `horizon` is the last day any fact may carry; by
+    default it is read from the facts.
     """
-    ranges = version_ranges(versions.select(key, effective, tie, *[c for c in take if c != tie]),
-                            key, effective, tie)
+    needed = list(dict.fromkeys([key, effective, *([tie] if tie else []), *take]))
+    ranges = version_ranges(versions.select(*needed), key, effective, tie)
     if horizon is None:
         horizon = facts.agg(F.max(day).cast("date")).scalar()
     ranges = ranges.withColumn("__horizon", horizon)
@@ -77,13 +78,14 @@ def as_of_join(facts: DataFrame, versions: DataFrame, key: str, day: str, effect
 
 
 def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, day: str, take: list[str],
-                       surrogate: str, effective: str = "effective_date", horizon: Column | None = None) -> DataFrame:
+                       tie: str | None = None, effective: str = "effective_date",
+                       horizon: Column | None = None) -> DataFrame:
     """Late facts get the attributes valid on their own day, not today's.
 
     The inclusive effective/expiry ranges of a version table tile each key's history, so
     the version valid on a day is the latest one that has started.
     """
-    return as_of_join(facts, versions, key, day, effective, surrogate, take, horizon)
+    return as_of_join(facts, versions, key, day, effective, take, tie, horizon)
 
 
 def current_lookup(facts: DataFrame, dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
@@ -180,6 +182,7 @@ def connected_identities(edges: DataFrame, left: str, right: str, max_rounds: in
     Each round is checkpointed, so lineage stays short and lost executors cost one round.
     """
     from ..sources.scratch import ensure_checkpoint_dir
+    from .compare import row_differences
 
     ensure_checkpoint_dir(edges.sparkSession)
     a, b = F.col(left), F.col(right)
@@ -189,20 +192,15 @@ def connected_identities(edges: DataFrame, left: str, right: str, max_rounds: in
     for _ in range(max_rounds):
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
-            both.join(low, "u").filter(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
-        lowest = down.groupBy("u").agg(F.min("v").alias("m"))
+        large = both.join(low, "u").filter(F.col("v") > F.col("u")).select(
+            F.col("v").alias("u"), F.col("m").alias("v"))
+        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            down.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(lowest.select("u", F.col("m").alias("v")))
             .filter("u <> v").distinct()
         ).checkpoint()
-        settled = (
-            small.exceptAll(pairs).isEmpty() and pairs.exceptAll(small).isEmpty()
-        )
+        settled = row_differences(small, pairs).isEmpty()
         pairs = small
         if settled:
             break

@@ -31,12 +31,9 @@ def prefix_sum(df: DataFrame, value: str, out: str, keys: list[str], levels: dic
     names = list(levels)
     tagged = df.withColumns(levels)
     placed = [F.col(c).isNotNull() for c in keys + names]
-    everything_before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        tagged.filter(_all(placed)).groupBy(*keys, *names).agg(F.sum(value).alias("__total"))
-        .withColumn("__offset", F.coalesce(F.sum("__total").over(everything_before), F.lit(0)))
-        .select(*[F.col(c).alias(f"__of_{c}") for c in keys + names], "__offset")
-    )
+    slices = tagged.filter(_all(placed)).groupBy(*keys, *names).agg(F.sum(value).alias("__total"))
+    offsets = _slice_offsets(slices, keys, names).select(
+        *[F.col(c).alias(f"__of_{c}") for c in keys + names], "__offset")
     order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
     within = Window.partitionBy(*keys, *names).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = tagged.withColumn("__local", F.coalesce(F.sum(value).over(within), F.lit(0)))
@@ -45,6 +42,28 @@ def prefix_sum(df: DataFrame, value: str, out: str, keys: list[str], levels: dic
         *df.columns, (F.col("__offset") + F.col("__local")).alias(out))
 
 
+def _slice_offsets(slices: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Sum of all earlier slices of the same key.
+
+    Without a key all slices form one order. Then blocks (the coarsest level) are summed and
+    ordered first, and slices only within their block.
+    """
+    def before(group: list[str], order: list[str]) -> Column:
+        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("__total").over(w), F.lit(0))
+
+    if keys or len(names) == 1:
+        return slices.withColumn("__offset", before(keys, names))
+    block = names[0]
+    blocks = (
+        slices.groupBy(block).agg(F.sum("__total").alias("__total"))
+        .select(F.col(block).alias("__block_id"), before([], [block]).alias("__above"))
+    )
+    inner = slices.withColumn("__inside", before([block], names[1:]))
+    return inner.join(blocks, F.col(block) == F.col("__block_id")).withColumn(
+        "__offset", F.col("__above") + F.col("__inside"))
+
+
 def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
@@ -126,15 +145,15 @@ def one_per_day(versions: DataFrame, key: str, effective: str, tie: str) -> Data
         *[(F.col(c) if c in (key, effective) else F.col(f"__top.{c}")).alias(c) for c in versions.columns])
 
 
-def changed_rows(df: DataFrame, key: str, order_by: str, tracked: list[str],
-                 levels: dict[str, Column] | None = None) -> DataFrame:
+def changed_rows(df: DataFrame, key: str, order_by: str, tracked: list[str]) -> DataFrame:
     """Rows whose tracked columns differ (null-safe) from the key's previous row.
 
-    `order_by` must be unique per key; by default it is its own level.
+    Expects one row per key and day (or month), which bounds a key's window by the calendar.
     """
-    prev = with_previous(df, tracked, [key], levels or {"__slice": F.col(order_by)}, [order_by])
-    same = _all([F.col(c).eqNullSafe(F.col(f"prev_{c}")) for c in tracked])
-    return prev.filter(~F.col("has_previous") | ~same).select(*df.columns)
+    w = Window.partitionBy(key).orderBy(order_by)
+    same = _all([F.col(c).eqNullSafe(F.lag(c).over(w)) for c in tracked])
+    first = F.row_number().over(w) == 1
+    return df.withColumn("__changed", first | ~same).filter("__changed").drop("__changed")
 
 
 def tier_upgrades(versions: DataFrame, key: str = "customer_id", effective: str = "effective_date",

@@ -41,7 +41,7 @@ FROM o GROUP BY 1, 2""")
 def revenue_by_month_and_segment(t):
     """Revenue, margin, discount, units, orders and order value by month and customer segment."""
     customers = t.customer.select(F.col("c_custkey").alias("customer_key"), F.col("c_mktsegment").alias("segment"))
-    sales = standins.order_lines(t).join(customers, "customer_key").withColumns({
+    sales = standins.order_sums(t).join(customers, "customer_key").withColumns({
         "month_key": analytics.month_of(), "cost_amount": F.col("gross_amount") * F.lit("0.5").cast("decimal(2,1)")})
     return analytics.revenue_kpis(sales, ["month_key", "segment"])
 
@@ -98,7 +98,7 @@ FROM o GROUP BY 1""")
 def order_value_spread(t):
     """Exact quartiles of order value per segment."""
     customers = t.customer.select(F.col("c_custkey").alias("customer_key"), F.col("c_mktsegment").alias("segment"))
-    return analytics.order_value_spread(standins.order_lines(t).join(customers, "customer_key"), "segment")
+    return analytics.order_value_spread(standins.order_sums(t).join(customers, "customer_key"), "segment")
 
 
 @query(f"""

@@ -81,6 +81,14 @@ def order_lines(t: Tables) -> DataFrame:
     return line_amounts(t.lineitem).drop("l_shipdate").join(orders, "order_id")
 
 
+def order_sums(t: Tables) -> DataFrame:
+    """Line amounts folded to one row per order before the join, so no order is hot in it."""
+    lines = line_amounts(t.lineitem).groupBy("order_id").agg(
+        *[F.sum(c).alias(c) for c in ("gross_amount", "discount_amount", "net_amount")],
+        F.sum("quantity").alias("quantity"))
+    return lines.join(order_totals(t).drop("net_amount"), "order_id")
+
+
 def order_totals(t: Tables) -> DataFrame:
     """One sale per order, for questions that need no lines."""
     return t.orders.select(
