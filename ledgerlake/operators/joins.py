@@ -179,15 +179,14 @@ def connected_identities(edges: DataFrame, left: str, right: str, max_rounds: in
     Alternating large-star and small-star contraction. Neighbourhoods are only ever reduced
     to their minimum, which combines before the shuffle; an identifier shared by a third of
     all records costs one label row, and its edges are spread again by AQE's skew split.
-    Each round is checkpointed, so lineage stays short and lost executors cost one round.
+    Each round is written to shared storage, so lineage stays short and lost executors cost one round.
     """
-    from ..sources.scratch import ensure_checkpoint_dir
+    from ..sources.scratch import materialize
     from .compare import row_differences
 
-    ensure_checkpoint_dir(edges.sparkSession)
     a, b = F.col(left), F.col(right)
     pairs = edges.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    pairs = pairs.distinct().checkpoint()
+    pairs = materialize(pairs.distinct(), "identity-pairs")
     nodes = edges.select(a.alias("node")).union(edges.select(b.alias("node"))).filter("node IS NOT NULL").distinct()
     for _ in range(max_rounds):
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -195,11 +194,11 @@ def connected_identities(edges: DataFrame, left: str, right: str, max_rounds: in
         large = both.join(low, "u").filter(F.col("v") > F.col("u")).select(
             F.col("v").alias("u"), F.col("m").alias("v"))
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
+        small = materialize((
             large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(lowest.select("u", F.col("m").alias("v")))
             .filter("u <> v").distinct()
-        ).checkpoint()
+        ), "identity-pairs")
         settled = row_differences(small, pairs).isEmpty()
         pairs = small
         if settled:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..functions import fixed_values as fixed
-from ..functions.columns import code_map
+from ..functions.columns import clamp, code_map
 
 
 def prefix_sum(df: DataFrame, value: str, out: str, keys: list[str], levels: dict[str, Column],
@@ -131,7 +131,7 @@ def running_balance(events: DataFrame, key: str = "customer_key", day: str = "da
                     levels: dict[str, Column] | None = None) -> DataFrame:
     """Cumulative points per customer; the output is floored at 0, the sum itself is not."""
     raw = prefix_sum(events, delta, out, [key], levels or day_levels(day), list(order_by))
-    return raw.withColumn(out, F.greatest(F.col(out), F.lit(0)))
+    return raw.withColumn(out, clamp(out, low=0))
 
 
 def one_per_day(versions: DataFrame, key: str, effective: str, tie: str) -> DataFrame:
