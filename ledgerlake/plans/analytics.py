@@ -405,6 +405,18 @@ def product_metrics(sales: DataFrame, returns: DataFrame, by: str = "category",
         ratio(F.sum("full"), F.sum("units")).alias("full_price_share"))
 
 
+def stockout_days(inventory: DataFrame, by: str = "product_key") -> DataFrame:
+    """Days on which any store was out of stock, and store-days out of stock, per product."""
+    per_day = inventory.groupBy(by, "date_key").agg(F.count_if("is_stockout").alias("n"))
+    return per_day.groupBy(by).agg(
+        F.count_if(F.col("n") > 0).alias("stockout_days"), F.sum("n").alias("stockout_store_days"), count().alias("days"))
+
+
+def store_months(sales: DataFrame) -> DataFrame:
+    """Revenue per store and month, the grid of small multiples."""
+    return sales.groupBy("store_key", month_of().alias(MONTH)).agg(total("net_amount").alias("net"), count().alias("lines"))
+
+
 def sell_through(sold: DataFrame, received: DataFrame, key: str) -> DataFrame:
     """Units sold over units sold plus left on hand."""
     j = received.join(sold, key, "left")
@@ -459,6 +471,15 @@ def funnel(sessions: DataFrame, session: str, stage: str, stages: list[str]) ->
     return per.agg(*cols).select(F.explode(rows).alias("r")).select("r.*")
 
 
+def visit_rates(events: DataFrame, session: str, stage: str, cart: str, checkout: str, order: str) -> DataFrame:
+    """Bounce, add-to-cart and checkout abandonment rates over visits."""
+    per = events.groupBy(session).agg(
+        count().alias("steps"), *[F.max(F.col(stage) == s).alias(n) for n, s in (("cart", cart), ("checkout", checkout), ("ordered", order))])
+    return per.agg(
+        count().alias("visits"), rate(F.col("steps") == 1).alias("bounce_rate"), rate(F.col("cart")).alias("cart_rate"),
+        ratio(F.count_if(F.col("checkout") & ~F.col("ordered")), F.count_if("checkout")).alias("abandonment_rate"))
+
+
 def stage_flow(events: DataFrame, key: str, ts: str, order: str, stage: str) -> DataFrame:
     """How often one stage directly follows another for the same visitor."""
     prev = windows.with_previous(events, [stage], [key], windows.time_levels(ts), [ts, order])

@@ -412,15 +412,16 @@ def lines_in_campaigns(t):
 
 
 @query(f"""
-WITH s AS (SELECT l_suppkey AS store_key, CAST(min(l_shipdate) AS DATE) AS open_date,
-    CASE WHEN l_suppkey % 4 = 0 THEN CAST(min(l_shipdate) AS DATE) + 900 END AS close_date FROM lineitem GROUP BY 1),
+WITH s AS (SELECT s_nationkey AS store_key, CAST(min(l_shipdate) AS DATE) AS open_date,
+    CASE WHEN s_nationkey % 4 = 0 THEN CAST(min(l_shipdate) AS DATE) + 900 END AS close_date FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1),
 d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders GROUP BY 1)
 SELECT CAST(year(day) * 100 + month(day) AS BIGINT) AS month_key, count(*) AS open_store_days, CAST(sum(orders) AS BIGINT) AS orders
 FROM d JOIN s ON open_date <= day AND (close_date IS NULL OR close_date >= day) GROUP BY 1""")
 def open_store_days(t):
-    """Open-ended intervals: stores open on each order day."""
-    stores = t.lineitem.groupBy(F.col("l_suppkey").alias("store_key")).agg(
-        F.min("l_shipdate").cast("date").alias("open_date")).withColumn(
+    """Open-ended intervals: regional stores open on each order day."""
+    first = t.lineitem.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.min("l_shipdate").alias("first"))
+    stores = first.join(t.supplier, "s_suppkey").groupBy(F.col("s_nationkey").alias("store_key")).agg(
+        F.min("first").cast("date").alias("open_date")).withColumn(
         "close_date", F.when(F.col("store_key") % 4 == 0, F.date_add("open_date", 900)))
     days = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(count().alias("orders"))
     horizon = t.orders.agg(F.max("o_orderdate").cast("date")).scalar()

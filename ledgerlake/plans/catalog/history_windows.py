@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ...functions import columns, dates
 from ...functions import fixed_values as fixed
 from ...operators import compare, merge, quality, windows
-from .. import analytics, incremental, standins
+from .. import analytics, incremental, loyalty, standins
 from ..analytics import amount, count, ratio, total
 from . import CHANNEL_SQL, ORDERS_SQL, PRODUCTS_SQL, SALES_SQL, SHIPPED_SQL, VERSIONS_SQL, dk, frac, query
 
@@ -155,10 +155,10 @@ def product_version_chain(t):
 
 @query("""
 SELECT c_custkey AS natural_key, 5000 + row_number() OVER (ORDER BY c_custkey) AS surrogate_key
-FROM customer WHERE c_acctbal > 0""")
+FROM customer""")
 def surrogate_keys(t):
     """Dense keys continuing from a watermark, in natural order, without a global sort."""
-    c = t.customer.filter("c_acctbal > 0").select(F.col("c_custkey").alias("natural_key"))
+    c = t.customer.select(F.col("c_custkey").alias("natural_key"))
     return windows.dense_numbers(c, "surrogate_key", ["natural_key"], start=5001, levels=windows.number_levels("natural_key", 256))
 
 
@@ -173,12 +173,12 @@ def hashed_surrogate_keys(t):
 
 
 @query("""
-WITH k AS (SELECT l_orderkey AS k FROM lineitem WHERE l_quantity > 30), s AS (SELECT min(k) AS min_key, max(k) AS max_key, count(*) AS row_count, count(DISTINCT k) AS distinct_keys FROM k)
+WITH k AS (SELECT l_orderkey AS k FROM lineitem), s AS (SELECT min(k) AS min_key, max(k) AS max_key, count(*) AS row_count, count(DISTINCT k) AS distinct_keys FROM k)
 SELECT *, max_key - min_key + 1 = row_count AND row_count = distinct_keys AS is_continuous,
   (SELECT count(*) FROM (SELECT DISTINCT k FROM k) a WHERE k < (SELECT max(k) FROM k) AND NOT EXISTS (SELECT 1 FROM k b WHERE b.k = a.k + 1)) AS gaps
 FROM s""")
 def key_continuity_and_gaps(t):
-    df = t.lineitem.filter("l_quantity > 30").select(F.col("l_orderkey").alias("k"))
+    df = t.lineitem.select(F.col("l_orderkey").alias("k"))
     return windows.key_continuity(df, "k").withColumn("gaps", windows.key_gaps(df, "k").agg(count()).scalar())
 
 
@@ -203,6 +203,40 @@ def out_of_order_versions(t):
         count().alias("out_of_order"))
 
 
+LEDGER_SQL = f"""
+  cust AS (SELECT c_custkey AS customer_id, c_custkey * 2 + v AS customer_key, CASE v WHEN 0 THEN DATE '1994-06-01' + CAST(c_custkey % 200 AS INT) ELSE DATE '1998-01-01' + CAST(c_custkey % 90 AS INT) END AS eff,
+    (c_custkey + v * (c_custkey % 3)) % 5 AS tier FROM customer, (VALUES (0), (1)) x(v)),
+  members AS (SELECT customer_key FROM cust WHERE tier > 0),
+  en AS (SELECT arg_min(customer_key, (eff, customer_key)) AS customer_key, min(eff) AS d FROM cust WHERE tier > 0 GROUP BY customer_id),
+  up AS (SELECT customer_key, eff AS d FROM (SELECT *, lag(tier) OVER (PARTITION BY customer_id ORDER BY eff) AS p FROM cust) WHERE p IS NOT NULL AND tier > p),
+  sal AS (SELECT o_orderkey AS sale_key, o_custkey * 2 + CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 1 ELSE 0 END AS customer_key, CAST(o_orderdate AS DATE) AS d, CAST(o_totalprice AS DECIMAL(12,2)) AS net FROM orders),
+  cents AS (SELECT *, CAST(net * 100 AS BIGINT) AS c FROM sal JOIN members USING (customer_key)),
+  ev AS (SELECT customer_key, d, 'enrollment' AS event_type, 100 AS points, NULL AS sale_key FROM en UNION ALL SELECT customer_key, d, 'tier_upgrade', 0, NULL FROM up
+    UNION ALL SELECT customer_key, d, 'points_earned', greatest(1, c // 100 + CASE WHEN c % 100 > 50 OR (c % 100 = 50 AND (c // 100) % 2 = 1) THEN 1 ELSE 0 END), sale_key FROM cents)"""
+
+
+@query(f"""
+WITH {LEDGER_SQL}
+SELECT customer_key, {dk('d')} AS date_key, event_type, CAST(points AS BIGINT) AS points_delta, sale_key,
+  CAST(greatest(0, sum(points) OVER (PARTITION BY customer_key ORDER BY d, event_type, sale_key ROWS UNBOUNDED PRECEDING)) AS BIGINT) AS balance_after FROM ev""")
+def loyalty_ledger(t):
+    """Enrolments, tier upgrades and points per sale of the members, with their running balance."""
+    k = F.col("c_custkey")
+    v = F.explode(F.array(F.lit(0), F.lit(1)))
+    names = list(fixed.TIER_RANK)
+    two = t.customer.select("c_custkey", v.alias("v"))
+    start = F.when(F.col("v") == 0, F.date_add(F.lit("1994-06-01").cast("date"), (k % 200).cast("int"))).otherwise(
+        F.date_add(F.lit("1998-01-01").cast("date"), (k % 90).cast("int")))
+    customers = two.select(
+        k.alias("customer_id"), (k * 2 + F.col("v")).alias("customer_key"), start.alias("effective_date"),
+        F.element_at(F.array(*[F.lit(n) for n in names]), ((k + F.col("v") * (k % 3)) % 5 + 1).cast("int")).alias("loyalty_tier"))
+    later = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    sales = t.orders.select(
+        F.col("o_orderkey").alias("sale_key"), (F.col("o_custkey") * 2 + F.when(later, 1).otherwise(0)).alias("customer_key"),
+        dates.date_key("o_orderdate").alias("date_key"), F.col("o_totalprice").cast("decimal(12,2)").alias("net_amount"))
+    return loyalty.loyalty_ledger(sales, customers)
+
+
 # Sort and top-k
 
 

@@ -455,3 +455,29 @@ def size_bracketing(t):
     lines = standins.shipped_lines(t).select(
         "order_id", "product_key", (F.col("return_flag") == "R").alias("is_returned"))
     return analytics.size_bracketing(standins.with_product(lines, t, "category", "size"), style="category")
+
+
+@query(f"""
+WITH v AS (SELECT user_id || '-' || CAST(ts AS DATE) AS s, count(*) AS k, max(event_type = 'click') AS c, max(event_type = 'signup') AS o, max(event_type = 'purchase') AS p FROM events GROUP BY 1)
+SELECT count(*) AS visits, {frac('count(*) FILTER (WHERE k = 1)', 'count(*)')} AS bounce_rate, {frac('count(*) FILTER (WHERE c)', 'count(*)')} AS cart_rate,
+  {frac('count(*) FILTER (WHERE o AND NOT p)', 'count(*) FILTER (WHERE o)')} AS abandonment_rate FROM v""")
+def visit_rates(t):
+    """Bounce, add-to-cart and abandonment rates, a visit being one user's day."""
+    e = t.events.select(F.concat_ws("-", "user_id", F.col("ts").cast("date")).alias("visit"), "event_type")
+    return analytics.visit_rates(e, "visit", "event_type", "click", "signup", "purchase")
+
+
+@query(f"""
+WITH {SHIPPED_SQL}, i AS (SELECT product_key, store_key, date_key, sum(quantity) % 6 = 0 AS so FROM shipped GROUP BY 1, 2, 3),
+d AS (SELECT product_key, date_key, count(*) FILTER (WHERE so) AS n FROM i GROUP BY 1, 2)
+SELECT product_key, count(*) FILTER (WHERE n > 0) AS stockout_days, CAST(sum(n) AS BIGINT) AS stockout_store_days, count(*) AS days FROM d GROUP BY 1""")
+def stockout_days(t):
+    inv = standins.shipped_lines(t).groupBy("product_key", "store_key", "date_key").agg((F.sum("quantity") % 6 == 0).alias("is_stockout"))
+    return analytics.stockout_days(inv)
+
+
+@query(f"""
+WITH {SHIPPED_SQL}
+SELECT store_key, month_key, CAST(sum(net_amount) AS DOUBLE) AS net, count(*) AS lines FROM shipped GROUP BY 1, 2""")
+def store_monthly_revenue(t):
+    return analytics.store_months(standins.shipped_lines(t))
