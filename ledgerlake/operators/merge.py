@@ -156,27 +156,34 @@ def merge_to_silver(source_df: DataFrame, target_table_fqn: str, business_keys:
         rows = lake.create_table(first, target_table_fqn, partition_by)
         return {"action": "initial_write", "rows_written": rows}
 
-    if not order_by:
-        clash = repeated_keys(source_df, business_keys).limit(1).collect()
+    source_df = source_df.persist()  # read several times below
+    try:
+        return _merge_existing(source_df, target_table_fqn, business_keys, strategy, tracking_cols,
+                               bool(order_by), partition_by, stamp)
+    finally:
+        source_df.unpersist()
+
+
+def _merge_existing(source: DataFrame, table: str, keys: list[str], strategy: str, tracking: list[str] | None,
+                    deduped: bool, partition_by: str | None, stamp: Column) -> dict:
+    spark = source.sparkSession
+    if not deduped:
+        clash = repeated_keys(source, keys).limit(1).collect()
         if clash:
             raise ValueError(f"source repeats business key {clash[0].asDict()}; pass order_by to keep the latest")
-
-    target = spark.table(target_table_fqn)
-    if strategy == "scd1":
-        if lake.supports_row_merge(spark, target_table_fqn):
-            on = reduce(lambda a, b: a & b, [
-                F.col(f"{target_table_fqn}.{k}") == F.col(f"s.{k}") for k in business_keys])
-            source_df.alias("s").mergeInto(target_table_fqn, on).whenMatched().updateAll() \
-                .whenNotMatched().insertAll().merge()
-        elif partition_by:
-            _merge_partitions(target, source_df, target_table_fqn, business_keys, partition_by)
-        else:
-            lake.swap_table(upsert(target, source_df, business_keys), target_table_fqn)
-        return {"action": "merge", "business_keys": business_keys}
-
-    tracked = tracking_cols if tracking_cols is not None else default_tracking(source_df.columns, business_keys)
-    lake.swap_table(versioned_upsert(target, source_df, business_keys, tracked, stamp), target_table_fqn)
-    return {"action": "scd2_merge", "business_keys": business_keys, "tracking_cols": tracked}
+    target = spark.table(table)
+    if strategy == "scd2":
+        tracked = tracking if tracking is not None else default_tracking(source.columns, keys)
+        lake.swap_table(versioned_upsert(target, source, keys, tracked, stamp), table)
+        return {"action": "scd2_merge", "business_keys": keys, "tracking_cols": tracked}
+    if lake.supports_row_merge(spark, table):
+        on = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"s.{k}") for k in keys])
+        source.alias("s").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    elif partition_by:
+        _merge_partitions(target, source, table, keys, partition_by)
+    else:
+        lake.swap_table(upsert(target, source, keys), table)
+    return {"action": "merge", "business_keys": keys}
 
 
 def _merge_partitions(target: DataFrame, source: DataFrame, table: str, keys: list[str], part: str) -> None:

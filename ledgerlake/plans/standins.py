@@ -127,8 +127,7 @@ def price_versions(t: Tables) -> DataFrame:
     by_month = t.lineitem.groupBy(
         F.col("l_partkey").alias("product_id"), F.trunc("l_shipdate", "month").alias("effective_date"),
     ).agg(F.floor(
-        F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double")
-        / F.sum(F.col("l_quantity").cast("decimal(12,0)")).cast("double")
+        F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")) / 100 / F.sum(F.col("l_quantity").cast("bigint"))
     ).cast("bigint").alias("unit_price"))
     changed = windows.changed_rows(by_month, "product_id", "effective_date", ["unit_price"])
     return changed.withColumn(

@@ -8,6 +8,7 @@ nothing.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -84,19 +85,33 @@ def swap_partitions(df: DataFrame, table: str, part: str, values: list) -> None:
     again ends in the same table.
     """
     spark = df.sparkSession
+    names = {_partition_name(part, v): v for v in values}
     path = fresh_location(spark, table)
     _clustered(df, part).write.partitionBy(part).parquet(path)
-    written = {r[0] for r in spark.read.schema(df.schema).parquet(path).select(part).distinct().collect()}
-    for value in sorted(values):
-        literal = f"'{value}'" if isinstance(value, str) else str(value)
-        if value in written:
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({part}={literal}) LOCATION '{path}/{part}={value}'")
-            spark.sql(f"ALTER TABLE {table} PARTITION ({part}={literal}) SET LOCATION '{path}/{part}={value}'")
-        else:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part}={literal})")
+    rewritten = spark.read.schema(df.schema).parquet(path).select(part).distinct().collect()
+    written = {_partition_name(part, r[0]) for r in rewritten}
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    added = ""
+    for name in sorted(names):
+        spec = f"PARTITION ({part}='{names[name]}')"
+        if name in written and name in known:
+            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{path}/{name}'")
+        elif name in written:
+            added += f" {spec} LOCATION '{path}/{name}'"
+        elif name in known:
+            spark.sql(f"ALTER TABLE {table} DROP {spec}")
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD{added}")
     spark.catalog.refreshTable(table)
 
 
+def _partition_name(part: str, value) -> str:
+    """Folder and catalog name of a partition; values that would need escaping are refused."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", str(value)):
+        raise ValueError(f"partition value {value!r} of {part} is not usable as a folder name")
+    return f"{part}={value}"
+
+
 def supports_row_merge(spark: SparkSession, table: str) -> bool:
     """Whether the table's own format can MERGE; then it does, instead of a swap."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'").collect()
