@@ -145,7 +145,8 @@ def natural_key_number(key: Column | str) -> Column:
     return F.nullif(F.regexp_extract(_col(key), r"([0-9]+)$", 1), F.lit("")).cast("bigint")
 
 
-def order_number(year: Column | str, sequence: Column | str, prefix: str = "CSNP") -> Column:
+def order_number(prefix: str, year: Column | str, sequence: Column | str) -> Column:
+    """Order id such as ORD-2024-000000042; the prefix is the company's."""
     return F.format_string(f"{prefix}-%d-%09d", _col(year).cast("bigint"), _col(sequence).cast("bigint"))
 
 

@@ -48,28 +48,29 @@ def as_of_join(facts: DataFrame, versions: DataFrame, key: str, day: str, effect
     """Each fact with the version of its key valid on its day; earlier facts get NULLs.
 
     Of two versions on one day the higher `tie` wins; without `tie`, versions hold one row
-    per key and day. A fact meets only the version that covers its calendar month, so both
-    sides are matched on (key, month): a hot key is spread over its months and a fact is not
-    compared with its key's whole history. `horizon` is the last day any fact may carry; by
-    default it is read from the facts.
+    per key and day. Both sides are matched on (key, month): a hot key is spread over its
+    months and a fact is compared only with the versions of its month, not with its key's
+    whole history. All months from `horizon` on share one slot, so a stray far-away date
+    costs nothing; the result does not depend on it. By default it is the last start of any
+    version, after which nothing changes any more.
     """
     needed = list(dict.fromkeys([key, effective, *([tie] if tie else []), *take]))
-    ranges = version_ranges(versions.select(*needed), key, effective, tie)
-    if horizon is None:
-        horizon = facts.agg(F.max(day).cast("date")).scalar()
-    ranges = ranges.withColumn("__horizon", horizon)
-    covered_to = F.least(F.coalesce(F.date_sub("next_effective", 1), F.col("__horizon")), F.col("__horizon"))
-    by_month = (
-        ranges.filter(F.col(effective) <= covered_to)
-        .select(
-            F.col(key).alias("__vkey"), F.col(effective).alias("__from"), F.col("next_effective").alias("__to"),
-            *[F.col(c).alias(f"__v_{c}") for c in take],
-            F.explode(F.sequence(F.trunc(effective, "month"), F.trunc(covered_to, "month"),
-                                 F.expr("interval 1 month"))).alias("__vmonth"))
-    )
-    tagged = facts.withColumn("__day", F.col(day).cast("date")).withColumn("__month", F.trunc("__day", "month"))
+    versions = versions.select(*needed)
+    last = F.trunc(horizon, "month") if horizon is not None else (
+        versions.agg(F.trunc(F.max(effective), "month")).scalar())
+
+    def slot(day: Column) -> Column:
+        return F.least(F.trunc(day, "month"), last)
+
+    ranges = version_ranges(versions, key, effective, tie)
+    ends = F.when(F.col("next_effective").isNull(), last).otherwise(slot(F.date_sub("next_effective", 1)))
+    by_month = ranges.filter(F.col(effective).isNotNull()).select(
+        F.col(key).alias("__vkey"), F.col(effective).alias("__from"), F.col("next_effective").alias("__to"),
+        *[F.col(c).alias(f"__v_{c}") for c in take],
+        F.explode(F.sequence(slot(F.col(effective)), ends, F.expr("interval 1 month"))).alias("__vslot"))
+    tagged = facts.withColumn("__day", F.col(day).cast("date")).withColumn("__slot", slot(F.col("__day")))
     hit = (
-        (F.col(key) == F.col("__vkey")) & (F.col("__month") == F.col("__vmonth"))
+        (F.col(key) == F.col("__vkey")) & (F.col("__slot") == F.col("__vslot"))
         & (F.col("__day") >= F.col("__from"))
         & (F.col("__to").isNull() | (F.col("__day") < F.col("__to")))
     )

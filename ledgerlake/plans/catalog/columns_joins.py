@@ -88,7 +88,7 @@ def channel_routing(t):
 
 @query("""
 SELECT c_custkey AS customer_key, CAST(regexp_extract(c_name, '([0-9]+)$', 1) AS BIGINT) AS parsed,
-  'CSNP-' || (1990 + c_nationkey) || '-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS order_id,
+  'ORD-' || (1990 + c_nationkey) || '-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS order_id,
   'CAMP-' || (2020 + c_nationkey) || '-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS campaign_id,
   sha256(lower(trim('  ' || c_name || '@Mail.COM '))) AS email_hash,
   rpad(upper(substr(replace(replace(c_mktsegment, ' ', ''), '-', ''), 1, 3)), 3, 'X') AS short_code,
@@ -99,7 +99,7 @@ def natural_keys(t):
     c = F.col
     return t.customer.select(
         c("c_custkey").alias("customer_key"), columns.natural_key_number("c_name").alias("parsed"),
-        columns.order_number(c("c_nationkey") + 1990, "c_custkey").alias("order_id"),
+        columns.order_number("ORD", c("c_nationkey") + 1990, "c_custkey").alias("order_id"),
         columns.campaign_number(c("c_nationkey") + 2020, c("c_custkey") % 10000).alias("campaign_id"),
         columns.email_hash(F.concat(F.lit("  "), c("c_name"), F.lit("@Mail.COM "))).alias("email_hash"),
         columns.color_code("c_mktsegment").alias("short_code"),

@@ -94,7 +94,7 @@ def test_day_keys(spark):
 def test_small_columns(spark):
     assert one(spark, columns.natural_key_number("k"), k="CUST-000123") == 123
     assert one(spark, columns.natural_key_number("k"), k="none") is None
-    assert one(spark, columns.order_number("y", "s"), y=2024, s=42) == "CSNP-2024-000000042"
+    assert one(spark, columns.order_number("ORD", "y", "s"), y=2024, s=42) == "ORD-2024-000000042"
     assert one(spark, columns.campaign_number("y", "s"), y=2025, s=7) == "CAMP-2025-0007"
     assert one(spark, columns.color_code("c"), c="Ol-i ve") == "OLI" and one(spark, columns.color_code("c"), c="a") == "AXX"
     assert one(spark, columns.initials("c"), c="field straight-leg pant") == "FSL"

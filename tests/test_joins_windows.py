@@ -33,6 +33,31 @@ def test_as_of_matches_brute_force(spark):
         hits = [(e, v) for kk, e, v in versions if kk == k and e <= d]
         want[i] = max(hits)[1] if hits else None
     assert {r.id: r.v for r in out.collect()} == want
+    early = joins.as_of_join(
+        spark.createDataFrame(facts, "id int, k int, d date"), spark.createDataFrame(versions, "k int, eff date, v int"),
+        "k", "d", "eff", ["v"], tie="v", horizon=F.lit(date(2023, 4, 1)))
+    assert {r.id: r.v for r in early.collect()} == want
+
+
+def test_hot_keys_are_split_in_joins(spark):
+    """A third of the facts share one key; with broadcasts off, Spark splits that key over tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        facts = spark.range(300000).select(
+            "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"), F.md5(F.col("id").cast("string")).alias("pad"))
+        dim = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+        out = joins.star_join(facts, (dim, "k", ["twice"]))
+        spread = [r.n for r in out.groupBy(F.spark_partition_id()).agg(F.count_if(F.col("k") == 7).alias("n")).collect()]
+        assert sum(spread) == 100040 and max(spread) < 50000
+        assert out.filter("twice <> 2 * k OR twice IS NULL").isEmpty() and out.count() == 300000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_intervals_inclusive_overlapping_single_day(spark):
