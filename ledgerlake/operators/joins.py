@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
+from ..functions.dates import month_index
 
 
 def orphans(fact: DataFrame, fact_col: str, dim: DataFrame, dim_col: str, nullable: bool = False) -> DataFrame:
@@ -44,49 +45,57 @@ def version_ranges(versions: DataFrame, key: str, effective: str, tie: str | Non
 
 
 def as_of_join(facts: DataFrame, versions: DataFrame, key: str, day: str, effective: str, take: list[str],
-               tie: str | None = None, horizon: Column | None = None) -> DataFrame:
+               tie: str | None = None, horizon: Column | None = None, by_month: bool = True) -> DataFrame:
     """Each fact with the version of its key valid on its day; earlier facts get NULLs.
 
     Of two versions on one day the higher `tie` wins; without `tie`, versions hold one row
-    per key and day. Both sides are matched on (key, month): a hot key is spread over its
-    months and a fact is compared only with the versions of its month, not with its key's
-    whole history. All months from `horizon` on share one slot, so a stray far-away date
-    costs nothing; the result does not depend on it. By default it is the last start of any
-    version, after which nothing changes any more.
+    per key and day.
+
+    by_month   match on (key, month): a hot key is spread over its months and a fact is
+               compared only with the versions of its month. Without it, match on the key
+               alone, which suits a dimension that is small enough for Spark to broadcast.
+    horizon    all months from this day on share one slot, so a stray far-away date costs
+               nothing; the result does not depend on it. Default: the last start of any
+               version, after which nothing changes any more.
     """
     needed = list(dict.fromkeys([key, effective, *([tie] if tie else []), *take]))
     versions = versions.select(*needed)
-    last = F.trunc(horizon, "month") if horizon is not None else (
-        versions.agg(F.trunc(F.max(effective), "month")).scalar())
-
-    def slot(day: Column) -> Column:
-        return F.least(F.trunc(day, "month"), last)
-
-    ranges = version_ranges(versions, key, effective, tie)
-    ends = F.when(F.col("next_effective").isNull(), last).otherwise(slot(F.date_sub("next_effective", 1)))
-    by_month = ranges.filter(F.col(effective).isNotNull()).select(
+    ranges = version_ranges(versions, key, effective, tie).filter(F.col(effective).isNotNull())
+    picked = [
         F.col(key).alias("__vkey"), F.col(effective).alias("__from"), F.col("next_effective").alias("__to"),
-        *[F.col(c).alias(f"__v_{c}") for c in take],
-        F.explode(F.sequence(slot(F.col(effective)), ends, F.expr("interval 1 month"))).alias("__vslot"))
-    tagged = facts.withColumn("__day", F.col(day).cast("date")).withColumn("__slot", slot(F.col("__day")))
-    hit = (
-        (F.col(key) == F.col("__vkey")) & (F.col("__slot") == F.col("__vslot"))
-        & (F.col("__day") >= F.col("__from"))
+        *[F.col(c).alias(f"__v_{c}") for c in take]]
+    tagged = facts.withColumn("__day", F.col(day).cast("date"))
+    valid = (
+        (F.col(key) == F.col("__vkey")) & (F.col("__day") >= F.col("__from"))
         & (F.col("__to").isNull() | (F.col("__day") < F.col("__to")))
     )
-    return tagged.join(by_month, hit, "left").select(
-        *facts.columns, *[F.col(f"__v_{c}").alias(c) for c in take])
+    if by_month:
+        last = month_index(horizon if horizon is not None else versions.agg(F.max(effective)).scalar())
+
+        def slot(d: Column) -> Column:
+            return F.least(month_index(d), last)
+
+        ends = F.when(F.col("next_effective").isNull(), last).otherwise(slot(F.date_sub("next_effective", 1)))
+        slots = F.explode(F.sequence(slot(F.col(effective)), ends)).alias("__vslot")
+        # The planner does not see how far the slots multiply the versions, so it must not
+        # broadcast them on its estimate.
+        side = ranges.select(*picked, slots).hint("merge")
+        tagged = tagged.withColumn("__slot", slot(F.col("__day")))
+        valid = valid & (F.col("__slot") == F.col("__vslot"))
+    else:
+        side = ranges.select(*picked)
+    return tagged.join(side, valid, "left").select(*facts.columns, *[F.col(f"__v_{c}").alias(c) for c in take])
 
 
 def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, day: str, take: list[str],
                        tie: str | None = None, effective: str = "effective_date",
-                       horizon: Column | None = None) -> DataFrame:
+                       horizon: Column | None = None, by_month: bool = True) -> DataFrame:
     """Late facts get the attributes valid on their own day, not today's.
 
     The inclusive effective/expiry ranges of a version table tile each key's history, so
     the version valid on a day is the latest one that has started.
     """
-    return as_of_join(facts, versions, key, day, effective, take, tie, horizon)
+    return as_of_join(facts, versions, key, day, effective, take, tie, horizon, by_month)
 
 
 def current_lookup(facts: DataFrame, dim: DataFrame, natural: str, surrogate: str) -> DataFrame:

@@ -326,6 +326,10 @@ def geography_keys(t):
 # Joins
 
 
+def _last_shipment(t):
+    return t.lineitem.agg(F.max("l_shipdate").cast("date")).scalar()
+
+
 @query("""
 WITH good AS (SELECT c_custkey FROM customer WHERE c_acctbal > 0),
 f AS (SELECT CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_custkey END AS fk FROM orders)
@@ -363,7 +367,7 @@ def as_of_product_version(t):
         F.col("l_partkey").alias("product_id"), F.date_sub(F.col("l_shipdate").cast("date"), 45).alias("day"),
         F.col("l_quantity").cast("bigint").alias("q"))
     j = joins.as_of_join(facts, standins.price_versions(t), "product_id", "day", "effective_date",
-                         ["version_key", "unit_price"])
+                         ["version_key", "unit_price"], horizon=_last_shipment(t))
     return j.groupBy(F.year("day").cast("bigint").alias("yr"), F.col("version_key").isNull().alias("before_first")).agg(
         count().alias("n"), F.sum("q").alias("units"), F.sum(F.col("unit_price") * F.col("q")).alias("valued"),
         F.sum("version_key").alias("key_sum"))
@@ -380,7 +384,8 @@ def point_in_time_version(t):
     """Late lines get the attributes of the day of their order, by inclusive ranges."""
     lines = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).select(
         F.col("o_orderdate").cast("date").alias("day"), F.col("l_partkey").alias("product_id"))
-    j = joins.point_in_time_join(lines, standins.version_table(t), "product_id", "day", ["unit_price"])
+    j = joins.point_in_time_join(lines, standins.version_table(t), "product_id", "day", ["unit_price"],
+                                 horizon=_last_shipment(t))
     return j.groupBy((F.year("day") * 100 + F.month("day")).cast("bigint").alias("month_key")).agg(
         count().alias("lines"), F.count_if(F.col("unit_price").isNull()).alias("unmatched"),
         F.sum("unit_price").alias("price_sum"))

@@ -12,7 +12,7 @@ from tests.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests")
+    session = build_session("tests", partitions=4)
     yield session
     session.stop()
 

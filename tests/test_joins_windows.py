@@ -33,16 +33,18 @@ def test_as_of_matches_brute_force(spark):
         hits = [(e, v) for kk, e, v in versions if kk == k and e <= d]
         want[i] = max(hits)[1] if hits else None
     assert {r.id: r.v for r in out.collect()} == want
-    early = joins.as_of_join(
-        spark.createDataFrame(facts, "id int, k int, d date"), spark.createDataFrame(versions, "k int, eff date, v int"),
-        "k", "d", "eff", ["v"], tie="v", horizon=F.lit(date(2023, 4, 1)))
-    assert {r.id: r.v for r in early.collect()} == want
+    for options in ({"horizon": F.lit(date(2023, 4, 1))}, {"by_month": False}):
+        other = joins.as_of_join(
+            spark.createDataFrame(facts, "id int, k int, d date"), spark.createDataFrame(versions, "k int, eff date, v int"),
+            "k", "d", "eff", ["v"], tie="v", **options)
+        assert {r.id: r.v for r in other.collect()} == want
 
 
 def test_hot_keys_are_split_in_joins(spark):
     """A third of the facts share one key; with broadcasts off, Spark splits that key over tasks."""
     settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
     old = {k: spark.conf.get(k) for k in settings}
     try:
