@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,8 +34,9 @@ def top_n_present(df: DataFrame, key: str, measure: str, n: int, dim: DataFrame)
 
 
 def ranked_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value with a rank by size."""
-    from pyspark.sql import Window
+    """Rows per value with a rank by size, for columns of few values (segments, types).
 
+    The rank orders one row per value; `windows.prefix_sum` ranks columns of many values.
+    """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumn("size_rank", F.row_number().over(Window.orderBy(F.desc("n"), column)).cast("bigint"))

@@ -43,7 +43,9 @@ def dedupe_stream(stream: DataFrame, ts: str, keys: list[str],
                   within: str = f"{fixed.LATE_WINDOW_DAYS} days") -> DataFrame:
     """First arrival of each key; repeats within the late window are dropped.
 
-    The watermark bounds the state: keys are forgotten once the window has passed.
+    The watermark bounds the state: keys are forgotten once the window has passed. Every copy
+    of a key meets the same state, so where replays repeat one key very often, `upsert_stream`
+    is the better sink: it combines copies before the shuffle.
     """
     return _event_time(stream, ts).withWatermark(ts, within).dropDuplicatesWithinWatermark(keys)
 
