@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder all executors share; the session's own setting wins over a local default."""
+    """Folder all executors share; the session's own setting wins over a folder in the warehouse.
+
+    The fallback is for sessions that set nothing, as in tests. Executors on other machines cannot see a
+    local warehouse, so a session on a cluster must name a shared folder.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="ledgerlake-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not spark.sparkContext.master.startswith("local[") and warehouse.startswith(("file:", "/")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = f"{warehouse}/_scratch"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return configured
