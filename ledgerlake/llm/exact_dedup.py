@@ -49,7 +49,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = pa.Table.from_batches([batch])
+        rows = pa.Table.from_arrays(batch.columns, names=batch.schema.names)  # every column nullable, as in what is held
         rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
         same = np.ones(rows.num_rows - 1, bool)
         for c in ("slot", *TEXT):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, repetition_rules, simhash_dedup
+from . import cube_mixing, exact_dedup, packing, repetition_rules, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,6 +33,18 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
+@_query
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The sequence that every piece of every document is packed into."""
+    return packing.packed(_table(spark, folder, "documents"))
+
+
+@_query
+def op8_cube_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return cube_mixing.mix(_table(spark, folder, "documents"))
+
+
 @_query
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Which row of each group of equal texts stays."""
