@@ -6,8 +6,10 @@ directions in the null space of the balancing constraints (documents and words o
 totals stay what they are, until almost all probabilities are 0 or 1.
 
 A source is cut into blocks of about `BLOCK` documents by hash. A block keeps two undecided documents at most;
-those of all blocks are the input of the next level, until a source fits into one block. There the last two are
-landed: of the joint draws with their probabilities, the one that disturbs the words least.
+those of all blocks are the input of the next level, until a source fits into one block. There the documents
+are decided by decreasing size, the larger half first: the two that its flight leaves are drawn, of the joint
+draws with their probabilities the one that disturbs the words least, and what this adds or takes is made up by
+the probabilities of the smaller half. What is left in the end is as small as the smallest documents.
 """
 
 from __future__ import annotations
@@ -95,13 +97,34 @@ def landing(p: np.ndarray, size: np.ndarray, draws: np.random.Generator) -> None
         p[live] = (1, 1) if z < both else (1, 0) if z < x else (0, 1) if z < x + y - both else (0, 0)
 
 
+def settle(p: np.ndarray, size: np.ndarray, draws: np.random.Generator) -> None:
+    """Decides all values in place: flight and landing of the larger half, whose error the smaller half makes up."""
+    rest = np.argsort(-size, kind="stable")
+    rest = rest[(p[rest] > 0) & (p[rest] < 1)]
+    while len(rest):
+        cut = len(rest) // 2 if len(rest) > 4 else len(rest)
+        head, rest = rest[:cut], rest[cut:]
+        now = p[head]
+        flight(now, size[head], draws)
+        landing(now, size[head], draws)
+        over = float(size[head] @ (now - p[head]))
+        p[head] = now
+        while len(rest) and abs(over) > NEAR:
+            free = p[rest] * (1 - p[rest])
+            room = float(size[rest] @ free)
+            if room < NEAR:
+                break
+            now = np.clip(p[rest] - over * free / room, 0, 1)
+            over += float(size[rest] @ (now - p[rest]))
+            p[rest] = np.where(now < NEAR, 0.0, np.where(now > 1 - NEAR, 1.0, now))
+        rest = rest[(p[rest] > 0) & (p[rest] < 1)]
+
+
 def _decide(block: pd.DataFrame) -> pd.DataFrame:
     block = block.sort_values(["key", "size", "row"], ignore_index=True)
     p, size = block["p"].to_numpy(float).copy(), block["size"].to_numpy(float)
     draws = np.random.default_rng([int(block["sid"][0]), int(block["level"][0]), int(block["block"][0])])
-    flight(p, size, draws)
-    if block["n_blocks"][0] == 1:
-        landing(p, size, draws)
+    (settle if block["n_blocks"][0] == 1 else flight)(p, size, draws)
     return block.assign(p=p)[["row", "sid", "key", "size", "p"]]
 
 
