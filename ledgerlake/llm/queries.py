@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cube_mixing, exact_dedup, packing, repetition_rules, simhash_dedup
+from . import cube_mixing, exact_dedup, packing, repetition_rules, simhash_dedup, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -51,6 +51,12 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
 
 
+@_query
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the bytes of repeated passages."""
+    return suffix_dedup.repeated_passages(_table(spark, folder, "documents"))
+
+
 SQL["op9_exact_dedup"] = r"""
 WITH n AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
 SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
