@@ -1 +1,8 @@
 """Operators for training-data pipelines. Nothing else in the library imports this subpackage."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in tasks are sent whole, so executors need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

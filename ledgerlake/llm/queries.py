@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cube_mixing, exact_dedup, packing, repetition_rules, simhash_dedup, suffix_dedup
+from . import compression_quality, conv_toxicity, cube_mixing, exact_dedup, masked_lm, packing, repetition_rules, simhash_dedup, suffix_dedup, token_attribution
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,20 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op1_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, by a model fitted to the labels that may be learned from."""
+    docs = _table(spark, folder, "documents")
+    return compression_quality.quality_scores(docs, compression_quality.train(docs, _table(spark, folder, "labels")))
+
+
+@_query
+def op2_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Masked pseudo-likelihood of every document under a model of all documents."""
+    docs = _table(spark, folder, "documents")
+    return masked_lm.pseudo_likelihood(docs, masked_lm.train(docs))
+
+
 @_query
 def op3_suffix_repetition(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of the repetition rules for every document."""
@@ -33,6 +47,19 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
+@_query
+def op5_conv_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, by a network trained on the labels that may be learned from."""
+    docs = _table(spark, folder, "documents")
+    return conv_toxicity.toxicity_scores(docs, conv_toxicity.train(docs, _table(spark, folder, "labels")))
+
+
+@_query
+def op6_token_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return token_attribution.section_tokens(_table(spark, folder, "documents"))
+
+
 @_query
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """The sequence that every piece of every document is packed into."""
