@@ -106,17 +106,22 @@ def settle(p: np.ndarray, size: np.ndarray, draws: np.random.Generator) -> None:
         head, rest = rest[:cut], rest[cut:]
         now = p[head]
         flight(now, size[head], draws)
+        open_ = (now > 0) & (now < 1)
+        most = float(size[head][open_] @ np.maximum(now, 1 - now)[open_])  # what landing can add or take
         landing(now, size[head], draws)
         over = float(size[head] @ (now - p[head]))
         p[head] = now
-        while len(rest) and abs(over) > NEAR:
-            free = p[rest] * (1 - p[rest])
-            room = float(size[rest] @ free)
-            if room < NEAR:
-                break
-            now = np.clip(p[rest] - over * free / room, 0, 1)
+        free = p[rest] * (1 - p[rest])
+        room = float(size[rest] @ free)
+        # shifts that stay within 0 and 1 for either outcome keep every document's probability on average;
+        # where the smaller half is too small for that, nearness to the target goes first
+        shift = over * min(1.0, room / most) if most else over
+        while room > 0 and abs(over) > NEAR:
+            now = np.clip(p[rest] - shift * free / room, 0, 1)
             over += float(size[rest] @ (now - p[rest]))
             p[rest] = np.where(now < NEAR, 0.0, np.where(now > 1 - NEAR, 1.0, now))
+            free = p[rest] * (1 - p[rest])
+            room, shift = float(size[rest] @ free), over
         rest = rest[(p[rest] > 0) & (p[rest] < 1)]
 
 
