@@ -11,7 +11,6 @@ from pyspark.sql.types import DateType, StructType, TimestampType
 from . import fixed_values as fixed
 
 MONEY = "decimal(12,2)"
-RATE = "decimal(6,4)"
 
 
 def add_lineage_columns(df: DataFrame, source_system: str) -> DataFrame:
@@ -51,10 +50,6 @@ def conform(df: DataFrame, schema: StructType, renames: Mapping[str, str] | None
     return df.select(out)
 
 
-def money(value: Column | str) -> Column:
-    return _col(value).cast(MONEY)
-
-
 def sale_amounts(df: DataFrame, price: str, quantity: str, discount: str, unit_cost: str) -> DataFrame:
     """Gross, discount, net, cost and margin of a line, each rounded half-even to cents."""
     gross = F.bround(F.col(price) * F.col(quantity), 2)
@@ -204,8 +199,10 @@ def points_earned(net: Column | str) -> Column:
 
 
 def stable_seed(*parts: Column | str) -> Column:
-    """64-bit seed that depends only on the values, not on rows, order or partitions."""
-    return F.xxhash64(F.concat_ws("|", *[_col(p).cast("string") for p in parts]))
+    """Seed of 0 to 2^32 - 1 that depends only on the values, not on rows, order, partitions or engine:
+    the first eight hex digits of md5 over the values joined by a bar."""
+    digest = F.md5(F.concat_ws("|", *[_col(p).cast("string") for p in parts]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
 def hash_sample(df: DataFrame, key: Column | str, per_mille: int, seed: str = "") -> DataFrame:

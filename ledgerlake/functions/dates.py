@@ -89,7 +89,3 @@ def nth_weekday(year: Column, month: int, weekday: str, n: int) -> Column:
 def last_weekday(year: Column, month: int, weekday: str) -> Column:
     """The last given weekday ('MON'…) of a month."""
     return F.next_day(F.date_sub(F.last_day(F.make_date(year, F.lit(month), F.lit(1))), 7), weekday)
-
-
-def days_between(later: Column | str, earlier: Column | str) -> Column:
-    return F.datediff(_col(later), _col(earlier))

@@ -88,14 +88,18 @@ def as_of_join(facts: DataFrame, versions: DataFrame, key: str, day: str, effect
 
 
 def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, day: str, take: list[str],
-                       tie: str | None = None, effective: str = "effective_date",
+                       tie: str | None = None, effective: str = "effective_date", expiry: str = "expiry_date",
                        horizon: Column | None = None, by_month: bool = True) -> DataFrame:
     """Late facts get the attributes valid on their own day, not today's.
 
-    The inclusive effective/expiry ranges of a version table tile each key's history, so
-    the version valid on a day is the latest one that has started.
+    Ranges are inclusive on both ends. The version valid on a day is the latest one that has
+    started, unless it has expired: a fact after the end of a closed last version, or in a gap
+    between versions, gets NULLs. A NULL expiry is open.
     """
-    return as_of_join(facts, versions, key, day, effective, take, tie, horizon, by_month)
+    until = "__until"
+    found = as_of_join(facts, versions.withColumn(until, F.col(expiry)), key, day, effective, [*take, until], tie, horizon, by_month)
+    valid = F.col(until).isNull() | (F.col(day).cast("date") <= F.col(until))
+    return found.select(*facts.columns, *[F.when(valid, F.col(c)).alias(c) for c in take])
 
 
 def current_lookup(facts: DataFrame, dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
@@ -105,9 +109,14 @@ def current_lookup(facts: DataFrame, dim: DataFrame, natural: str, surrogate: st
 
 
 def active_days(intervals: DataFrame, start: str, end: Column | str, day: str = "date") -> DataFrame:
-    """One row per interval and day it covers, both ends included; empty intervals vanish."""
+    """One row per interval and day it covers, both ends included; empty intervals vanish.
+
+    The planner does not see how far the days multiply the intervals, so a join must not
+    broadcast them on its estimate: the hint asks for a merge join.
+    """
     last = end if isinstance(end, Column) else F.col(end)
-    return intervals.filter(F.col(start) <= last).withColumn(day, F.explode(F.sequence(F.col(start), last)))
+    days = intervals.filter(F.col(start) <= last).withColumn(day, F.explode(F.sequence(F.col(start), last)))
+    return days.hint("merge")
 
 
 def in_interval(facts: DataFrame, day: str, intervals: DataFrame, start: str, end: str,
@@ -141,22 +150,28 @@ def spend_spine(campaigns: DataFrame, calendar: DataFrame) -> DataFrame:
     return days.withColumn("channel_key", F.explode(campaign_channels("campaign_type")))
 
 
+SHELVES = 16  # parts that a day's products are dealt to
+
+
 def inventory_spine(products: DataFrame, stores: DataFrame, first_day: Column, last_day: Column,
                     step: str = "interval 1 day", opened: str | None = None,
                     closed: str | None = None) -> DataFrame:
     """Every (day, product, store) an inventory snapshot must have.
 
-    Both sides are laid out by day and matched on the day, which is also what the facts are
-    keyed by; stores take part only while open if their dates are given.
+    Both sides are laid out by day and matched on day and shelf: a day's products are dealt to
+    shelves by hash and every open store is there once per shelf, so a day is no single task.
+    Stores take part only while open if their dates are given.
     """
     def days(first: Column, last: Column) -> Column:
         return F.explode(F.sequence(first, last, F.expr(step)))
 
-    shelf = products.select("product_key", days(first_day, last_day).alias("date"))
+    shelf = products.select("product_key", F.pmod(F.xxhash64("product_key"), F.lit(SHELVES)).alias("__shelf"),
+                            days(first_day, last_day).alias("date")).hint("merge")
     start = F.greatest(F.col(opened), first_day) if opened else first_day
     stop = F.least(F.coalesce(F.col(closed), last_day), last_day) if closed else last_day
     doors = stores.filter(start <= stop).select("store_key", days(start, stop).alias("date"))
-    return shelf.join(doors, "date")
+    doors = doors.withColumn("__shelf", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SHELVES - 1).cast("bigint"))))
+    return shelf.join(doors, ["date", "__shelf"]).drop("__shelf")
 
 
 def densify(spine: DataFrame, facts: DataFrame, keys: list[str], fill: dict[str, object]) -> DataFrame:
@@ -183,13 +198,14 @@ def drill_back(returns: DataFrame, sales: DataFrame, take: list[str]) -> DataFra
     return returns.join(original, "sale_key")
 
 
-def connected_identities(edges: DataFrame, left: str, right: str, max_rounds: int = 50) -> DataFrame:
+def connected_identities(edges: DataFrame, left: str, right: str) -> DataFrame:
     """(node, component): the smallest node reachable over shared identifiers.
 
-    Alternating large-star and small-star contraction. Neighbourhoods are only ever reduced
-    to their minimum, which combines before the shuffle; an identifier shared by a third of
-    all records costs one label row, and its edges are spread again by AQE's skew split.
-    Each round is written to shared storage, so lineage stays short and lost executors cost one round.
+    Alternating large-star and small-star contraction until nothing changes, which always comes.
+    Neighbourhoods are only ever reduced to their minimum, which combines before the shuffle and
+    is written before it is joined: then both sides of the join are plain shuffles, and AQE splits
+    the edges of an identifier that a third of all records share. Each round is written to shared
+    storage, so lineage stays short and a lost executor costs one round.
     """
     from ..sources.scratch import materialize
     from .compare import row_differences
@@ -198,12 +214,12 @@ def connected_identities(edges: DataFrame, left: str, right: str, max_rounds: in
     pairs = edges.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     pairs = materialize(pairs.distinct(), "identity-pairs")
     nodes = edges.select(a.alias("node")).union(edges.select(b.alias("node"))).filter("node IS NOT NULL").distinct()
-    for _ in range(max_rounds):
+    while True:
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").filter(F.col("v") > F.col("u")).select(
-            F.col("v").alias("u"), F.col("m").alias("v"))
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")), "identity-low")
+        large = materialize(both.join(low.select("u", F.least("m", "u").alias("m")), "u").filter(F.col("v") > F.col("u")).select(
+            F.col("v").alias("u"), F.col("m").alias("v")), "identity-pairs")
+        lowest = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "identity-low")
         small = materialize((
             large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(lowest.select("u", F.col("m").alias("v")))
@@ -212,8 +228,5 @@ def connected_identities(edges: DataFrame, left: str, right: str, max_rounds: in
         settled = row_differences(small, pairs).isEmpty()
         pairs = small
         if settled:
-            break
-    else:
-        raise RuntimeError(f"identities did not settle in {max_rounds} rounds")
-    return nodes.join(pairs, F.col("node") == F.col("u"), "left").select(
-        "node", F.coalesce("v", "node").alias("component"))
+            return nodes.join(pairs, F.col("node") == F.col("u"), "left").select(
+                "node", F.coalesce("v", "node").alias("component"))

@@ -116,13 +116,12 @@ def _history_merge(target: DataFrame, incoming: DataFrame, keys: list[str], trac
     return history.unionByName(changes.select(F.explode(rows).alias("r")).select("r.*"))
 
 
-def surrogate_ledger(ledger: DataFrame, source: DataFrame, natural: str, surrogate: str,
-                     levels: dict[str, Column] | None = None) -> DataFrame:
+def surrogate_ledger(ledger: DataFrame, source: DataFrame, natural: str, surrogate: str) -> DataFrame:
     """Ledger rows to append: natural keys not known yet, numbered on from the highest key."""
     unseen = source.select(natural).filter(F.col(natural).isNotNull()).distinct().join(
         ledger.select(natural), natural, "left_anti")
     top = ledger.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint")).scalar()
-    return dense_numbers(unseen, surrogate, [natural], start=top + 1, levels=levels)
+    return dense_numbers(unseen, surrogate, [natural], start=top + 1)
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -132,40 +131,48 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def merge_to_silver(source_df: DataFrame, target_table_fqn: str, business_keys: list[str],
                     strategy: str = "scd1", tracking_cols: list[str] | None = None, *,
-                    order_by: list[str] | None = None, partition_by: str | None = None,
+                    order_by: list[str] | None = None, order_only: list[str] | None = None,
+                    partition_by: str | None = None, keys_may_move: bool = True,
                     run_ts: datetime | None = None) -> dict:
     """Create the table on the first run, merge into it afterwards.
 
-    order_by      dedupe the source to its latest row per key first; without it, a repeated
-                  source key stops a merge before anything is written
-    partition_by  partition column of a type 1 table; a merge then rewrites only the
-                  partitions that the source or a matched target row touches
-    run_ts        one time stamp for the whole run (type 2)
+    order_by       dedupe the source to its latest row per key first; without it, a repeated
+                   source key stops a merge before anything is written
+    order_only     columns of order_by that are not part of the table, such as the landing time
+    partition_by   type 1: partition column of the table; a merge rewrites only the partitions
+                   that the source or a matched target row touches. Type 2: name of a column
+                   that the table gets, see `history_parts`; a merge rewrites only the current
+                   versions in the buckets of the source's keys and adds the closed ones
+    keys_may_move  type 1: whether a key can change its partition. If not (a sale keeps its
+                   month), only the partitions of the source are read, not the keys of all
+    run_ts         one time stamp for the whole run (type 2)
     """
     if strategy not in ("scd1", "scd2"):
         raise ValueError(f"Unknown strategy: {strategy!r}. Supported: 'scd1', 'scd2'.")
-    if strategy == "scd2" and partition_by:
-        raise ValueError("partition_by applies to scd1 tables only")
     spark = source_df.sparkSession
     if order_by:
         source_df = dedupe_latest(source_df, business_keys, order_by)
-    stamp = F.lit(run_ts or datetime.now(timezone.utc)).cast("timestamp")
+    source_df = source_df.drop(*(order_only or []))
+    run_ts = run_ts or datetime.now(timezone.utc)
+    stamp = F.lit(run_ts).cast("timestamp")
 
     if not spark.catalog.tableExists(target_table_fqn):
         first = opened(source_df, stamp) if strategy == "scd2" else source_df
+        if strategy == "scd2" and partition_by:
+            first = first.withColumn(partition_by, history_parts(business_keys, stamp))
         rows = lake.create_table(first, target_table_fqn, partition_by)
         return {"action": "initial_write", "rows_written": rows}
 
     source_df = source_df.persist()  # read several times below
     try:
         return _merge_existing(source_df, target_table_fqn, business_keys, strategy, tracking_cols,
-                               bool(order_by), partition_by, stamp)
+                               bool(order_by), partition_by, keys_may_move, stamp)
     finally:
         source_df.unpersist()
 
 
 def _merge_existing(source: DataFrame, table: str, keys: list[str], strategy: str, tracking: list[str] | None,
-                    deduped: bool, partition_by: str | None, stamp: Column) -> dict:
+                    deduped: bool, partition_by: str | None, keys_may_move: bool, stamp: Column) -> dict:
     spark = source.sparkSession
     if not deduped:
         clash = repeated_keys(source, keys).limit(1).collect()
@@ -174,22 +181,25 @@ def _merge_existing(source: DataFrame, table: str, keys: list[str], strategy: st
     target = spark.table(table)
     if strategy == "scd2":
         tracked = tracking if tracking is not None else default_tracking(source.columns, keys)
-        lake.swap_table(versioned_upsert(target, source, keys, tracked, stamp), table)
+        if partition_by:
+            _merge_history(target, source, table, keys, tracked, partition_by, stamp)
+        else:
+            lake.swap_table(versioned_upsert(target, source, keys, tracked, stamp), table)
         return {"action": "scd2_merge", "business_keys": keys, "tracking_cols": tracked}
     if lake.supports_row_merge(spark, table):
         on = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"s.{k}") for k in keys])
         source.alias("s").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
     elif partition_by:
-        _merge_partitions(target, source, table, keys, partition_by)
+        _merge_partitions(target, source, table, keys, partition_by, keys_may_move)
     else:
         lake.swap_table(upsert(target, source, keys), table)
     return {"action": "merge", "business_keys": keys}
 
 
-def _merge_partitions(target: DataFrame, source: DataFrame, table: str, keys: list[str], part: str) -> None:
+def _merge_partitions(target: DataFrame, source: DataFrame, table: str, keys: list[str], part: str, keys_may_move: bool) -> None:
     """Type 1 upsert that reads and rewrites only the touched partitions."""
     touched = source.select(part).distinct()
-    if part not in keys:
+    if keys_may_move and part not in keys:
         # A key may have moved: the partition it leaves is rewritten too. Reads key columns only.
         left = target.select(part, *keys).join(source.select(*keys), keys, "left_semi").select(part).distinct()
         touched = touched.union(left).distinct()
@@ -200,6 +210,33 @@ def _merge_partitions(target: DataFrame, source: DataFrame, table: str, keys: li
     lake.swap_partitions(upsert(slice_, source, keys), table, part, values)
 
 
+HISTORY_BUCKETS = 64
+
+
+def history_parts(keys: list[str], stamp: Column) -> Column:
+    """Partition of a row of a type 2 table: the bucket of its key, for closed versions with the run that closed them."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(HISTORY_BUCKETS)).cast("string")
+    return F.concat(F.when(F.col("is_current"), "open-").otherwise(F.concat(F.lit("closed-"), F.date_format(stamp, "yyyyMMddHHmmssSSSSSS"), F.lit("-"))), bucket)
+
+
+def _merge_history(target: DataFrame, source: DataFrame, table: str, keys: list[str], tracked: list[str], part: str,
+                   stamp: Column) -> None:
+    """Type 2 upsert that reads and rewrites only open versions in the buckets of the source's keys.
+
+    What it closes goes to partitions of this run, published before the buckets they come from; all earlier
+    history keeps its files. After a failure the merge is run again with the same `run_ts`: buckets that were
+    switched close nothing any more, the others write the same partitions again.
+    """
+    incoming = opened(source, stamp)
+    shut = history_parts(keys, stamp).alias("shut")
+    names = incoming.select(history_parts(keys, stamp).alias("open"), "*").withColumn("is_current", F.lit(False)).select("open", shut)
+    names = [(r["open"], r["shut"]) for r in names.distinct().collect()]  # at most HISTORY_BUCKETS
+    touched, closed = [n for n, _ in names], [n for _, n in names]
+    now = target.filter(F.col(part).isin(touched)).drop(part)
+    rows = _history_merge(now, incoming, keys, tracked, {"valid_to": stamp}).withColumn(part, history_parts(keys, stamp))
+    lake.swap_partitions(rows, table, part, touched + closed, append_only=closed)
+
+
 def _all_not_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 

@@ -1,9 +1,15 @@
 """Ordered operators: running sums, version chains, change detection, key assignment.
 
 A window that spans a whole key puts that key into one task. Where a key may be hot, the
-operators here work on *levels*: columns that never decrease along the order (month, day,
-hour…) and cut a key into slices. Slices are summed first and only their sums are ordered
-across a key, so no task ever holds more than one slice of one key.
+operators here cut its order into slices. Slices are summed first and only their sums are
+ordered across a key, so no task ever holds more than one slice of one key. A slice is
+
+* a range: the rows are written range-partitioned by key and full order, so slices hold about
+  as many rows each, whatever the keys and values are, also with one hot key or equal values;
+* or given by *levels*, columns that never decrease along the order (day, hour…), where the
+  calendar is known to cut every key finely enough; this needs no written intermediate.
+
+Rows without a key or a level have no place in any order. They never enter a window.
 """
 
 from __future__ import annotations
@@ -13,124 +19,90 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import dates
 from ..functions import fixed_values as fixed
 from ..functions.columns import clamp, code_map
+from ..sources.scratch import materialize
 
 
-def prefix_sum(df: DataFrame, value: str, out: str, keys: list[str], levels: dict[str, Column],
-               order_by: list[str | Column]) -> DataFrame:
-    """Running sum of `value` per key in (levels…, order_by) order, hot keys split by level.
+def _ascending(order_by: list[str | Column]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
 
-    `levels` maps names to expressions, coarse to fine, that do not decrease along the order;
-    together they cut a key into slices. Slice totals are ordered per key (one row per slice,
-    so the calendar or the number of buckets bounds them), rows only within their slice.
-    `order_by` must make the order within a slice unique. Rows without a key or a level have
-    no place in the order: they are kept, with a NULL sum.
-    """
-    names = list(levels)
-    tagged = df.withColumns(levels)
-    placed = [F.col(c).isNotNull() for c in keys + names]
-    slices = tagged.filter(_all(placed)).groupBy(*keys, *names).agg(F.sum(value).alias("__total"))
-    offsets = _slice_offsets(slices, keys, names).select(
-        *[F.col(c).alias(f"__of_{c}") for c in keys + names], "__offset")
-    order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
-    within = Window.partitionBy(*keys, *names).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = tagged.withColumn("__local", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    same_slice = _all([F.col(c) == F.col(f"__of_{c}") for c in keys + names])
-    return local.join(offsets, same_slice, "left").select(
-        *df.columns, (F.col("__offset") + F.col("__local")).alias(out))
+
+def _sliced(df: DataFrame, keys: list[str], levels: dict[str, Column] | None,
+            order_by: list[str | Column]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(rows with their slice, rows without a place, slice columns)."""
+    if levels is not None:
+        tagged, names = df.withColumns(levels), list(levels)
+        placed = _all([F.col(c).isNotNull() for c in keys + names])
+        return tagged.filter(placed), df.filter(~_all([F.col(c).isNotNull() for c in keys] + [c.isNotNull() for c in levels.values()])), names
+    placed = _all([F.lit(True), *[F.col(c).isNotNull() for c in keys]])
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.filter(placed).repartitionByRange(n, *[F.col(k) for k in keys], *_ascending(order_by))
+    return materialize(ranged.withColumn("__range", F.spark_partition_id()), "ranges"), df.filter(~placed), ["__range"]
 
 
-def _slice_offsets(slices: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
-    """Sum of all earlier slices of the same key.
+def prefix_sum(df: DataFrame, value: str, out: str, keys: list[str], order_by: list[str | Column],
+               levels: dict[str, Column] | None = None) -> DataFrame:
+    """Running sum of `value` per key in (levels…, order_by) order, hot keys cut into slices.
 
-    Without a key all slices form one order. Then blocks (the coarsest level) are summed and
-    ordered first, and slices only within their block.
+    Slices are ranges of (keys, order_by), or `levels`: names and expressions, coarse to fine,
+    that do not decrease along the order. `order_by` must make the order unique within a slice.
+    Rows without a key or a level are kept, with a NULL sum.
     """
-    def before(group: list[str], order: list[str]) -> Column:
-        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum("__total").over(w), F.lit(0))
-
-    if keys or len(names) == 1:
-        return slices.withColumn("__offset", before(keys, names))
-    block = names[0]
-    blocks = (
-        slices.groupBy(block).agg(F.sum("__total").alias("__total"))
-        .select(F.col(block).alias("__block_id"), before([], [block]).alias("__above"))
-    )
-    inner = slices.withColumn("__inside", before([block], names[1:]))
-    return inner.join(blocks, F.col(block) == F.col("__block_id")).withColumn(
-        "__offset", F.col("__above") + F.col("__inside"))
+    rows, outside, names = _sliced(df, keys, levels, order_by)
+    slices = rows.groupBy(*keys, *names).agg(F.sum(value).alias("__total"))
+    before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(*[F.col(c).alias(f"__of_{c}") for c in keys + names],
+                            F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__offset"))
+    within = Window.partitionBy(*keys, *names).orderBy(*_ascending(order_by)).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumn("__local", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    same_slice = _all([F.col(c) == F.col(f"__of_{c}") for c in keys + names])
+    placed = local.join(offsets, same_slice).select(*df.columns, (F.col("__offset") + F.col("__local")).alias(out))
+    return placed.unionByName(outside.withColumn(out, F.lit(None).cast(placed.schema[out].dataType)))
 
 
 def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def with_previous(df: DataFrame, columns: list[str], keys: list[str], levels: dict[str, Column],
-                  order_by: list[str]) -> DataFrame:
-    """Add prev_<column>: the values of the key's row before, hot keys split by level.
+def with_previous(df: DataFrame, columns: list[str], keys: list[str], order_by: list[str],
+                  levels: dict[str, Column] | None = None) -> DataFrame:
+    """Add prev_<column>: the values of the key's row before, hot keys cut into slices.
 
-    Levels and order as in `prefix_sum`. The first row of a slice looks back at the last row
-    of the nearest earlier slice, of which only one row per slice is kept.
+    Slices and order as in `prefix_sum`. The first row of a slice looks back at the last row
+    of the nearest earlier slice, of which only one row per slice is kept. Rows without a key
+    or a level have no row before.
     """
-    names = list(levels)
-    tagged = df.withColumns(levels)
+    rows, outside, names = _sliced(df, keys, levels, order_by)
     taken = F.struct(*[F.col(c).alias(c) for c in columns])
     order = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
     slices = (
-        tagged.filter(_all([F.col(c).isNotNull() for c in keys + names]))
-        .groupBy(*keys, *names).agg(F.max(F.struct(order.alias("o"), taken.alias("t"))).alias("__last"))
+        rows.groupBy(*keys, *names).agg(F.max(F.struct(order.alias("o"), taken.alias("t"))).alias("__last"))
         .withColumn("__before", F.lag("__last.t").over(Window.partitionBy(*keys).orderBy(*names)))
         .select(*[F.col(c).alias(f"__of_{c}") for c in keys + names], "__before")
     )
-    within = Window.partitionBy(*keys, *names).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    local = tagged.withColumns({
+    within = Window.partitionBy(*keys, *names).orderBy(*_ascending(order_by))
+    local = rows.withColumns({
         "__first": F.row_number().over(within) == 1, "__inside": F.lag(taken).over(within)})
     same_slice = _all([F.col(c) == F.col(f"__of_{c}") for c in keys + names])
     prev = F.when(F.col("__first"), F.col("__before")).otherwise(F.col("__inside"))
-    return local.join(slices, same_slice, "left").withColumn("__prev", prev).select(
+    placed = local.join(slices, same_slice).withColumn("__prev", prev).select(
         *df.columns, *[F.col(f"__prev.{c}").alias(f"prev_{c}") for c in columns],
         F.col("__prev").isNotNull().alias("has_previous"))
-
-
-def day_levels(key: str = "date_key") -> dict[str, Column]:
-    """Levels of an integer YYYYMMDD day key."""
-    return {"__year": dates.key_year(key), "__month": dates.key_month(key), "__day": F.col(key)}
-
-
-def time_levels(ts: str) -> dict[str, Column]:
-    """Levels of an event time down to the hour."""
-    return {"__day": F.to_date(ts), "__hour": F.hour(ts)}
-
-
-def number_levels(key: str, width: int = 4096) -> dict[str, Column]:
-    """Levels of an integer key: blocks of width², width, then single keys."""
-    return {
-        "__block": F.floor(F.col(key) / F.lit(width * width)),
-        "__slot": F.floor(F.col(key) / F.lit(width)),
-    }
-
-
-def magnitude_levels(value: str, descending: bool = True) -> dict[str, Column]:
-    """Levels of a measure ordered by size, for ranked running sums.
-
-    The coarse level is the power of two, the fine one 1024 steps within it.
-    """
-    v = F.greatest(F.col(value).cast("double"), F.lit(1e-9))
-    power = F.floor(F.log2(v))
-    step = F.floor(v / F.pow(F.lit(2.0), power) * 1024)
-    sign = F.lit(-1 if descending else 1)
-    return {"__power": power * sign, "__step": step * sign}
+    nothing = {f"prev_{c}": F.lit(None).cast(placed.schema[f"prev_{c}"].dataType) for c in columns}
+    return placed.unionByName(outside.withColumns({**nothing, "has_previous": F.lit(False)}))
 
 
 def running_balance(events: DataFrame, key: str = "customer_key", day: str = "date_key",
                     order_by: tuple[str, ...] = ("event_type", "sale_key", "event_key"),
-                    delta: str = "points_delta", out: str = "balance_after",
-                    levels: dict[str, Column] | None = None) -> DataFrame:
-    """Cumulative points per customer; the output is floored at 0, the sum itself is not."""
-    raw = prefix_sum(events, delta, out, [key], levels or day_levels(day), list(order_by))
+                    delta: str = "points_delta", out: str = "balance_after") -> DataFrame:
+    """Cumulative points per customer; the output is floored at 0, the sum itself is not.
+
+    Events without a customer or a day have no balance.
+    """
+    dated = F.col(key).isNotNull() & F.col(day).isNotNull()
+    raw = prefix_sum(events.filter(dated), delta, out, [key], [day, *order_by])
+    raw = raw.unionByName(events.filter(~dated).withColumn(out, F.lit(None).cast(raw.schema[out].dataType)))
     return raw.withColumn(out, clamp(out, low=0))
 
 
@@ -161,7 +133,7 @@ def tier_upgrades(versions: DataFrame, key: str = "customer_id", effective: str
                   ranks: dict[str, int] | None = None) -> DataFrame:
     """Versions whose tier ranks above the previous version's; unknown tiers rank 0."""
     ranks = ranks or fixed.TIER_RANK
-    prev = with_previous(versions, [tier], [key], {"__slice": F.col(effective)}, [surrogate])
+    prev = with_previous(versions, [tier], [key], [effective, surrogate])
     rose = code_map(tier, ranks, 0) > code_map(f"prev_{tier}", ranks, 0)
     return prev.filter(F.col(f"prev_{tier}").isNotNull() & rose).drop("has_previous")
 
@@ -177,7 +149,11 @@ def version_chain(versions: DataFrame, key: str, effective: str = "effective_dat
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """One row per key, the one with the greatest (order_by…); combines before the shuffle."""
+    """One row per key, the one with the greatest (order_by…), NULL being least.
+
+    A hot key is combined before the shuffle, to one row per task. That is worth the sort on
+    either side with which Spark aggregates structs. Columns must be orderable, so no maps.
+    """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     top = F.max(F.struct(*order_by, *rest)).alias("__top")
     return df.groupBy(*keys).agg(top).select(
@@ -185,26 +161,23 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataF
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """One row per key, the one with the smallest (order_by…); combines before the shuffle."""
+    """One row per key, the one with the smallest (order_by…), NULL coming last; combines as `latest_per_key`."""
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    top = F.min(F.struct(*order_by, *rest)).alias("__top")
+    placed = [x for i, c in enumerate(order_by) for x in (F.col(c).isNull().alias(f"__none{i}"), F.col(c))]
+    top = F.min(F.struct(*placed, *rest)).alias("__top")
     return df.groupBy(*keys).agg(top).select(
         *[(F.col(c) if c in keys else F.col(f"__top.{c}")).alias(c) for c in df.columns])
 
 
-def dense_numbers(df: DataFrame, out: str, order_by: list[str], start: int | Column = 1,
-                  levels: dict[str, Column] | None = None, buckets: int = 4096) -> DataFrame:
-    """Number rows start, start+1, … without a gap and without a global sort.
+def dense_numbers(df: DataFrame, out: str, order_by: list[str], start: int | Column = 1) -> DataFrame:
+    """Number rows start, start+1, … in order and without a gap, with no global sort.
 
-    With monotone `levels` the numbers follow `order_by`. Otherwise rows are spread over
-    hash buckets and numbered bucket by bucket. Both depend on values alone, so a retried
-    task gives every row the same number; `order_by` must identify a row.
+    Rows are written in ranges and numbered inside them, so a retried task gives every row the
+    same number; `order_by` must identify a row.
     """
-    if levels is None:
-        levels = {"__bucket": F.pmod(F.xxhash64(*order_by), F.lit(buckets))}
     first = start if isinstance(start, Column) else F.lit(start)
     ones = df.withColumn("__one", F.lit(1).cast("bigint"))
-    numbered = prefix_sum(ones, "__one", "__n", [], levels, order_by)
+    numbered = prefix_sum(ones, "__one", "__n", [], order_by)
     return numbered.select(*df.columns, (F.col("__n") + first - 1).cast("bigint").alias(out))
 
 
@@ -241,5 +214,5 @@ def falling_watermarks(runs: DataFrame, table: str = "table_name", order_by: str
 
 def out_of_order_versions(versions: DataFrame, key: str, surrogate: str, effective: str = "effective_date") -> DataFrame:
     """Versions that start before the version with the next lower surrogate key."""
-    prev = with_previous(versions, [effective], [key], {"__slice": F.floor(F.col(surrogate) / 4096)}, [surrogate])
+    prev = with_previous(versions, [effective], [key], [surrogate])
     return prev.filter(F.col(effective) < F.col(f"prev_{effective}")).drop("has_previous")

@@ -77,12 +77,17 @@ def share_shift(df: DataFrame, subset: Column, window: Column, base: Column) ->
     return shares.withColumn("shift", ratio("window_share", "base_share"))
 
 
-def return_rate(sales: DataFrame, returns: DataFrame, by: str) -> DataFrame:
-    """Returned lines over sold lines per group; groups with sales only have rate 0."""
-    sold = sales.groupBy(by).agg(count().alias("sold"))
-    back = returns.groupBy(by).agg(count().alias("returned"))
-    return sold.join(back, by, "left").withColumn("returned", F.coalesce("returned", F.lit(0).cast("bigint"))).withColumn(
-        "return_rate", ratio("returned", "sold"))
+def return_rate(sales: DataFrame, returned: Column, by: str) -> DataFrame:
+    """Returned lines over sold lines per group, in one pass; `returned` tells a line's fate."""
+    g = sales.groupBy(by).agg(count().alias("sold"), F.count_if(returned).alias("returned"))
+    return g.withColumn("return_rate", ratio("returned", "sold"))
+
+
+def style_return_rate(sales: DataFrame, returned: Column, style: Column) -> DataFrame:
+    """Return rate of the lines of one style, of all lines, and how many times the one is the other."""
+    of_style = F.coalesce(style, F.lit(False))
+    g = sales.agg(ratio(F.count_if(of_style & returned), F.count_if(of_style)).alias("style_rate"), rate(returned).alias("overall_rate"))
+    return g.withColumn("multiple", ratio("style_rate", "overall_rate"))
 
 
 def returns_by_month(returns: DataFrame) -> DataFrame:
@@ -180,15 +185,15 @@ def revenue_trend(sales: DataFrame) -> DataFrame:
         ratio(r - F.col("same_month_last_year"), "same_month_last_year").alias("yoy"))
 
 
-def revenue_kpis(sales: DataFrame, by: list[str]) -> DataFrame:
+def revenue_kpis(sales: DataFrame, by: list[str], one_row_per_order: bool = False) -> DataFrame:
     """Gross, net, discount, cost, margin, units, orders, average order value.
 
     Lines are folded to one row per order and group first, so orders are counted without a
-    distinct aggregate.
+    distinct aggregate. Sales that come folded say so and save a shuffle of all orders.
     """
-    per_order = sales.groupBy(*by, "order_id").agg(
-        *[F.sum(amount(c)).alias(c) for c in ("gross_amount", "discount_amount", "net_amount", "cost_amount")],
-        F.sum("quantity").alias("quantity"))
+    money = ("gross_amount", "discount_amount", "net_amount", "cost_amount")
+    per_order = sales.select(*by, *[amount(c).alias(c) for c in money], "quantity") if one_row_per_order else sales.groupBy(
+        *by, "order_id").agg(*[F.sum(amount(c)).alias(c) for c in money], F.sum("quantity").alias("quantity"))
     g = per_order.groupBy(*by).agg(
         *[F.sum(c).alias(c) for c in ("gross_amount", "discount_amount", "net_amount", "cost_amount")],
         F.sum("quantity").alias("units"), count().alias("orders"))
@@ -255,16 +260,12 @@ def cohort_retention(sales: DataFrame) -> DataFrame:
                     ratio("customers", size).alias("retention"))
 
 
-def cohort_matrix(cohorts: DataFrame, ages: list[int]) -> DataFrame:
-    """Cohorts as rows, ages as columns."""
+def cohort_matrix(cohorts: DataFrame) -> DataFrame:
+    """Cohorts as rows, all ages that occur as columns; the calendar bounds their number."""
+    ages = [r[0] for r in cohorts.select("age").distinct().orderBy("age").collect()]
     return cohorts.groupBy("cohort_month").pivot("age", ages).agg(F.max("retention"))
 
 
-def order_days(sales: DataFrame) -> DataFrame:
-    """One row per customer, order and day."""
-    return sales.filter("customer_key IS NOT NULL").select("customer_key", "order_id", "date_key").distinct()
-
-
 def first_touch(sales: DataFrame, label: str) -> DataFrame:
     """(customer_key, first_date, label of the first order); the smaller order id breaks ties."""
     return sales.filter("customer_key IS NOT NULL").groupBy("customer_key").agg(
@@ -301,8 +302,7 @@ def top_share(df: DataFrame, key: str, measure: str, top: float) -> DataFrame:
     """Share of the total that the top fraction of keys holds (fraction rounded up)."""
     v = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(amount(measure)).alias("v"))
     ranked = windows.prefix_sum(
-        v.withColumn("__one", F.lit(1).cast("bigint")), "__one", "position", [],
-        windows.magnitude_levels("v"), [F.desc("v"), key])
+        v.withColumn("__one", F.lit(1).cast("bigint")), "__one", "position", [], [F.desc("v"), key])
     n = v.agg(count()).scalar()
     inside = F.col("position") <= F.ceil(n * F.lit(top))
     return ranked.agg(
@@ -315,22 +315,55 @@ def pareto(df: DataFrame, key: str, measure: str) -> DataFrame:
     v = df.groupBy(key).agg(F.sum(amount(measure)).alias("revenue"))
     whole = v.agg(F.sum("revenue")).scalar()
     return windows.prefix_sum(
-        v, "revenue", "cumulative", [], windows.magnitude_levels("revenue"), [F.desc("revenue"), key],
+        v, "revenue", "cumulative", [], [F.desc("revenue"), key],
     ).select(key, F.col("revenue").cast("double").alias("revenue"), F.col("cumulative").cast("double").alias("cumulative"),
              ratio("cumulative", whole).alias("cumulative_share"))
 
 
-def cross_shop(sales: DataFrame, department: str = "department") -> DataFrame:
-    """Customers who buy in one department against those in several: order value, repeats."""
-    cells = sales.filter("customer_key IS NOT NULL").groupBy("customer_key", "order_id", department).agg(
-        F.sum(amount("net_amount")).alias("net"))
-    spent = cells.groupBy("customer_key", "order_id").agg(F.sum("net").alias("net")).groupBy("customer_key").agg(
-        count().alias("orders"), F.sum("net").alias("net"))
-    breadth = cells.select("customer_key", department).distinct().groupBy("customer_key").agg(
-        F.count(department).alias("departments"))
-    return spent.join(breadth, "customer_key").groupBy((F.col("departments") > 1).alias("cross_shopper")).agg(
+def cross_shop(sales: DataFrame, department: str = "department", days: int = 90) -> DataFrame:
+    """Customers who buy in one department against those in several: order value, repeats, and the
+    share who come back within `days` of their first order.
+
+    One fold to orders and one to customers: a customer shops across if the least and the greatest
+    department differ. Departments are compared by hash, which keeps the aggregates hash aggregates.
+    """
+    dept = F.when(F.col(department).isNotNull(), F.xxhash64(department))
+    per_order = sales.filter("customer_key IS NOT NULL").groupBy("customer_key", "order_id").agg(
+        F.sum(amount("net_amount")).alias("net"), F.min(dept).alias("low"), F.max(dept).alias("high"), F.min("date_key").alias("date_key"))
+    visits = per_order.groupBy("customer_key", "date_key").agg(
+        count().alias("orders"), F.sum("net").alias("net"), F.min("low").alias("low"), F.max("high").alias("high"))
+    w = Window.partitionBy("customer_key")  # at most one row per day
+    since = F.datediff(dates.key_to_date("date_key"), dates.key_to_date(F.min("date_key").over(w)))
+    per = visits.withColumn("since", since).groupBy("customer_key").agg(
+        F.sum("orders").alias("orders"), F.sum("net").alias("net"), F.min("low").alias("low"), F.max("high").alias("high"),
+        (F.count_if((F.col("since") > 0) & (F.col("since") <= days)) > 0).alias("back"))
+    per = per.filter("low IS NOT NULL")
+    return per.groupBy((F.col("low") != F.col("high")).alias("cross_shopper")).agg(
         count().alias("customers"), ratio(F.sum("net"), F.sum("orders")).alias("aov"),
-        ratio(F.sum("orders"), count()).alias("orders_per_customer"))
+        ratio(F.sum("orders"), count()).alias("orders_per_customer"), rate(F.col("back")).alias("retention"))
+
+
+def multiples(groups: DataFrame, flag: str, measures: list[str]) -> DataFrame:
+    """Each measure of the flagged group over that of the others."""
+    def of(c: str, on: bool) -> Column:
+        return F.max(F.when(F.col(flag) == on, F.col(c)))
+
+    return groups.agg(*[ratio(of(c, True), of(c, False)).alias(f"{c}_multiple") for c in measures])
+
+
+def promo_cohort_retention(sales: DataFrame, calendar: DataFrame, promo: str, days: int = 90) -> DataFrame:
+    """Customers whose first order fell into a promo window against all others: share who come back within `days`.
+
+    `calendar` has (date_key, promo_name). One row per customer and day is compared with the customer's first.
+    """
+    visits = sales.filter("customer_key IS NOT NULL AND date_key IS NOT NULL").select("customer_key", "date_key").distinct()
+    first = F.min("date_key").over(Window.partitionBy("customer_key"))
+    since = F.datediff(dates.key_to_date("date_key"), dates.key_to_date("first_key"))
+    per = visits.withColumn("first_key", first).groupBy("customer_key", "first_key").agg(
+        (F.count_if((since > 0) & (since <= days)) > 0).alias("back"))
+    window = calendar.filter(F.col("promo_name") == promo).select(F.col("date_key").alias("first_key"), F.lit(True).alias("hit"))
+    return per.join(window, "first_key", "left").groupBy(F.coalesce("hit", F.lit(False)).alias("promo_cohort")).agg(
+        count().alias("customers"), F.count_if("back").alias("retained"), rate(F.col("back")).alias("retention"))
 
 
 # Products and stores
@@ -456,9 +489,9 @@ def size_bracketing(lines: DataFrame, size: str = "size", style: str = "style_co
 # Events and comparisons
 
 
-def funnel(sessions: DataFrame, session: str, stage: str, stages: list[str]) -> DataFrame:
+def funnel(sessions: DataFrame, session: list[str], stage: str, stages: list[str]) -> DataFrame:
     """Sessions reaching each stage in order: a stage counts only if all before it were reached."""
-    per = sessions.groupBy(session).agg(*[
+    per = sessions.groupBy(*session).agg(*[
         F.max((F.col(stage) == s).cast("int")).alias(f"s{i}") for i, s in enumerate(stages)])
     reached, cols = F.lit(1), []
     for i, s in enumerate(stages):
@@ -471,9 +504,9 @@ def funnel(sessions: DataFrame, session: str, stage: str, stages: list[str]) ->
     return per.agg(*cols).select(F.explode(rows).alias("r")).select("r.*")
 
 
-def visit_rates(events: DataFrame, session: str, stage: str, cart: str, checkout: str, order: str) -> DataFrame:
-    """Bounce, add-to-cart and checkout abandonment rates over visits."""
-    per = events.groupBy(session).agg(
+def visit_rates(events: DataFrame, visit: list[str], stage: str, cart: str, checkout: str, order: str) -> DataFrame:
+    """Bounce, add-to-cart and checkout abandonment rates over visits, which `visit` tells apart."""
+    per = events.groupBy(*visit).agg(
         count().alias("steps"), *[F.max(F.col(stage) == s).alias(n) for n, s in (("cart", cart), ("checkout", checkout), ("ordered", order))])
     return per.agg(
         count().alias("visits"), rate(F.col("steps") == 1).alias("bounce_rate"), rate(F.col("cart")).alias("cart_rate"),
@@ -482,7 +515,7 @@ def visit_rates(events: DataFrame, session: str, stage: str, cart: str, checkout
 
 def stage_flow(events: DataFrame, key: str, ts: str, order: str, stage: str) -> DataFrame:
     """How often one stage directly follows another for the same visitor."""
-    prev = windows.with_previous(events, [stage], [key], windows.time_levels(ts), [ts, order])
+    prev = windows.with_previous(events, [stage], [key], [ts, order])
     return prev.filter("has_previous").groupBy(F.col(f"prev_{stage}").alias("from_stage"), F.col(stage).alias("to_stage")).agg(
         count().alias("n"))
 
@@ -533,14 +566,16 @@ def attainment(actual: DataFrame, target: Column, measure: str) -> DataFrame:
         "attainment", ratio("actual", "target"))
 
 
-def order_value_spread(sales: DataFrame, by: str, points: tuple[float, ...] = (0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
+def order_value_spread(sales: DataFrame, by: str, points: tuple[float, ...] = (0.0, 0.25, 0.5, 0.75, 1.0),
+                       one_row_per_order: bool = False) -> DataFrame:
     """Exact five-number summary of order values per segment (discrete percentiles).
 
     Positions come from running counts over slices of value, so no task holds a segment.
     """
-    orders = sales.groupBy(by, "order_id").agg(F.sum(amount("net_amount")).alias("v"))
+    orders = sales.select(by, amount("net_amount").alias("v")) if one_row_per_order else sales.groupBy(by, "order_id").agg(
+        F.sum(amount("net_amount")).alias("v"))
     values = orders.groupBy(by, "v").agg(count().alias("n"))
-    placed = windows.prefix_sum(values, "n", "upto", [by], windows.magnitude_levels("v", descending=False), ["v"])
+    placed = windows.prefix_sum(values, "n", "upto", [by], ["v"])
     sizes = values.groupBy(by).agg(F.sum("n").alias("orders"))
     g = placed.join(sizes, by).groupBy(by, "orders").agg(*[
         F.min(F.when(F.col("upto") >= F.greatest(F.ceil(F.col("orders") * F.lit(p)), F.lit(1)), F.col("v"))).cast(

@@ -95,4 +95,4 @@ CAMPAIGNS_SQL = """
 
 
 def load_all() -> None:
-    from . import columns_joins, history_windows, quality_loads, retail_questions  # noqa: F401
+    from . import columns_joins, gold_gate, history_windows, quality_loads, retail_questions  # noqa: F401

@@ -175,9 +175,11 @@ def tax_by_geography(t):
     return taxed.groupBy("geo_key").agg((F.sum("tax") * 100).cast("bigint").alias("tax_cents"))
 
 
-@query(None)
+@query("""
+SELECT o_orderkey AS order_key, o_totalprice AS total FROM orders
+WHERE CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|sample-1'), 1, 8) AS BIGINT) % 1000 < 50""")
 def hash_sampled_orders(t):
-    """A twentieth of the orders, the same ones on every run and layout (engine-specific hash)."""
+    """A twentieth of the orders, the same ones on every run, layout and engine."""
     return columns.hash_sample(t.orders, "o_orderkey", 50, "sample-1").select(
         F.col("o_orderkey").alias("order_key"), F.col("o_totalprice").alias("total"))
 
@@ -319,7 +321,7 @@ def geography_keys(t):
     geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     from ...operators.windows import dense_numbers
 
-    return dense_numbers(geo, "geo_key", ["n_name", "n_nationkey"], levels={"__initial": F.substring("n_name", 1, 1)}).select(
+    return dense_numbers(geo, "geo_key", ["n_name", "n_nationkey"]).select(
         "geo_key", F.col("n_name").alias("country"), F.col("r_name").alias("metro"))
 
 
@@ -449,56 +451,49 @@ def campaign_spend_spine(t):
         count().alias("days"), F.min("date_key").alias("first_key"), F.max("date_key").alias("last_key"))
 
 
-TOP_SQL = f"""
+SPINE_SQL = """
   top AS (SELECT product_key FROM (SELECT product_key, sum(quantity) AS q FROM shipped GROUP BY 1 ORDER BY q DESC, product_key LIMIT 20) JOIN part ON p_partkey = product_key),
-  span AS (SELECT date_trunc('month', min(d)) AS lo, date_trunc('month', max(d)) AS hi FROM shipped),
-  m AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS date FROM span),
-  snap AS (SELECT product_key, s_nationkey AS store_key, CAST(date_trunc('month', d) AS DATE) AS date, sum(quantity) AS units
-    FROM shipped JOIN supplier ON s_suppkey = store_key GROUP BY 1, 2, 3)"""
+  span AS (SELECT min(d) AS lo, max(d) AS hi FROM shipped),
+  day AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM span)"""
 
 
-def _snapshots(t):
-    """Units per product, region store and month, with the full spine of the top products."""
-    lines = standins.shipped_lines(t)
-    top = compare.top_n_present(lines, "product_key", "quantity", 20, standins.products(t))
-    month = F.trunc(dates.key_to_date("date_key"), "month")
-    wanted = lines.join(top.select("product_key"), "product_key", "left_semi")
-    by_supplier = wanted.groupBy("product_key", F.col("store_key").alias("s_suppkey"), month.alias("date")).agg(
-        F.sum("quantity").alias("units"))
-    snap = by_supplier.join(t.supplier, "s_suppkey").groupBy(
-        "product_key", F.col("s_nationkey").alias("store_key"), "date").agg(F.sum("units").alias("units"))
-    low = t.lineitem.agg(F.trunc(F.min("l_shipdate"), "month")).scalar()
-    high = t.lineitem.agg(F.trunc(F.max("l_shipdate"), "month")).scalar()
-    stores = t.nation.select(F.col("n_nationkey").cast("bigint").alias("store_key"))
-    spine = joins.inventory_spine(top, stores, low, high, "interval 1 month")
-    return spine, snap
+def _ship_span(t):
+    return (t.lineitem.agg(F.min("l_shipdate").cast("date")).scalar(), t.lineitem.agg(F.max("l_shipdate").cast("date")).scalar())
+
+
+def _supplier_stores(t):
+    return t.supplier.select(F.col("s_suppkey").cast("bigint").alias("store_key"))
 
 
 @query(f"""
-WITH {SHIPPED_SQL}, {TOP_SQL}
+WITH {SHIPPED_SQL}, {SPINE_SQL}, snap AS (SELECT product_key, store_key, d AS date, sum(quantity) AS units FROM shipped GROUP BY 1, 2, 3)
 SELECT s.product_key, CAST(year(s.date) AS BIGINT) AS yr, count(*) AS cells, CAST(sum(coalesce(units, 0)) AS BIGINT) AS units,
   count(*) FILTER (WHERE units IS NULL) AS empty_cells
-FROM (SELECT product_key, n_nationkey AS store_key, date FROM top CROSS JOIN nation CROSS JOIN m) s
+FROM (SELECT product_key, s_suppkey AS store_key, date FROM top CROSS JOIN supplier CROSS JOIN day) s
 LEFT JOIN snap ON snap.product_key = s.product_key AND snap.store_key = s.store_key AND snap.date = s.date GROUP BY 1, 2""")
 def inventory_spine_cells(t):
-    """product x store x month spine of the top sellers, densified with shipped units."""
-    spine, snap = _snapshots(t)
-    dense = spine.join(snap.withColumnRenamed("units", "seen"), ["product_key", "store_key", "date"], "left")
+    """product x store x day spine of the 20 top sellers (a parameter of the model), densified with shipped units."""
+    lines = standins.shipped_lines(t)
+    top = compare.top_n_present(lines, "product_key", "quantity", 20, standins.products(t))
+    spine = joins.inventory_spine(top, _supplier_stores(t), *_ship_span(t))
+    snap = lines.join(top.select("product_key"), "product_key", "left_semi").groupBy(
+        "product_key", "store_key", dates.key_to_date("date_key").alias("date")).agg(F.sum("quantity").alias("units"), F.lit(1).alias("seen"))
+    dense = joins.densify(spine, snap, ["product_key", "store_key", "date"], {"units": 0, "seen": 0})
     return dense.groupBy("product_key", F.year("date").cast("bigint").alias("yr")).agg(
-        count().alias("cells"), F.coalesce(F.sum("seen"), F.lit(0)).alias("units"),
-        F.count_if(F.col("seen").isNull()).alias("empty_cells"))
+        count().alias("cells"), F.sum("units").alias("units"), F.count_if(F.col("seen") == 0).alias("empty_cells"))
 
 
 @query(f"""
-WITH {SHIPPED_SQL}, {TOP_SQL}
-SELECT CAST(n_nationkey AS BIGINT) AS store_key, count(*) AS missing FROM top CROSS JOIN nation CROSS JOIN m
-WHERE NOT EXISTS (SELECT 1 FROM snap WHERE snap.product_key = top.product_key AND snap.store_key = n_nationkey AND snap.date = m.date)
+WITH {SHIPPED_SQL}, {SPINE_SQL}, snap AS (SELECT DISTINCT store_key, d AS date FROM shipped)
+SELECT s_suppkey AS store_key, count(*) AS missing FROM supplier CROSS JOIN day
+WHERE NOT EXISTS (SELECT 1 FROM snap WHERE snap.store_key = s_suppkey AND snap.date = day.date)
 GROUP BY 1""")
 def missing_snapshots(t):
-    """Spine cells for which no snapshot arrived."""
-    spine, snap = _snapshots(t)
-    return joins.without_current(spine, snap, ["product_key", "store_key", "date"]).groupBy("store_key").agg(
-        count().alias("missing"))
+    """Days per store on which nothing was shipped, of all lines."""
+    low, high = _ship_span(t)
+    spine = _supplier_stores(t).select("store_key", F.explode(F.sequence(low, high)).alias("date"))
+    snap = standins.shipped_lines(t).select("store_key", dates.key_to_date("date_key").alias("date")).distinct()
+    return joins.without_current(spine, snap, ["store_key", "date"]).groupBy("store_key").agg(count().alias("missing"))
 
 
 @query("""

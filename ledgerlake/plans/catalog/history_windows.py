@@ -159,7 +159,7 @@ FROM customer""")
 def surrogate_keys(t):
     """Dense keys continuing from a watermark, in natural order, without a global sort."""
     c = t.customer.select(F.col("c_custkey").alias("natural_key"))
-    return windows.dense_numbers(c, "surrogate_key", ["natural_key"], start=5001, levels=windows.number_levels("natural_key", 256))
+    return windows.dense_numbers(c, "surrogate_key", ["natural_key"], start=5001)
 
 
 @query("""
@@ -401,9 +401,9 @@ SELECT nk, sk FROM ledger UNION ALL SELECT nk, (SELECT max(sk) FROM ledger) + ro
 def surrogate_key_ledger(t):
     """Known keys keep their number, unseen ones continue from the highest."""
     known = t.customer.filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("nk"))
-    ledger = windows.dense_numbers(known, "sk", ["nk"], start=101, levels=windows.number_levels("nk", 256))
+    ledger = windows.dense_numbers(known, "sk", ["nk"], start=101)
     source = t.orders.select(F.col("o_custkey").alias("nk"))
-    return ledger.unionByName(merge.surrogate_ledger(ledger, source, "nk", "sk", levels=windows.number_levels("nk", 256)))
+    return ledger.unionByName(merge.surrogate_ledger(ledger, source, "nk", "sk"))
 
 
 @query("""

@@ -43,7 +43,7 @@ def revenue_by_month_and_segment(t):
     customers = t.customer.select(F.col("c_custkey").alias("customer_key"), F.col("c_mktsegment").alias("segment"))
     sales = standins.order_sums(t).join(customers, "customer_key").withColumns({
         "month_key": analytics.month_of(), "cost_amount": F.col("gross_amount") * F.lit("0.5").cast("decimal(2,1)")})
-    return analytics.revenue_kpis(sales, ["month_key", "segment"])
+    return analytics.revenue_kpis(sales, ["month_key", "segment"], one_row_per_order=True)
 
 
 @query(f"""
@@ -98,7 +98,7 @@ FROM o GROUP BY 1""")
 def order_value_spread(t):
     """Exact quartiles of order value per segment."""
     customers = t.customer.select(F.col("c_custkey").alias("customer_key"), F.col("c_mktsegment").alias("segment"))
-    return analytics.order_value_spread(standins.order_sums(t).join(customers, "customer_key"), "segment")
+    return analytics.order_value_spread(standins.order_sums(t).join(customers, "customer_key"), "segment", one_row_per_order=True)
 
 
 @query(f"""
@@ -189,6 +189,27 @@ def weather_event_lift(t):
     return analytics.event_lift(daily, spread, ["category"], "v")
 
 
+@query(f"""
+WITH {SHIPPED_SQL}, {PRODUCTS_SQL}, places AS (SELECT s_suppkey AS store_key, r_name AS region FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON r_regionkey = n_regionkey),
+daily AS (SELECT d, region, category, sum(net_amount) AS v FROM shipped JOIN products USING (product_key) JOIN places USING (store_key) GROUP BY 1, 2, 3),
+ev AS (SELECT DISTINCT CAST(e.d + i AS DATE) AS d, e.region, e.category FROM (SELECT DISTINCT d, region, category FROM daily WHERE day(d) = 1 AND month(d) % 3 = length(region) % 3) e, (VALUES (0), (1), (2), (3)) x(i)),
+g AS (SELECT daily.region, daily.category, {frac('sum(v) FILTER (WHERE ev.d IS NOT NULL)', 'count(*) FILTER (WHERE ev.d IS NOT NULL)')} AS event_mean,
+  {frac('sum(v) FILTER (WHERE ev.d IS NULL)', 'count(*) FILTER (WHERE ev.d IS NULL)')} AS other_mean
+  FROM daily LEFT JOIN ev ON ev.d = daily.d AND ev.category = daily.category AND ev.region = daily.region GROUP BY 1, 2)
+SELECT *, event_mean / nullif(other_mean, 0) AS lift FROM g""")
+def regional_weather_lift(t):
+    """Daily revenue per region and category on the days of that region's events against its other days."""
+    places = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
+        t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("s_suppkey").alias("store_key"), F.col("r_name").alias("region"))
+    keys = ["region", "category"]
+    per_store = standins.with_product(standins.shipped_lines(t), t, "category").groupBy("date_key", "store_key", "category").agg(F.sum("net_amount").alias("v"))
+    daily = per_store.join(places, "store_key").groupBy("date_key", *keys).agg(F.sum("v").alias("v"))
+    start = dates.key_to_date("date_key")
+    events = daily.select(start.alias("first"), *keys).filter((F.dayofmonth("first") == 1) & (F.month("first") % 3 == F.length("region") % 3))
+    spread = joins.active_days(events, "first", F.date_add("first", 3), "on").select(dates.date_key("on").alias("date_key"), *keys)
+    return analytics.event_lift(daily, spread, keys, "v")
+
+
 @query(f"""
 WITH {SHIPPED_SQL}, l AS (SELECT store_key, min(d) + 700 AS launch FROM shipped GROUP BY 1),
 g AS (SELECT store_key, coalesce(sum(net_amount) FILTER (WHERE d - launch BETWEEN -90 AND -1), 0) AS a, coalesce(sum(net_amount) FILTER (WHERE d - launch BETWEEN 0 AND 89), 0) AS b
@@ -210,7 +231,7 @@ SELECT channel_type, count(*) AS sold, count(*) FILTER (WHERE return_flag = 'R')
 def return_rate_by_channel(t):
     kind = F.when(F.col("channel_key") == 1, "store").otherwise("online")
     sales = standins.order_lines(t).withColumn("channel_type", kind)
-    return analytics.return_rate(sales, sales.filter("return_flag = 'R'"), "channel_type")
+    return analytics.return_rate(sales, F.col("return_flag") == "R", "channel_type")
 
 
 @query(f"""
@@ -225,12 +246,23 @@ WITH {SHIPPED_SQL}, g AS (SELECT CAST(line % 12 + 1 AS BIGINT) AS return_reason_
   WHERE return_flag = 'R' AND starts_with(p_name, 'small') GROUP BY 1)
 SELECT *, {frac('returns', 'sum(returns) OVER ()')} AS share FROM g""")
 def return_reasons_of_style(t):
+    """Why the lines of one style come back."""
     style = t.part.filter(F.col("p_name").startswith("small")).select(F.col("p_partkey").alias("product_key"))
     back = standins.returned_lines(t).join(style, "product_key", "left_semi").withColumn(
         "return_reason_key", (F.col("line") % 12 + 1).cast("bigint"))
     return analytics.reason_mix(back)
 
 
+@query(f"""
+WITH {SHIPPED_SQL}, x AS (SELECT return_flag = 'R' AS back, starts_with(p_name, 'small') AS style FROM shipped JOIN part ON p_partkey = product_key),
+g AS (SELECT {frac('count(*) FILTER (WHERE back AND style)', 'count(*) FILTER (WHERE style)')} AS style_rate, {frac('count(*) FILTER (WHERE back)', 'count(*)')} AS overall_rate FROM x)
+SELECT *, style_rate / nullif(overall_rate, 0) AS multiple FROM g""")
+def return_rate_of_style(t):
+    """Return rate of one style against the overall rate."""
+    styles = t.part.select(F.col("p_partkey").alias("product_key"), F.col("p_name").startswith("small").alias("of_style"))
+    return analytics.style_return_rate(standins.shipped_lines(t).join(styles, "product_key"), F.col("return_flag") == "R", F.col("of_style"))
+
+
 @query(f"""
 WITH {SESSIONS_SQL}
 SELECT device_type, count(*) AS sessions, {frac('count(*)', 'sum(count(*)) OVER ()')} AS session_share, {frac('count(*) FILTER (WHERE is_converted)', 'count(*)')} AS conversion
@@ -264,14 +296,14 @@ STAGES = ["view", "click", "signup", "purchase"]
 
 
 @query(f"""
-WITH p AS (SELECT user_id || '-' || CAST(ts AS DATE) AS s, max(event_type = 'view') AS a, max(event_type = 'click') AS b, max(event_type = 'signup') AS c, max(event_type = 'purchase') AS d FROM events GROUP BY 1),
+WITH p AS (SELECT user_id, CAST(ts AS DATE) AS day, max(event_type = 'view') AS a, max(event_type = 'click') AS b, max(event_type = 'signup') AS c, max(event_type = 'purchase') AS d FROM events GROUP BY 1, 2),
 n AS (SELECT count(*) FILTER (WHERE a) AS n0, count(*) FILTER (WHERE a AND b) AS n1, count(*) FILTER (WHERE a AND b AND c) AS n2, count(*) FILTER (WHERE a AND b AND c AND d) AS n3 FROM p)
 SELECT CAST(1 AS BIGINT) AS step, 'view' AS stage, n0 AS sessions, {frac('n0', 'n0')} AS step_rate FROM n UNION ALL SELECT 2, 'click', n1, {frac('n1', 'n0')} FROM n
 UNION ALL SELECT 3, 'signup', n2, {frac('n2', 'n1')} FROM n UNION ALL SELECT 4, 'purchase', n3, {frac('n3', 'n2')} FROM n""")
 def session_funnel(t):
     """Visits reaching each stage, a visit being one user's day."""
-    e = t.events.select(F.concat_ws("-", "user_id", F.col("ts").cast("date")).alias("visit"), "event_type")
-    return analytics.funnel(e, "visit", "event_type", STAGES)
+    e = t.events.select("user_id", F.col("ts").cast("date").alias("day"), "event_type")
+    return analytics.funnel(e, ["user_id", "day"], "event_type", STAGES)
 
 
 @query("""
@@ -330,6 +362,12 @@ def lifetime_value(t):
     return analytics.lifetime_value(standins.order_totals(t), spend)
 
 
+CROSS_SQL = """
+o AS (SELECT customer_key, order_id, sum(net_amount) AS net, min(d) AS d FROM x GROUP BY 1, 2), f AS (SELECT customer_key, min(d) AS fd FROM o GROUP BY 1),
+c AS (SELECT customer_key, count(*) AS orders, sum(net) AS net, count(*) FILTER (WHERE d > fd AND d <= fd + 90) > 0 AS back FROM o JOIN f USING (customer_key) GROUP BY 1),
+k AS (SELECT customer_key, count(DISTINCT category) > 1 AS cross_shopper FROM x GROUP BY 1), per AS (SELECT * FROM c JOIN k USING (customer_key))"""
+
+
 COHORT_SQL = """
   a AS (SELECT customer_key, n, min(n) OVER (PARTITION BY customer_key) AS c FROM cm),
   g AS (SELECT c, n - c AS age, count(*) AS customers FROM a GROUP BY 1, 2)"""
@@ -346,11 +384,11 @@ def cohort_retention(t):
 
 @query(f"""
 WITH {ORDERS_SQL}, {CM_SQL}, {COHORT_SQL},
-r AS (SELECT c, age, {frac('customers', 'max(CASE WHEN age = 0 THEN customers END) OVER (PARTITION BY c)')} AS x FROM g)
-SELECT CAST(c // 12 * 100 + c % 12 + 1 AS BIGINT) AS cohort_month, max(x) FILTER (WHERE age = 0) AS "0", max(x) FILTER (WHERE age = 1) AS "1",
-  max(x) FILTER (WHERE age = 3) AS "3", max(x) FILTER (WHERE age = 12) AS "12" FROM r GROUP BY 1""")
+r AS (SELECT CAST(c // 12 * 100 + c % 12 + 1 AS BIGINT) AS cohort_month, age, {frac('customers', 'max(CASE WHEN age = 0 THEN customers END) OVER (PARTITION BY c)')} AS x FROM g)
+SELECT * FROM (PIVOT r ON age USING max(x) GROUP BY cohort_month)""")
 def cohort_matrix(t):
-    return analytics.cohort_matrix(analytics.cohort_retention(standins.order_totals(t)), [0, 1, 3, 12])
+    """Every cohort by every age that occurs."""
+    return analytics.cohort_matrix(analytics.cohort_retention(standins.order_totals(t)))
 
 
 @query(f"""
@@ -362,6 +400,18 @@ def repeat_rate_by_first_order(t):
     return analytics.repeat_rate(standins.order_totals(t), "priority")
 
 
+@query(f"""
+WITH {ORDERS_SQL}, {SPAN_SQL}, {PROMO_SQL},
+f AS (SELECT customer_key, min(d) AS fd FROM ord GROUP BY 1),
+r AS (SELECT f.customer_key, fd, count(o.order_id) > 0 AS back FROM f LEFT JOIN ord o ON o.customer_key = f.customer_key AND o.d > fd AND o.d <= fd + 90 GROUP BY 1, 2)
+SELECT promo_name IS NOT NULL AND promo_name = 'Spring New Arrivals' AS promo_cohort, count(*) AS customers, count(*) FILTER (WHERE back) AS retained,
+  {frac('count(*) FILTER (WHERE back)', 'count(*)')} AS retention FROM r LEFT JOIN pday ON pday.d = fd GROUP BY 1""")
+def promo_cohort_retention(t):
+    """90-day retention of customers acquired in one promo window against all others."""
+    sales = standins.order_totals(t)
+    return analytics.promo_cohort_retention(sales, _calendar(t, sales, "date_key"), "Spring New Arrivals")
+
+
 @query(f"""
 WITH {ORDERS_SQL}, f AS (SELECT customer_key, arg_min(priority, (date_key, order_id)) AS priority, sum(net_amount) AS v FROM ord GROUP BY 1)
 SELECT priority, count(*) AS customers, {frac('sum(v)', 'count(*)')} AS average_ltv FROM f GROUP BY 1""")
@@ -380,14 +430,24 @@ def top_customer_share(t):
 
 @query(f"""
 WITH {SALES_SQL}, {PRODUCTS_SQL}, x AS (SELECT * FROM sales JOIN products USING (product_key)),
-o AS (SELECT customer_key, order_id, sum(net_amount) AS net FROM x GROUP BY 1, 2), c AS (SELECT customer_key, count(*) AS orders, sum(net) AS net FROM o GROUP BY 1),
-d AS (SELECT customer_key, count(DISTINCT category) AS k FROM x GROUP BY 1)
-SELECT k > 1 AS cross_shopper, count(*) AS customers, {frac('sum(net)', 'sum(orders)')} AS aov, {frac('sum(orders)', 'count(*)')} AS orders_per_customer FROM c JOIN d USING (customer_key) GROUP BY 1""")
+{CROSS_SQL}
+SELECT cross_shopper, count(*) AS customers, {frac('sum(net)', 'sum(orders)')} AS aov, {frac('sum(orders)', 'count(*)')} AS orders_per_customer, {frac('count(*) FILTER (WHERE back)', 'count(*)')} AS retention FROM per GROUP BY 1""")
 def cross_shoppers(t):
     """Customers buying in one department against several."""
     return analytics.cross_shop(standins.with_product(standins.order_lines(t), t, "category"), "category")
 
 
+@query(f"""
+WITH {SALES_SQL}, {PRODUCTS_SQL}, x AS (SELECT * FROM sales JOIN products USING (product_key)), {CROSS_SQL},
+g AS (SELECT cross_shopper, {frac('sum(net)', 'sum(orders)')} AS aov, {frac('count(*) FILTER (WHERE back)', 'count(*)')} AS retention FROM per GROUP BY 1)
+SELECT max(aov) FILTER (WHERE cross_shopper) / nullif(max(aov) FILTER (WHERE NOT cross_shopper), 0) AS aov_multiple,
+  max(retention) FILTER (WHERE cross_shopper) / nullif(max(retention) FILTER (WHERE NOT cross_shopper), 0) AS retention_multiple FROM g""")
+def cross_shopper_multiples(t):
+    """How many times the order value and the retention of cross-shoppers are those of the others."""
+    groups = analytics.cross_shop(standins.with_product(standins.order_lines(t), t, "category"), "category")
+    return analytics.multiples(groups, "cross_shopper", ["aov", "retention"])
+
+
 # Products and stores
 
 
@@ -407,11 +467,14 @@ def category_rank_by_month(t):
 
 
 @query(f"""
-WITH {SHIPPED_SQL}, g AS (SELECT store_key, sum(net_amount) AS net FROM shipped WHERE date_key >= 20010601 GROUP BY 1)
-SELECT s_suppkey AS store_key, CAST(coalesce(net, 0) AS DOUBLE) AS net, {frac('coalesce(net, 0)', '1000 + s_suppkey % 7 * 500')} AS net_per_sqft FROM supplier LEFT JOIN g ON store_key = s_suppkey""")
+WITH {SHIPPED_SQL}, g AS (SELECT store_key, sum(net_amount) AS net FROM shipped GROUP BY 1), s AS (SELECT s_suppkey FROM supplier UNION ALL SELECT -s_suppkey - 1 FROM supplier WHERE s_suppkey % 10 = 0)
+SELECT CAST(s_suppkey AS BIGINT) AS store_key, CAST(coalesce(net, 0) AS DOUBLE) AS net, {frac('coalesce(net, 0)', '1000 + abs(s_suppkey) % 7 * 500')} AS net_per_sqft FROM s LEFT JOIN g ON store_key = s_suppkey""")
 def store_sales_per_area(t):
-    stores = t.supplier.select(F.col("s_suppkey").alias("store_key"), (F.col("s_suppkey") % 7 * 500 + 1000).alias("square_footage"))
-    return analytics.store_metrics(standins.shipped_lines(t).filter("date_key >= 20010601"), stores)
+    """All sales over the store's area; stores that have sold nothing yet are there with 0."""
+    key = F.col("s_suppkey").cast("bigint")
+    keys = t.supplier.select(key.alias("store_key")).union(t.supplier.filter("s_suppkey % 10 = 0").select(-key - 1))
+    stores = keys.withColumn("square_footage", F.abs("store_key") % 7 * 500 + 1000)
+    return analytics.store_metrics(standins.shipped_lines(t), stores)
 
 
 @query(f"""
@@ -434,12 +497,14 @@ def product_metrics(t):
 
 
 @query(f"""
-WITH {SHIPPED_SQL}, s AS (SELECT product_key, sum(quantity) AS q FROM shipped WHERE date_key >= 20000101 GROUP BY 1)
-SELECT p_partkey AS product_key, CAST(coalesce(q, 0) AS BIGINT) AS units_sold, {frac('coalesce(q, 0)', 'coalesce(q, 0) + p_size * 10')} AS sell_through FROM part LEFT JOIN s ON product_key = p_partkey""")
+WITH {SHIPPED_SQL}, s AS (SELECT product_key, sum(quantity) AS q FROM shipped GROUP BY 1), p AS (SELECT p_partkey, p_size FROM part UNION ALL SELECT -p_partkey - 1, p_size FROM part WHERE p_partkey % 10 = 0)
+SELECT CAST(p_partkey AS BIGINT) AS product_key, CAST(coalesce(q, 0) AS BIGINT) AS units_sold, {frac('coalesce(q, 0)', 'coalesce(q, 0) + p_size * 10')} AS sell_through FROM p LEFT JOIN s ON product_key = p_partkey""")
 def sell_through(t):
-    """Units sold over sold plus on hand, products without sales included."""
-    sold = standins.shipped_lines(t).filter("date_key >= 20000101").groupBy("product_key").agg(F.sum("quantity").alias("units_sold"))
-    stock = t.part.select(F.col("p_partkey").alias("product_key"), (F.col("p_size") * 10).cast("bigint").alias("units_on_hand"))
+    """Units sold over sold plus on hand, products that never sold included."""
+    sold = standins.shipped_lines(t).groupBy("product_key").agg(F.sum("quantity").alias("units_sold"))
+    key = F.col("p_partkey").cast("bigint")
+    parts = t.part.select(key.alias("product_key"), "p_size").union(t.part.filter("p_partkey % 10 = 0").select(-key - 1, "p_size"))
+    stock = parts.select("product_key", (F.col("p_size") * 10).cast("bigint").alias("units_on_hand"))
     return analytics.sell_through(sold, stock, "product_key")
 
 
@@ -458,13 +523,13 @@ def size_bracketing(t):
 
 
 @query(f"""
-WITH v AS (SELECT user_id || '-' || CAST(ts AS DATE) AS s, count(*) AS k, max(event_type = 'click') AS c, max(event_type = 'signup') AS o, max(event_type = 'purchase') AS p FROM events GROUP BY 1)
+WITH v AS (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS k, max(event_type = 'click') AS c, max(event_type = 'signup') AS o, max(event_type = 'purchase') AS p FROM events GROUP BY 1, 2)
 SELECT count(*) AS visits, {frac('count(*) FILTER (WHERE k = 1)', 'count(*)')} AS bounce_rate, {frac('count(*) FILTER (WHERE c)', 'count(*)')} AS cart_rate,
   {frac('count(*) FILTER (WHERE o AND NOT p)', 'count(*) FILTER (WHERE o)')} AS abandonment_rate FROM v""")
 def visit_rates(t):
     """Bounce, add-to-cart and abandonment rates, a visit being one user's day."""
-    e = t.events.select(F.concat_ws("-", "user_id", F.col("ts").cast("date")).alias("visit"), "event_type")
-    return analytics.visit_rates(e, "visit", "event_type", "click", "signup", "purchase")
+    e = t.events.select("user_id", F.col("ts").cast("date").alias("day"), "event_type")
+    return analytics.visit_rates(e, ["user_id", "day"], "event_type", "click", "signup", "purchase")
 
 
 @query(f"""

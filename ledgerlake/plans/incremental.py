@@ -12,7 +12,7 @@ from ..functions import fixed_values as fixed
 from ..functions.dates import key_to_date
 
 RUN_LOG_DDL = (
-    "run_id string, run_date date, table_name string, row_count bigint, watermark bigint, "
+    "run_id string, run_date date, run_ts timestamp, table_name string, row_count bigint, watermark bigint, "
     "seconds double, failed_checks bigint"
 )
 
@@ -50,10 +50,10 @@ def advance_state(previous: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def latest_state(log: DataFrame) -> DataFrame:
-    """Last run day and watermark per table from an append-only run log."""
+    """Last run day and watermark per table from an append-only run log; of one day the later run counts."""
     return log.groupBy("table_name").agg(
         F.max("run_date").alias("run_date"),
-        F.max_by("watermark", F.struct("run_date", "run_id")).alias("watermark"),
+        F.max_by("watermark", F.struct("run_date", "run_ts", "run_id")).alias("watermark"),
         F.count_distinct("run_id").alias("runs"))
 
 

@@ -9,19 +9,23 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.columns import add_lineage_columns, conform
 from ..functions.dates import month_key
 from ..operators import quality
-from ..operators.merge import merge_to_silver
+from ..operators.joins import point_in_time_join, without_current
+from ..operators.merge import merge_to_silver, surrogate_ledger
 from ..schemas import FACTS, FRESHNESS_TABLES, SPECS, TableSpec
 from ..sources import lake
-from .incremental import RUN_LOG_DDL
+from ..sources.scratch import materialize
+from .incremental import RUN_LOG_DDL, with_arrival_lag
 
 PARALLEL_TABLES = 8
 MONTH = "month_key"
+LANDING = ["ingest_date", "hour"]  # raw columns that say when a row landed, coarse to fine
 
 
 def silver_name(entity: str) -> str:
@@ -31,15 +35,19 @@ def silver_name(entity: str) -> str:
 def load_silver(spark: SparkSession, spec: TableSpec, raw: DataFrame, silver_db: str) -> dict:
     """Conform one raw entity and merge it into its silver table.
 
-    Facts are partitioned by month, so a daily load rewrites the months it touches. Product
-    and customer history arrives as versions and is upserted on the version key.
+    Of several copies of a key the one that landed last wins, by the landing columns that raw
+    has (day, hour); they order the copies and are not part of silver. Facts are partitioned by
+    month and a fact keeps its month, so a daily load reads and rewrites the months it touches.
+    Product and customer history arrives as versions and is upserted on the version key.
     """
-    rows = add_lineage_columns(conform(raw, spec.schema, spec.renames), spec.source_system)
+    landed = [c for c in LANDING if c in raw.columns]
+    wanted = StructType([*spec.schema.fields, *[f for f in raw.schema.fields if f.name in landed]])
+    rows = add_lineage_columns(conform(raw, wanted, spec.renames), spec.source_system)
     if spec.is_fact:
         rows = rows.withColumn(MONTH, month_key("date_key"))
     return merge_to_silver(
-        rows, f"{silver_db}.{silver_name(spec.name)}", [spec.key],
-        order_by=["ingestion_timestamp_utc"], partition_by=MONTH if spec.is_fact else None)
+        rows, f"{silver_db}.{silver_name(spec.name)}", [spec.key], order_by=[*landed, "ingestion_timestamp_utc"], order_only=landed,
+        partition_by=MONTH if spec.is_fact else None, keys_may_move=False)
 
 
 def publish_gold(spark: SparkSession, spec: TableSpec, silver_db: str, gold_db: str,
@@ -49,7 +57,28 @@ def publish_gold(spark: SparkSession, spec: TableSpec, silver_db: str, gold_db:
     if spec.is_fact and touched_months is not None:
         rows = rows.filter(F.col(MONTH).isin(touched_months))
     return merge_to_silver(rows, f"{gold_db}.{spec.name}", [spec.key],
-                           order_by=["ingestion_timestamp_utc"], partition_by=MONTH if spec.is_fact else None)
+                           order_by=["ingestion_timestamp_utc"], partition_by=MONTH if spec.is_fact else None, keys_may_move=False)
+
+
+def resolve_fact_keys(facts: DataFrame, versions: DataFrame, ledger: DataFrame, natural: str, surrogate: str, day: str,
+                      ingest_date: str = "ingest_date", horizon: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(gold facts, ledger rows to append) of the facts that arrived on their day or in the late window.
+
+    A fact gets the surrogate key of the version that was valid on its own day. A natural key that the
+    dimension has no version of at all gets its number from the ledger, a new one if it is not there yet.
+    A known key without a version on that day stays NULL. `how` says which: version, ledger or none.
+    """
+    arrived = with_arrival_lag(facts, ingest_date).filter(F.col("arrival").isin("fresh", "late")).select(*facts.columns)
+    found = point_in_time_join(arrived, versions, natural, day, [surrogate], horizon=horizon)
+    # one row per key that no version has, before anything is numbered or joined
+    unseen = without_current(found.filter(F.col(surrogate).isNull()).select(natural).filter(F.col(natural).isNotNull()).distinct(), versions, [natural])
+    unseen = materialize(unseen, "unseen-keys")
+    fresh = materialize(surrogate_ledger(ledger, unseen, natural, surrogate), "ledger")
+    known = ledger.select(natural, surrogate).unionByName(fresh.select(natural, surrogate))
+    numbers = known.join(unseen, natural, "left_semi").withColumnRenamed(surrogate, "__number")
+    out = found.join(numbers, natural, "left")
+    how = F.when(F.col(surrogate).isNotNull(), "version").when(F.col("__number").isNotNull(), "ledger").otherwise("none")
+    return out.select(*facts.columns, F.coalesce(surrogate, "__number").alias(surrogate), how.alias("how")), fresh
 
 
 def run_load(spark: SparkSession, raw: dict[str, DataFrame], silver_db: str, gold_db: str) -> dict[str, dict]:
@@ -136,7 +165,7 @@ def log_run(spark: SparkSession, table: str, run_id: str, run_date: date, marks:
             failed_checks: int) -> None:
     """Append one row per table to the run log."""
     rows = marks.select(
-        F.lit(run_id).alias("run_id"), F.lit(run_date).alias("run_date"), "table_name", "row_count", "watermark",
+        F.lit(run_id).alias("run_id"), F.lit(run_date).alias("run_date"), F.current_timestamp().alias("run_ts"), "table_name", "row_count", "watermark",
         F.lit(time.time() - started).alias("seconds"), F.lit(failed_checks).cast("bigint").alias("failed_checks"))
     _append_or_create(conform(rows, spark.createDataFrame([], RUN_LOG_DDL).schema), table)
 

@@ -38,10 +38,6 @@ def read_entity(spark: SparkSession, path: str, schema: StructType | None = None
     return reader.parquet(path)
 
 
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)
-
-
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "errorifexists",
                   compression: str = "snappy") -> None:
     writer = df.write.mode(mode).option("compression", compression)
@@ -64,47 +60,82 @@ def create_table(df: DataFrame, table: str, partition_by: str | None = None) ->
     return seen.get["rows"]
 
 
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Take a table out of the catalog and delete all its versions."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(fresh_location(spark, table)).getParent()
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_rows(df: DataFrame, table: str) -> None:
     """Append rows to a table, matched by column name."""
     df.select(*df.sparkSession.table(table).columns).write.mode("append").insertInto(table)
 
 
 def swap_table(df: DataFrame, table: str) -> None:
-    """Publish a whole new version of an unpartitioned table."""
+    """Publish a whole new version of an unpartitioned table.
+
+    Stops if another writer has published a version since this one began to read: its rows
+    would be lost.
+    """
     spark = df.sparkSession
-    path = fresh_location(spark, table)
+    path, before = fresh_location(spark, table), location(spark, table)
     df.write.parquet(path)
+    if location(spark, table) != before:
+        raise RuntimeError(f"{table} was changed by another writer; run the merge again")
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
 
 
-def swap_partitions(df: DataFrame, table: str, part: str, values: list) -> None:
+def swap_partitions(df: DataFrame, table: str, part: str, values: list, append_only: list | None = None) -> None:
     """Publish new versions of the given partitions; all others stay as they are.
 
+    A given partition without rows goes, unless it is in `append_only`. New partitions come first,
+    then the others by name.
+
     Each partition switches at once. If the driver dies in between, running the same merge
-    again ends in the same table.
+    again ends in the same table. Stops if another writer has switched one of them meanwhile.
     """
     spark = df.sparkSession
     names = {_partition_name(part, v): v for v in values}
-    path = fresh_location(spark, table)
+    path, before = fresh_location(spark, table), partition_locations(spark, table, part, values)
     _clustered(df, part).write.partitionBy(part).parquet(path)
     rewritten = spark.read.schema(df.schema).parquet(path).select(part).distinct().collect()
     written = {_partition_name(part, r[0]) for r in rewritten}
     known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    added = ""
-    for name in sorted(names):
-        spec = f"PARTITION ({part}='{names[name]}')"
-        if name in written and name in known:
-            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{path}/{name}'")
-        elif name in written:
-            added += f" {spec} LOCATION '{path}/{name}'"
-        elif name in known:
-            spark.sql(f"ALTER TABLE {table} DROP {spec}")
+    if partition_locations(spark, table, part, values) != before:
+        raise RuntimeError(f"partitions of {table} were changed by another writer; run the merge again")
+    spec = {name: f"PARTITION ({part}='{v}')" for name, v in names.items()}
+    added = "".join(f" {spec[name]} LOCATION '{path}/{name}'" for name in sorted(written - known))
     if added:
         spark.sql(f"ALTER TABLE {table} ADD{added}")
+    kept = {_partition_name(part, v) for v in append_only or []}
+    for name in sorted(names):
+        if name in written and name in known:
+            spark.sql(f"ALTER TABLE {table} {spec[name]} SET LOCATION '{path}/{name}'")
+        elif name in known and name not in kept:
+            spark.sql(f"ALTER TABLE {table} DROP {spec[name]}")
     spark.catalog.refreshTable(table)
 
 
+def location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def partition_locations(spark: SparkSession, table: str, part: str, values: list) -> dict[str, str | None]:
+    """Where the given partitions lie now; None for those that are not there."""
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    out: dict[str, str | None] = {}
+    for v in values:
+        name = _partition_name(part, v)
+        out[name] = None
+        if name in known:
+            found = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({part}='{v}')").filter("col_name = 'Location'").collect()
+            out[name] = found[0]["data_type"]
+    return out
+
+
 def _partition_name(part: str, value) -> str:
     """Folder and catalog name of a partition; values that would need escaping are refused."""
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", str(value)):

@@ -141,8 +141,8 @@ def test_prefix_sum_matches_brute_force(spark):
     data = [(i, rng.choice([1, 1, 1, 2, 3]), rng.randrange(1000), rng.randrange(-5, 9)) for i in range(800)]
     d = spark.createDataFrame(data, "id int, k int, o int, v bigint")
     levels = {"__a": F.floor(F.col("o") / 100), "__b": F.floor(F.col("o") / 10)}
-    for keys in (["k"], []):
-        out = windows.prefix_sum(d, "v", "s", keys, levels, ["o", "id"])
+    for keys, cut in ((["k"], levels), (["k"], None), ([], None)):
+        out = windows.prefix_sum(d, "v", "s", keys, ["o", "id"], cut)
         want, sums = {}, {}
         for i, k, o, v in sorted(data, key=lambda r: (r[2], r[0])):
             key = k if keys else 0
@@ -153,10 +153,43 @@ def test_prefix_sum_matches_brute_force(spark):
 
 def test_previous_row_crosses_slices(spark):
     d = spark.createDataFrame([(1, 1, "a"), (1, 2, None), (1, 15, "c"), (1, 40, "d"), (2, 40, "z")], "k int, o int, v string")
-    out = windows.with_previous(d, ["v"], ["k"], {"__s": F.floor(F.col("o") / 10)}, ["o"])
-    assert rows(out.select("k", "o", "prev_v", "has_previous")) == rows(spark.createDataFrame([
-        (1, 1, None, False), (1, 2, "a", True), (1, 15, None, True), (1, 40, "c", True), (2, 40, None, False)],
-        "k int, o int, p string, h boolean"))
+    for cut in ({"__s": F.floor(F.col("o") / 10)}, None):
+        out = windows.with_previous(d, ["v"], ["k"], ["o"], cut)
+        assert rows(out.select("k", "o", "prev_v", "has_previous")) == rows(spark.createDataFrame([
+            (1, 1, None, False), (1, 2, "a", True), (1, 15, None, True), (1, 40, "c", True), (2, 40, None, False)],
+            "k int, o int, p string, h boolean"))
+
+
+def largest_share(spark, rows_in_slices, columns):
+    """Rows of the largest window partition over the mean slice."""
+    sizes = [r["n"] for r in rows_in_slices.groupBy(*columns).agg(F.count("*").alias("n")).collect()]
+    return max(sizes) / (sum(sizes) / 4)  # the session shuffles into 4 partitions
+
+
+def test_no_slice_holds_a_hot_key_or_equal_values(spark):
+    """A third without a key, a third with one key and one value, sparse 64-bit keys for the rest."""
+    n = 30_000
+    d = spark.range(n).select(
+        "id", F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.xxhash64("id")).alias("k"),
+        F.when(F.col("id") % 3 == 2, F.col("id")).otherwise(F.lit(0)).alias("v"))
+    for keys in (["k"], []):
+        order = ["v", "id"]
+        inside, outside, names = windows._sliced(d, keys, None, order)
+        assert outside.count() == (n // 3 if keys else 0)
+        assert largest_share(spark, inside, keys + names) < 2
+        out = windows.prefix_sum(d.withColumn("one", F.lit(1)), "one", "s", keys, order)
+        assert out.count() == n and out.filter("s IS NULL").count() == (n // 3 if keys else 0)
+        assert out.agg(F.max("s")).scalar() is not None
+    numbered = windows.dense_numbers(d, "no", ["k", "v", "id"])
+    assert numbered.agg(F.min("no"), F.max("no"), F.count_distinct("no")).first() == (1, n, n)
+    prev = windows.with_previous(d, ["v"], ["k"], ["v", "id"])
+    assert prev.filter("has_previous").count() == n // 3 - 1
+
+
+def test_a_missing_date_is_never_the_earliest(spark):
+    d = spark.createDataFrame([("a", None, 1), ("a", date(2024, 1, 2), 2), ("a", date(2024, 1, 5), 3), ("b", None, 4)], "k string, d date, v int")
+    assert sorted((r.k, r.v) for r in windows.first_per_key(d, ["k"], ["d"]).collect()) == [("a", 2), ("b", 4)]
+    assert sorted((r.k, r.v) for r in windows.latest_per_key(d, ["k"], ["d"]).collect()) == [("a", 3), ("b", 4)]
 
 
 def test_tier_upgrades(spark):
@@ -190,3 +223,48 @@ def test_key_continuity(spark):
     verdict = lambda data: windows.key_continuity(spark.createDataFrame(data, "k int"), "k").first().is_continuous
     assert (verdict(good), verdict(gap), verdict(dup), verdict([])) == (True, False, False, False)
     assert [r[0] for r in windows.key_gaps(spark.createDataFrame(gap, "k int"), "k").collect()] == [1]
+
+
+def test_point_in_time_ends_with_the_last_version(spark):
+    v = spark.createDataFrame([("p", date(2024, 1, 1), date(2024, 1, 31), 1)], "product_id string, effective_date date, expiry_date date, product_key int")
+    f = spark.createDataFrame([(1, "p", date(2023, 12, 31)), (2, "p", date(2024, 1, 31)), (3, "p", date(2024, 6, 1))], "id int, product_id string, day date")
+    out = joins.point_in_time_join(f, v, "product_id", "day", ["product_key"])
+    assert {r.id: r.product_key for r in out.collect()} == {1: None, 2: 1, 3: None}
+
+
+def test_exploded_intervals_are_never_broadcast(spark):
+    d = spark.createDataFrame([(date(2024, 1, 1), date(2024, 1, 3))], "a date, b date")
+    days = spark.createDataFrame([(date(2024, 1, 2),)], "day date")
+    for plan in (joins.in_interval(days, "day", d, "a", "b"), joins.open_on(days, "day", d, F.lit(date(2024, 1, 9)), "a", "b")):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+
+
+def test_the_later_run_of_a_day_counts(spark):
+    from ledgerlake.plans import incremental
+
+    log = spark.createDataFrame([("t", date(2024, 1, 1), "2024-01-01 08:00:00", "z", 10), ("t", date(2024, 1, 1), "2024-01-01 20:00:00", "a", 20)],
+                                "table_name string, run_date date, ts string, run_id string, watermark bigint").withColumn("run_ts", F.to_timestamp("ts"))
+    assert incremental.latest_state(log).first().watermark == 20
+
+
+def test_a_hot_identifier_is_split(spark):
+    """With broadcasts off, the links of an identifier that all records share are no single task."""
+    keep = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    try:
+        for k, v in zip(keep, ("-1", "16k", "16k", "1.5")):
+            spark.conf.set(k, v)
+        edges = spark.range(0, 40_000, numPartitions=8).select((F.col("id") + 10).alias("a"), F.when(F.col("id") % 3 < 2, F.lit(5)).otherwise(-F.col("id")).alias("b"))
+        from ledgerlake.sources.scratch import materialize
+        pairs = materialize(edges, "edges")
+        low = materialize(pairs.groupBy("b").agg(F.min("a").alias("m")), "low")
+        joined = pairs.join(low, "b")
+        joined.write.format("noop").mode("overwrite").save()
+        out = joins.connected_identities(edges, "a", "b")
+        assert out.filter("component <> least(node, component)").count() == 0
+        n = joined.withColumn("task", F.spark_partition_id()).filter("b = 5").select("task").distinct().count()
+        assert n >= 2
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -1,10 +1,15 @@
-from datetime import datetime
+import os
+import uuid
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 import ledgerlake
 from ledgerlake.operators import compare, merge
+from ledgerlake.operators.merge import merge_to_silver
+from ledgerlake.plans import medallion
+from ledgerlake.schemas import SPECS
 from ledgerlake.sources import lake
 from tests.conftest import rows
 
@@ -148,3 +153,65 @@ def test_register_tables_skips_absent(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "dim_x.parquet"))
     assert lake.register_tables(spark, str(tmp_path), ["dim_x", "dim_y"]) == ["dim_x"]
     assert spark.table("dim_x").count() == 3
+
+
+def files_of(spark, table):
+    """Partition name to its data files."""
+    out = {}
+    for r in spark.table(table).select(F.input_file_name().alias("f")).distinct().collect():
+        out.setdefault(r.f.rsplit("/", 2)[1], set()).add(r.f)
+    return out
+
+
+def test_history_merge_rewrites_only_buckets_of_the_source(spark, table):
+    first = spark.createDataFrame([(i, "a") for i in range(400)], "k int, v string")
+    merge_to_silver(first, table, ["k"], strategy="scd2", partition_by="part", run_ts=datetime(2024, 1, 1))
+    before = files_of(spark, table)
+    change = spark.createDataFrame([(7, "b"), (1000, "new")], "k int, v string")
+    for _ in range(2):  # the same run again ends in the same table
+        merge_to_silver(change, table, ["k"], strategy="scd2", partition_by="part", run_ts=datetime(2024, 2, 1))
+    after = files_of(spark, table)
+    kept = {p for p in before if before[p] == after.get(p)}
+    assert len(before) - len(kept) <= 2 and len(kept) > 30
+    rows_ = {(r.k, r.v, r.is_current) for r in spark.table(table).filter("k in (6, 7, 1000)").collect()}
+    assert rows_ == {(6, "a", True), (7, "a", False), (7, "b", True), (1000, "new", True)}
+    assert spark.table(table).count() == 402
+    third = spark.createDataFrame([(7, "c")], "k int, v string")
+    merge_to_silver(third, table, ["k"], strategy="scd2", partition_by="part", run_ts=datetime(2024, 3, 1))
+    closed = {p for p in files_of(spark, table) if p.startswith("part=closed-")}
+    assert len(closed) == 2 and all(after[p] == files_of(spark, table)[p] for p in closed if p in after)
+    assert sum(p in after for p in closed) == 1
+
+
+def test_merge_with_fixed_partitions_does_not_read_the_others(spark, table):
+    rows_ = spark.createDataFrame([(i, i % 10, 0) for i in range(200)], "k int, p int, v int")
+    merge_to_silver(rows_, table, ["k"], partition_by="p")
+    before = files_of(spark, table)
+    # other partitions are out of reach: a scan of them would fail
+    for name, files in before.items():
+        if name != "p=3":
+            for f in files:
+                path = "/" + f.removeprefix("file:").lstrip("/")
+                os.rename(path, path + ".away")
+    fix = spark.createDataFrame([(3, 3, 9), (13, 3, 9)], "k int, p int, v int")
+    merge_to_silver(fix, table, ["k"], partition_by="p", keys_may_move=False)
+    assert spark.table(table).filter("p = 3").agg(F.sum("v")).first()[0] == 18
+
+
+def test_second_writer_is_noticed(spark, table, monkeypatch):
+    merge_to_silver(spark.createDataFrame([(1, 0)], "k int, v int"), table, ["k"])
+    answers = iter(["before", "after"])
+    monkeypatch.setattr(lake, "location", lambda *_: next(answers))
+    with pytest.raises(RuntimeError, match="another writer"):
+        merge_to_silver(spark.createDataFrame([(1, 1)], "k int, v int"), table, ["k"])
+
+
+def test_silver_keeps_the_copy_that_landed_last(spark, table, tmp_path):
+    db = f"silver_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {db}")
+    raw = spark.createDataFrame([(1, 20240101, 4, 9, date(2024, 1, 1)), (1, 20240101, 4, 2, date(2024, 1, 3)), (2, 20240101, 4, 5, date(2024, 1, 1))],
+                                "sale_key int, date_key int, channel_key int, quantity int, ingest_date date")
+    medallion.load_silver(spark, SPECS["fact_sales"], raw, db)
+    silver = spark.table(f"{db}.silver_fact_sales")
+    assert "ingest_date" not in silver.columns
+    assert {(r.sale_key, r.quantity) for r in silver.collect()} == {(1, 2), (2, 5)}
