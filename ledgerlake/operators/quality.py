@@ -80,13 +80,36 @@ def count_match(left: DataFrame, right: DataFrame, table: str, left_name: str =
 
 def foreign_key_check(fact: DataFrame, fact_col: str, dim: DataFrame, dim_col: str, nullable: bool,
                       fact_name: str, dim_name: str, layer: str = "integrity") -> DataFrame:
-    n = orphan_count(fact, fact_col, dim, dim_col, nullable)
+    return _orphan_result(orphan_count(fact, fact_col, dim, dim_col, nullable), fact_col, nullable, fact_name, dim_name, layer)
+
+
+def _orphan_result(n: DataFrame, fact_col: str, nullable: bool, fact_name: str, dim_name: str, layer: str) -> DataFrame:
     which = "non-null FK" if nullable else "FK"
     return _rows(n, F.array(_result(
         layer, fact_name, f"{fact_col}→{dim_name}", F.col("orphan_count") > 0, F.col("orphan_count"),
         F.concat(F.col("orphan_count"), F.lit(f" {which} values with no matching dim row")))))
 
 
+def fact_key_counts(fact: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, fk, n): the distinct values of all foreign keys of a fact and how often they occur, in one pass.
+
+    Values are counted before the shuffle, so a hot or NULL key costs one row per task.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("bigint").alias("fk")) for c in columns])
+    return fact.select(F.explode(pairs).alias("p")).groupBy("p.column_name", "p.fk").agg(F.count(F.lit(1)).alias("n"))
+
+
+def counted_key_check(counts: DataFrame, column: str, dim: DataFrame, dim_col: str, nullable: bool, fact_name: str,
+                      dim_name: str) -> DataFrame:
+    """`foreign_key_check` from the counts of `fact_key_counts`."""
+    own = counts.filter(F.col("column_name") == column)
+    if nullable:
+        own = own.filter("fk IS NOT NULL")
+    pk = dim.select(F.col(dim_col).cast("bigint").alias("pk"))
+    n = own.join(pk, F.col("fk") == F.col("pk"), "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_count"))
+    return _orphan_result(n, column, nullable, fact_name, dim_name, "integrity")
+
+
 def orphan_messages(fact: DataFrame, fact_col: str, dim: DataFrame, dim_col: str, dim_name: str) -> list[str]:
     """Messages for one pair of tables; NULL keys are ignored."""
     n = orphan_count(fact, fact_col, dim, dim_col, nullable=True).first()[0]

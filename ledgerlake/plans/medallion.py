@@ -111,37 +111,56 @@ def checkpoint_results(spark: SparkSession, silver_db: str, gold_db: str, as_of:
     check is one small result; the driver only ever holds those.
     """
     names = tables or list(SPECS)
-    checks: list[tuple[tuple[str, str, str], Callable[[], DataFrame]]] = []
+    Work = Callable[[], list[tuple]]
+
+    def guarded(failures: list[tuple[str, str, str]], work: Work) -> Work:
+        def run() -> list[tuple]:
+            try:
+                return work()
+            except Exception as e:  # noqa: BLE001 - any failure to read is a failed check
+                return [(*f, "FAIL", "", str(e)[:200]) for f in failures]
+        return run
+
+    def rows(results: DataFrame) -> list[tuple]:
+        return [tuple(r) for r in results.select(*quality.RESULT_COLUMNS).collect()]
+
+    def keys_of_fact(n: str) -> list[tuple]:
+        fks = SPECS[n].foreign_keys
+        counts = materialize(quality.fact_key_counts(spark.table(f"{gold_db}.{n}"), [fk.column for fk in fks]), "key-counts")
+        out = []
+        for fk in fks:
+            out += guarded([("integrity", n, f"{fk.column}→{fk.dim}")], lambda fk=fk: rows(quality.counted_key_check(
+                counts, fk.column, spark.table(f"{gold_db}.{fk.dim}"), fk.dim_column, fk.nullable, n, fk.dim)))()
+        return out
+
+    profiles: list[Work] = []
+    others: list[Work] = []
     for n in names:
-        spec = SPECS[n]
-        s, g = f"{silver_db}.{silver_name(n)}", f"{gold_db}.{n}"
-        checks.append((("silver", silver_name(n), "accessible"),
-                       lambda s=s, k=spec.key, n=n: quality.key_checks(spark.table(s), k, "silver", silver_name(n))))
-        checks.append((("gold", n, "accessible"),
-                       lambda g=g, k=spec.key, n=n: quality.key_checks(spark.table(g), k, "gold", n)))
-        checks.append((("sync", f"{silver_name(n)}→{n}", "row_count_match"),
-                       lambda s=s, g=g, n=n: quality.count_match(
-                           spark.table(s), spark.table(g), f"{silver_name(n)}→{n}")))
+        for layer, db, table in (("silver", silver_db, silver_name(n)), ("gold", gold_db, n)):
+            profiles.append(guarded([(layer, table, "accessible")], lambda layer=layer, db=db, table=table, key=SPECS[n].key: rows(
+                quality.key_checks(spark.table(f"{db}.{table}"), key, layer, table))))
     for n in [t for t in FACTS if t in names]:
-        for fk in SPECS[n].foreign_keys:
-            checks.append((("integrity", n, f"{fk.column}→{fk.dim}"),
-                           lambda n=n, fk=fk: quality.foreign_key_check(
-                               spark.table(f"{gold_db}.{n}"), fk.column, spark.table(f"{gold_db}.{fk.dim}"),
-                               fk.dim_column, fk.nullable, n, fk.dim)))
+        others.append(guarded([("integrity", n, f"{fk.column}→{fk.dim}") for fk in SPECS[n].foreign_keys], lambda n=n: keys_of_fact(n)))
     for n in [t for t in FRESHNESS_TABLES if t in names]:
-        checks.append((("freshness", n, "max_date"),
-                       lambda n=n: quality.freshness_check(spark.table(f"{gold_db}.{n}"), n, F.lit(as_of))))
-
-    def run(item):
-        (layer, table, check), build = item
-        try:
-            return [tuple(r) for r in build().select(*quality.RESULT_COLUMNS).collect()]
-        except Exception as e:  # noqa: BLE001 - any failure to read is a failed check
-            return [(layer, table, check, "FAIL", "", str(e)[:200])]
+        others.append(guarded([("freshness", n, "max_date")], lambda n=n: rows(
+            quality.freshness_check(spark.table(f"{gold_db}.{n}"), n, F.lit(as_of)))))
 
     with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
-        rows = [r for part in pool.map(run, checks) for r in part]
-    return spark.createDataFrame(rows, quality.RESULT_DDL)
+        done = list(pool.map(lambda work: work(), profiles + others))
+    found = [r for part in done for r in part]
+    counted = {(r[0], r[1]): r[4] for r in found if r[2] == "row_count"}
+    sync = [_sync_result(n, counted.get(("silver", silver_name(n))), counted.get(("gold", n))) for n in names]
+    return spark.createDataFrame(found + sync, quality.RESULT_DDL)
+
+
+def _sync_result(n: str, silver: str | None, gold: str | None) -> tuple:
+    """Whether the row counts that the profiles took agree."""
+    head = ("sync", f"{silver_name(n)}→{n}", "row_count_match")
+    if silver is None or gold is None:
+        return (*head, "FAIL", "", "not accessible")
+    if silver == gold:
+        return (*head, "PASS", f"{silver}={gold}", "")
+    return (*head, "FAIL", f"silver={silver} gold={gold}", f"delta={abs(int(silver) - int(gold))}")
 
 
 def run_checkpoint(spark: SparkSession, silver_db: str, gold_db: str, as_of: date, log_table: str | None = None,
