@@ -134,7 +134,8 @@ def _decide(block: pd.DataFrame) -> pd.DataFrame:
 
 
 def _level(units: DataFrame, level: int) -> DataFrame:
-    blocks = units.groupBy("sid").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("n_blocks"))
+    # one row per source, written first: its size is known when the join is planned, and units need no shuffle by source
+    blocks = materialize(units.groupBy("sid").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("n_blocks")), "blocks")
     dealt = units.join(blocks, "sid").withColumn("block", F.expr("pmod(xxhash64(key, size), n_blocks)")).withColumn("level", F.lit(level))
     return materialize(dealt.groupBy("sid", "block").applyInPandas(_decide, "row string, sid long, key long, size long, p double"), "flight")
 
