@@ -258,7 +258,8 @@ def repeated_spans(docs: DataFrame, row: str, length: int = LENGTH, crowd: int =
     keys = materialize(found.drop("anchors").join(standing, "text_sha256"), "keys")
     alone = found.select("row", "anchors").join(keys.filter("row = first").select("row"), "row", "left_semi")
     named = materialize(alone.select("row", F.inline("anchors")), "named")
-    shared = named.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1")
+    # written first, so that both sides of the join are plain shuffles and a hot anchor is split
+    shared = materialize(named.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1"), "shared-anchors")
     own = named.join(shared, "name").groupBy("row").agg(F.collect_list(F.struct("name", "at", "low", "high", "n")).alias("anchors"))
     pieces = plain.select("row", "text").join(own, "row").mapInArrow(_pieces(length, crowd), PIECE)
     met = pieces.repartition(partitions(docs.sparkSession), "k", "k2").sortWithinPartitions("k", "k2")
