@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 TABLE_ROOT_SETTING = "spark.ledgerlake.tables.dir"
 BASE_URI_SETTING = "spark.ledgerlake.files.base"
+VERSION = "ledgerlake.version"
 ROW_MERGE_PROVIDERS = {"delta", "iceberg"}
 
 
@@ -79,10 +80,9 @@ def swap_table(df: DataFrame, table: str) -> None:
     would be lost.
     """
     spark = df.sparkSession
-    path, before = fresh_location(spark, table), location(spark, table)
+    path, before = fresh_location(spark, table), version(spark, table)
     df.write.parquet(path)
-    if location(spark, table) != before:
-        raise RuntimeError(f"{table} was changed by another writer; run the merge again")
+    _next_version(spark, table, before)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
 
@@ -94,17 +94,16 @@ def swap_partitions(df: DataFrame, table: str, part: str, values: list, append_o
     then the others by name.
 
     Each partition switches at once. If the driver dies in between, running the same merge
-    again ends in the same table. Stops if another writer has switched one of them meanwhile.
+    again ends in the same table. Stops if another writer has published meanwhile.
     """
     spark = df.sparkSession
     names = {_partition_name(part, v): v for v in values}
-    path, before = fresh_location(spark, table), partition_locations(spark, table, part, values)
+    path, before = fresh_location(spark, table), version(spark, table)
     _clustered(df, part).write.partitionBy(part).parquet(path)
     rewritten = spark.read.schema(df.schema).parquet(path).select(part).distinct().collect()
     written = {_partition_name(part, r[0]) for r in rewritten}
     known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    if partition_locations(spark, table, part, values) != before:
-        raise RuntimeError(f"partitions of {table} were changed by another writer; run the merge again")
+    _next_version(spark, table, before)
     spec = {name: f"PARTITION ({part}='{v}')" for name, v in names.items()}
     added = "".join(f" {spec[name]} LOCATION '{path}/{name}'" for name in sorted(written - known))
     if added:
@@ -118,22 +117,16 @@ def swap_partitions(df: DataFrame, table: str, part: str, values: list, append_o
     spark.catalog.refreshTable(table)
 
 
-def location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+def version(spark: SparkSession, table: str) -> str:
+    """A name of the version that the table is at; it changes with every publication."""
+    return spark.sql(f"SHOW TBLPROPERTIES {table} ('{VERSION}')").first()["value"]
 
 
-def partition_locations(spark: SparkSession, table: str, part: str, values: list) -> dict[str, str | None]:
-    """Where the given partitions lie now; None for those that are not there."""
-    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    out: dict[str, str | None] = {}
-    for v in values:
-        name = _partition_name(part, v)
-        out[name] = None
-        if name in known:
-            found = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({part}='{v}')").filter("col_name = 'Location'").collect()
-            out[name] = found[0]["data_type"]
-    return out
+def _next_version(spark: SparkSession, table: str, before: str) -> None:
+    """Claim the next publication, unless another writer has published since `before` was read."""
+    if version(spark, table) != before:
+        raise RuntimeError(f"{table} was changed by another writer; run the merge again")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{VERSION}' = '{uuid.uuid4().hex}')")
 
 
 def _partition_name(part: str, value) -> str:

@@ -201,7 +201,7 @@ def test_merge_with_fixed_partitions_does_not_read_the_others(spark, table):
 def test_second_writer_is_noticed(spark, table, monkeypatch):
     merge_to_silver(spark.createDataFrame([(1, 0)], "k int, v int"), table, ["k"])
     answers = iter(["before", "after"])
-    monkeypatch.setattr(lake, "location", lambda *_: next(answers))
+    monkeypatch.setattr(lake, "version", lambda *_: next(answers))
     with pytest.raises(RuntimeError, match="another writer"):
         merge_to_silver(spark.createDataFrame([(1, 1)], "k int, v int"), table, ["k"])
 
