@@ -26,15 +26,16 @@ SYMBOLS = b"#*$%&|<>"
 @dataclass(frozen=True)
 class RepetitionRules:
     """Fewest words; share of words in repeated 3-word windows; words of a repeat that counts; largest covered
-    share; longest repeat, which binds only where repeats cover `long_share` of the document at least (one
-    quoted passage in a long document is no defect)."""
+    share; longest repeat. Each limit decides by itself, in a text of any length.
+
+    Every covered word is in a repeated window, so a covered share counts only under `window_percent`. Of the sf0.1
+    texts that pass the first two rules none has over 0.25 covered or a repeat of over 13 words."""
 
     min_words: int = 50
     window_percent: int = 50
     min_repeat: int = 10
-    max_covered: float = 0.5
+    max_covered: float = 1 / 3
     max_repeat: int = 100
-    long_share: float = 0.15
 
 
 def suffix_array(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +206,7 @@ def judge(docs: DataFrame, rules: RepetitionRules = RepetitionRules()) -> DataFr
     out = plain.mapInArrow(run, schema)
     covered = F.col("n_covered") / F.greatest(F.col("n_words"), F.lit(1))
     base = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.window_percent * F.col("n_words"))
-    repeats = (covered > rules.max_covered) | ((F.col("longest_repeat") > rules.max_repeat) & (covered > rules.long_share))
+    repeats = (covered > rules.max_covered) | (F.col("longest_repeat") > rules.max_repeat)
     return out.select(*(F.col(n).alias(c) for c, n in zip(carried, names, strict=True)), *COUNTS, *FIGURES,
                       base.alias("base_failed"), (~base & ~repeats).alias("kept"))
 

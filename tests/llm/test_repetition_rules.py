@@ -74,3 +74,17 @@ def test_verdict_on_covered_share_and_longest_repeat(spark):
     }
     rows = [(i, " ".join(t), "en", "s", 1) for i, t in texts.items()]
     assert {x["doc_id"]: x["kept"] for x in R.repetition_verdicts(messy(spark, rows)).collect()} == {1: True, 2: False, 3: False, 4: True, 5: False}
+
+
+def test_each_limit_decides_alone_where_the_base_rules_pass(spark):
+    fresh = [f"f{i}" for i in range(12_000)]
+    ninety, long_passage = fresh[:90], fresh[:700]
+    texts = {
+        1: [w for k in range(5) for w in [*ninety, *fresh[1000 + 110 * k : 1110 + 110 * k]]],  # 45 % covered, no repeat of over 90 words
+        2: [*long_passage, *fresh[1000:9600], *long_passage],  # 14 % covered, a repeat of 700 words
+        3: [*ninety, *fresh[1000:1500], *ninety],  # 26 % covered, no repeat of over 90 words
+        4: [*fresh[:100], *fresh[1000:9600], *fresh[:100]],  # a repeat of 100 words
+    }
+    got = R.repetition_verdicts(messy(spark, [(i, " ".join(t), "en", "s", 1) for i, t in texts.items()])).collect()
+    assert not any(x["base_failed"] for x in got)
+    assert {x["doc_id"]: x["kept"] for x in got} == {1: False, 2: False, 3: True, 4: True}
