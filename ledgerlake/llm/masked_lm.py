@@ -5,8 +5,9 @@ position, are summed and squashed, and the word's probability is that of its cla
 A document's score is the sum of its words' conditional log-probabilities.
 
 Everything the model has comes from the whole corpus: the vocabulary and starting biases from the counts of all
-words, the weights from rounds in which every partition trains on its own share of documents and all partitions'
-weights are averaged, by number of words, in Spark. The driver sees the vocabulary and one set of weights.
+words, the weights from rounds in which every partition trains on its own documents and all partitions' weights are
+averaged, by number of words, in Spark. A round takes another share of the documents; after the last one each document
+has moved the weights once. The driver sees the vocabulary and one set of weights.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ PER_CLASS = 64
 UNKNOWN = 256  # words outside the vocabulary share this many tokens, by hash
 DIM = 24
 SIDE = (-2, -1, 1, 2)
-TRAIN_PERCENT = 12
 ROUNDS = 2
 BATCH = 1024
 CHUNK = 1 << 14
@@ -193,8 +193,8 @@ def _unflat(v: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]
     return out
 
 
-def train_round(docs: DataFrame, model: Model, round_: int, percent: int = TRAIN_PERCENT) -> Model:
-    """Every partition trains from the same weights on its share of documents; the average is the new model."""
+def train_round(docs: DataFrame, model: Model, round_: int, rounds: int = ROUNDS) -> Model:
+    """Every partition trains from the same weights on its documents of the round; the average is the new model."""
     parts = 16
     size = _flat(model.weights).size
     width = -(-size // parts)
@@ -227,7 +227,7 @@ def train_round(docs: DataFrame, model: Model, round_: int, percent: int = TRAIN
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([n for n, _ in held.values()], pa.int64()),
                                           pa.array([(v / n).astype(np.float32).tobytes() for n, v in held.values()], pa.binary())], ["part", "n", "v"])
 
-    chosen = docs.filter(F.expr(f"pmod(xxhash64(doc_id, text), 100) < {percent}")).select(text_of().alias("text"))
+    chosen = docs.filter(F.expr(f"pmod(xxhash64(doc_id, text), {rounds}) = {round_}")).select(text_of().alias("text"))
     trained = chosen.mapInArrow(run, "part int, n long, v binary")
     rows = trained.repartition(parts, "part").mapInArrow(average, "part int, n long, v binary").collect()
     if not rows:
@@ -236,11 +236,11 @@ def train_round(docs: DataFrame, model: Model, round_: int, percent: int = TRAIN
     return Model(model.tokens, _unflat(v, model.weights))
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS, percent: int = TRAIN_PERCENT) -> Model:
-    """A model of all of `docs`: `percent` of its documents, chosen by hash, move the weights."""
+def train(docs: DataFrame, rounds: int = ROUNDS) -> Model:
+    """A model of all of `docs`: each document moves the weights, in one of the rounds by its hash."""
     model = vocabulary(docs)
     for k in range(rounds):
-        model = train_round(docs, model, k, percent)
+        model = train_round(docs, model, k, rounds)
     return model
 
 

@@ -46,3 +46,11 @@ def test_vocabulary_counts_all_documents(spark):
     rows = [(i, "common " * 5 + f"word{i}", "en", "s", 1) for i in range(300)]
     model = M.vocabulary(messy(spark, rows).repartition(4))
     assert model.tokens[b"common"] == 0 and len(model.tokens) == 301
+
+
+def test_every_document_moves_the_weights(spark):
+    rows = [(i, f"some only{i} words here", "en", "s", 1) for i in range(200)]
+    docs = messy(spark, rows).repartition(2)
+    start, model = M.vocabulary(docs), M.train(docs)
+    at = [start.tokens[f"only{i}".encode()] for i in range(200)]
+    assert (start.weights["embed"][at] != model.weights["embed"][at]).any(axis=1).all()
