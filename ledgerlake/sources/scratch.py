@@ -38,4 +38,17 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete intermediate tables that `materialize` returned, once nothing reads them any more."""
+    for df in frames:
+        delete_path(df.sparkSession, df._scratch_path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
