@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_quality, conv_toxicity, cube_mixing, exact_dedup, masked_lm, packing, repetition_rules, simhash_dedup, suffix_dedup, token_attribution
+from . import compression_quality, conv_toxicity, cube_mixing, exact_dedup, masked_lm, merkle_manifest, packing, repetition_rules, simhash_dedup, suffix_dedup, token_attribution
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,8 +84,52 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeated_passages(_table(spark, folder, "documents"))
 
 
+@_query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether a tampered one still folds to the root."""
+    return merkle_manifest.manifest(_table(spark, folder, "documents"))
+
+
 SQL["op9_exact_dedup"] = r"""
 WITH n AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
 SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
   row_number() OVER g = 1 AS kept, sha256(norm) AS text_sha256
 FROM n WINDOW g AS (PARTITION BY norm ORDER BY length(t) DESC, doc_id)"""
+
+
+def _merkle_sql(levels: int, top_levels: int) -> str:
+    """Runs of 8 level by level; a tree of one node stays as it is, so more levels than needed do no harm."""
+    part = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join([part(c) for c in ("doc_id", "source", "lang", "n_chars")] + [part(text)]) + ")"
+    step = "SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END AS c FROM"
+    cells = "SELECT range AS i, range AS c FROM range(256)"
+    for _ in range(8):
+        cells = f"{step} ({cells})"
+    out = f"""
+WITH cells AS (SELECT list(c ORDER BY i) AS cell FROM ({cells})),
+ids AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+    lambda h, b: xor(h >> 8, cell[CAST(xor(h, b) & 255 AS BIGINT) + 1])), 4294967295) AS crc FROM documents, cells),
+texts AS (SELECT *, CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed FROM ids),
+leaves AS (SELECT doc_id, lang, {leaf("text")} AS leaf, {leaf("changed")} AS tampered FROM texts),
+a0 AS (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    leaf, tampered AS fold, '' AS proof FROM leaves),
+n0 AS (SELECT t, i, leaf AS d FROM a0)"""
+    for k in range(levels + top_levels):
+        if k == levels:  # the subroots are the leaves of one more tree
+            out += f""",
+b{k} AS (SELECT doc_id, 0 AS t, t AS i, leaf, d AS subroot, fold, proof FROM a{k} JOIN n{k} USING (t)),
+m{k} AS (SELECT 0 AS t, t AS i, d FROM n{k})"""
+        a, n, more = (f"b{k}", f"m{k}", ", subroot") if k == levels else (f"a{k}", f"n{k}", ", subroot" if k > levels else "")
+        out += f""",
+s{k} AS (SELECT t, i, count(*) OVER (PARTITION BY t) AS n, coalesce(string_agg(d, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(d, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {n} WINDOW w AS (PARTITION BY t, i // 8 ORDER BY i)),
+a{k + 1} AS (SELECT doc_id, t, CASE WHEN n > 1 THEN i // 8 ELSE i END AS i, leaf{more}, CASE WHEN n > 1 THEN sha256(l || fold || r) ELSE fold END AS fold,
+    CASE WHEN n > 1 THEN proof || l || r ELSE proof END AS proof FROM {a} JOIN s{k} USING (t, i)),
+c{k} AS (SELECT *, count(*) OVER (PARTITION BY t) AS n FROM {n}),
+n{k + 1} AS (SELECT t, i // 8 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM c{k} WHERE n > 1 GROUP BY t, i // 8 UNION ALL SELECT t, i, d FROM c{k} WHERE n = 1)"""
+    end = levels + top_levels
+    return out + f"""
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = d AS verified FROM a{end} JOIN n{end} USING (t)"""
+
+
+SQL["op12_merkle_manifest"] = _merkle_sql(9, 3)
