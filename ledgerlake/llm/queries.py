@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_quality, conv_toxicity, cube_mixing, exact_dedup, masked_lm, merkle_manifest, packing, repetition_rules, simhash_dedup, suffix_dedup, token_attribution
+from . import collocations, compression_quality, conv_toxicity, cube_mixing, exact_dedup, masked_lm, merkle_manifest, packing, repetition_rules, simhash_dedup, suffix_dedup, token_attribution, window_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,18 +84,50 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeated_passages(_table(spark, folder, "documents"))
 
 
+@_query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The most telling phrases of two and three words of every language."""
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 @_query
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, and whether a tampered one still folds to the root."""
     return merkle_manifest.manifest(_table(spark, folder, "documents"))
 
 
+@_query
+def op13_window_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The sequence, and the place in it, of every piece of every document's ids."""
+    import public_tokenizers
+
+    return window_packing.packed_windows(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 SQL["op9_exact_dedup"] = r"""
 WITH n AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
 SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
   row_number() OVER g = 1 AS kept, sha256(norm) AS text_sha256
 FROM n WINDOW g AS (PARTITION BY norm ORDER BY length(t) DESC, doc_id)"""
 
+SQL["op11_collocations"] = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+sentences AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM sentences),
+grams AS (SELECT lang, s, array_to_string(ws[i:i + s - 1], ' ') AS phrase FROM starts, (VALUES (1), (2), (3)) AS v(s) WHERE i + s - 1 <= len(ws)),
+f AS (SELECT lang, s, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE s = 1 GROUP BY lang),
+candidates AS (SELECT lang, s, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE s > 1 AND f >= 10),
+cuts AS (SELECT *, unnest(range(1, s)) AS k FROM candidates),
+parts AS (SELECT c.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score FROM cuts c
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[k + 1:s], ' ')),
+least AS (SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase, a FROM candidates WHERE s = 3),
+inside AS (SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN longer g ON g.lang = c.lang AND g.phrase = c.phrase AND 100 * g.a >= 50 * c.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least ANTI JOIN inside USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
 
 def _merkle_sql(levels: int, top_levels: int) -> str:
     """Runs of 8 level by level; a tree of one node stays as it is, so more levels than needed do no harm."""
