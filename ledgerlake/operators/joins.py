@@ -119,18 +119,73 @@ def active_days(intervals: DataFrame, start: str, end: Column | str, day: str =
     return days.hint("merge")
 
 
+DAY_BITS, INSTANT_BITS = 23, 61
+
+
+def _position(value: Column, kind: str) -> tuple[Column, int]:
+    """(place on a line of 2^bits points, bits) of a date, an instant or a whole number."""
+    if kind == "date":
+        return F.unix_date(value).cast("bigint") + F.lit(1 << (DAY_BITS - 1)), DAY_BITS
+    if kind.startswith("timestamp"):
+        return F.unix_micros(value.cast("timestamp")) + F.lit(1 << (INSTANT_BITS - 1)), INSTANT_BITS
+    return value.cast("bigint") + F.lit(1 << (INSTANT_BITS - 1)), INSTANT_BITS
+
+
+def dyadic_blocks(intervals: DataFrame, start: str, end: str) -> DataFrame:
+    """Intervals with __level and __block: the aligned blocks of 2^level points that cover them exactly.
+
+    Both ends belong to an interval; a NULL end is open, an empty interval and one without a start vanish. There are at
+    most two blocks of a size, so an interval of n points has fewer than 2 log2(n) + 2 rows.
+    """
+    kind = intervals.schema[start].dataType.simpleString()
+    low, bits = _position(F.col(start), kind)
+    stop = F.coalesce(_position(F.col(end), kind)[0] + 1, F.lit(1 << bits))
+
+    def of_level(k: Column) -> Column:
+        first = F.call_function("shiftright", F.col("__low") + F.call_function("shiftleft", F.lit(1).cast("bigint"), k) - 1, k)
+        beyond = F.call_function("shiftright", F.col("__stop"), k)
+        left = F.when((first < beyond) & (first % 2 == 1), F.struct(k.alias("level"), first.alias("block")))
+        right = F.when((first < beyond) & (beyond % 2 == 1), F.struct(k.alias("level"), (beyond - 1).alias("block")))
+        return F.array(left, right)
+
+    levels = F.sequence(F.lit(0), F.lit(bits))
+    cover = F.explode(F.array_compact(F.flatten(F.transform(levels, of_level))))
+    placed = intervals.withColumns({"__low": low, "__stop": stop}).filter(F.col("__low") < F.col("__stop"))
+    return placed.withColumn("__in", cover).select(*intervals.columns, F.col("__in.level").alias("__level"), F.col("__in.block").alias("__block"))
+
+
 def in_interval(facts: DataFrame, day: str, intervals: DataFrame, start: str, end: str,
                 how: str = "inner") -> DataFrame:
-    """Facts with every interval that contains their day: an equality join on the day."""
-    days = active_days(intervals, start, end, "__on")
-    return facts.join(days, F.col(day) == F.col("__on"), how).drop("__on")
+    """Facts with every interval that contains their day or instant, both ends included, a NULL end open.
 
+    An equality join on dyadic blocks: an interval is there once per block that covers it, a fact once per size of
+    block that occurs, whatever the intervals' lengths. Exactly one block of an interval holds a point, so no pair is
+    made twice. The blocks are written first, so the planner broadcasts them only by their real size. `how` is inner or left.
+    """
+    from ..sources.scratch import materialize
 
-def open_on(days: DataFrame, day: str, stores: DataFrame, horizon: Column,
+    if how not in ("inner", "left"):
+        raise ValueError(f"how {how!r}: inner or left")
+    blocks = materialize(dyadic_blocks(intervals, start, end), "interval-blocks")
+    sizes = blocks.agg(F.sort_array(F.collect_set("__level"))).scalar()
+    place = _position(F.col(day), facts.schema[day].dataType.simpleString())[0]
+    sought = facts.withColumn("__level", F.explode(sizes)).withColumn("__block", F.call_function("shiftright", place, F.col("__level")))
+    found = sought.join(blocks, ["__level", "__block"]).select(*facts.columns, *intervals.columns)
+    if how == "inner":
+        return found
+    # points that some interval holds, once each
+    held = sought.select(F.col(day).alias("__held"), "__level", "__block").distinct().join(
+        blocks.select("__level", "__block").distinct(), ["__level", "__block"], "left_semi").select("__held").distinct()
+    alone = facts.join(held, F.col(day) == F.col("__held"), "left_anti")
+    return found.unionByName(alone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in intervals.schema.fields]))
+
+
+def open_on(days: DataFrame, day: str, stores: DataFrame, horizon: Column | None = None,
             opened: str = "open_date", closed: str = "close_date") -> DataFrame:
-    """Stores open on each day; a NULL closing date stays open up to the horizon."""
-    open_days = active_days(stores, opened, F.least(F.coalesce(F.col(closed), horizon), horizon), "__on")
-    return days.join(open_days, F.col(day) == F.col("__on")).drop("__on")
+    """Stores open on each day; a NULL closing date is open for ever, or up to the horizon."""
+    until = "__until"
+    ends = F.col(closed) if horizon is None else F.least(F.coalesce(F.col(closed), horizon), horizon)
+    return in_interval(days, day, stores.withColumn(until, ends), opened, until).drop(until)
 
 
 def campaign_channels(campaign_type: Column | str) -> Column:
@@ -150,7 +205,23 @@ def spend_spine(campaigns: DataFrame, calendar: DataFrame) -> DataFrame:
     return days.withColumn("channel_key", F.explode(campaign_channels("campaign_type")))
 
 
-SHELVES = 16  # parts that a day's products are dealt to
+def product_stores(products: DataFrame, stores: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every product with every store (and its columns `keep`).
+
+    This product is the result itself. Products are dealt to shelves by hash, as many as the session has shuffle
+    partitions, and every store is there once per shelf: a join on the shelf, spread over all tasks.
+    """
+    shelves = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    goods = products.select("product_key", F.pmod(F.xxhash64("product_key"), F.lit(shelves)).alias("__shelf")).hint("merge")
+    doors = stores.select("store_key", *keep, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shelves - 1).cast("bigint"))).alias("__shelf"))
+    return goods.join(doors, "__shelf").drop("__shelf")
+
+
+def _open_days(first_day: Column, last_day: Column, step: str, opened: str | None, closed: str | None) -> tuple[Column, Column]:
+    """(any, days): whether a store is open at all in the span, and the days."""
+    start = F.greatest(F.col(opened), first_day) if opened else first_day
+    stop = F.least(F.coalesce(F.col(closed), last_day), last_day) if closed else last_day
+    return start <= stop, F.sequence(start, stop, F.expr(step))
 
 
 def inventory_spine(products: DataFrame, stores: DataFrame, first_day: Column, last_day: Column,
@@ -158,20 +229,30 @@ def inventory_spine(products: DataFrame, stores: DataFrame, first_day: Column, l
                     closed: str | None = None) -> DataFrame:
     """Every (day, product, store) an inventory snapshot must have.
 
-    Both sides are laid out by day and matched on day and shelf: a day's products are dealt to
-    shelves by hash and every open store is there once per shelf, so a day is no single task.
-    Stores take part only while open if their dates are given.
+    Only pairs of product and store are shuffled; each unfolds into its days where it is. Stores take part
+    only while open if their dates are given.
     """
-    def days(first: Column, last: Column) -> Column:
-        return F.explode(F.sequence(first, last, F.expr(step)))
+    dates = tuple(c for c in (opened, closed) if c)
+    some, days = _open_days(first_day, last_day, step, opened, closed)
+    return product_stores(products, stores, dates).filter(some).select(F.explode(days).alias("date"), "product_key", "store_key")
 
-    shelf = products.select("product_key", F.pmod(F.xxhash64("product_key"), F.lit(SHELVES)).alias("__shelf"),
-                            days(first_day, last_day).alias("date")).hint("merge")
-    start = F.greatest(F.col(opened), first_day) if opened else first_day
-    stop = F.least(F.coalesce(F.col(closed), last_day), last_day) if closed else last_day
-    doors = stores.filter(start <= stop).select("store_key", days(start, stop).alias("date"))
-    doors = doors.withColumn("__shelf", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SHELVES - 1).cast("bigint"))))
-    return shelf.join(doors, ["date", "__shelf"]).drop("__shelf")
+
+def inventory_cells(products: DataFrame, stores: DataFrame, snapshots: DataFrame, first_day: Column, last_day: Column, fill: dict[str, object],
+                    step: str = "interval 1 day", opened: str | None = None, closed: str | None = None) -> DataFrame:
+    """`inventory_spine` with the columns `fill` of the snapshots of each cell, or their defaults.
+
+    Equal to `densify` of the spine, without shuffling the spine: the snapshots of a pair, at most one per day of
+    the calendar, meet the pair as a map from day to values and the days are looked up in place.
+    """
+    dates = tuple(c for c in (opened, closed) if c)
+    some, days = _open_days(first_day, last_day, step, opened, closed)
+    pairs = product_stores(products, stores, dates).filter(some)
+    values = F.struct(*[F.col(c) for c in fill])
+    seen = snapshots.filter(F.col("date").isNotNull()).groupBy("product_key", "store_key").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("date"), values))).alias("__seen"))
+    cells = pairs.join(seen, ["product_key", "store_key"], "left").select("product_key", "store_key", "__seen", F.explode(days).alias("date"))
+    found = F.try_element_at("__seen", F.col("date"))
+    return cells.select("date", "product_key", "store_key", *[F.coalesce(found[c], F.lit(v)).alias(c) for c, v in fill.items()])
 
 
 def densify(spine: DataFrame, facts: DataFrame, keys: list[str], fill: dict[str, object]) -> DataFrame:
@@ -230,3 +311,27 @@ def connected_identities(edges: DataFrame, left: str, right: str) -> DataFrame:
         if settled:
             return nodes.join(pairs, F.col("node") == F.col("u"), "left").select(
                 "node", F.coalesce("v", "node").alias("component"))
+
+
+def extend_identities(stored: DataFrame, links: DataFrame, left: str, right: str) -> DataFrame:
+    """(node, component) of the nodes that new links bring or move, given the stored (node, component).
+
+    Links are folded onto the roots that their ends are stored under; only these are contracted. A component that no
+    link touches has no row in the result, and one that keeps its smallest node has only its new nodes. Merged
+    into what is stored by node, the result equals `connected_identities` of all links at once. With `stored` laid out by
+    node (`sources.keyed`) its rows are not shuffled to find the ends of the links.
+    """
+    from ..sources.scratch import materialize
+
+    own = links.select(F.col(left).alias("a"), F.col(right).alias("b"))
+    ends = own.select(F.explode(F.array("a", "b")).alias("node")).filter("node IS NOT NULL").distinct()
+    ends = materialize(ends.join(stored.select("node", F.col("component").alias("root")), "node", "left"), "identity-ends")
+    root = ends.select(F.col("node"), F.coalesce("root", "node").alias("root"))
+    folded = own.join(root.select(F.col("node").alias("a"), F.col("root").alias("left")), "a", "left").join(
+        root.select(F.col("node").alias("b"), F.col("root").alias("right")), "b", "left")
+    moved = materialize(connected_identities(folded.select("left", "right"), "left", "right").withColumnRenamed("node", "root"), "identity-roots")
+    fresh = ends.filter("root IS NULL").select("node", F.col("node").alias("root")).join(moved, "root").select("node", "component")
+    # a stored root that is no longer the smallest: all its nodes move, found by their component
+    gone = moved.filter("root <> component")
+    rest = stored.select("node", F.col("component").alias("root")).join(gone, "root").select("node", "component")
+    return fresh.unionByName(rest)

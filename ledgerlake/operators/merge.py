@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..sources import lake
+from ..sources import keyed, lake
 from .windows import dense_numbers, latest_per_key
 
 
@@ -132,7 +132,7 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def merge_to_silver(source_df: DataFrame, target_table_fqn: str, business_keys: list[str],
                     strategy: str = "scd1", tracking_cols: list[str] | None = None, *,
                     order_by: list[str] | None = None, order_only: list[str] | None = None,
-                    partition_by: str | None = None, keys_may_move: bool = True,
+                    partition_by: str | None = None, keys_may_move: bool = True, key_shelves: int | None = None,
                     run_ts: datetime | None = None) -> dict:
     """Create the table on the first run, merge into it afterwards.
 
@@ -145,6 +145,9 @@ def merge_to_silver(source_df: DataFrame, target_table_fqn: str, business_keys:
                    versions in the buckets of the source's keys and adds the closed ones
     keys_may_move  type 1: whether a key can change its partition. If not (a sale keeps its
                    month), only the partitions of the source are read, not the keys of all
+    key_shelves    type 1: lay a new table out by key, on so many shelves, see `sources.keyed`. A merge
+                   reads and rewrites only shelves that may hold a key of the source, needs no shuffle
+                   of the table, and is published in one step; other columns may change freely
     run_ts         one time stamp for the whole run (type 2)
     """
     if strategy not in ("scd1", "scd2"):
@@ -155,8 +158,12 @@ def merge_to_silver(source_df: DataFrame, target_table_fqn: str, business_keys:
     source_df = source_df.drop(*(order_only or []))
     run_ts = run_ts or datetime.now(timezone.utc)
     stamp = F.lit(run_ts).cast("timestamp")
+    if key_shelves and (strategy != "scd1" or partition_by):
+        raise ValueError("key_shelves is a layout of type 1 tables without partition_by")
 
-    if not spark.catalog.tableExists(target_table_fqn):
+    if key_shelves and not keyed.exists(spark, target_table_fqn) and not spark.catalog.tableExists(target_table_fqn):
+        return {"action": "initial_write", "rows_written": keyed.create(source_df, target_table_fqn, business_keys, key_shelves)}
+    if not keyed.exists(spark, target_table_fqn) and not spark.catalog.tableExists(target_table_fqn):
         first = opened(source_df, stamp) if strategy == "scd2" else source_df
         if strategy == "scd2" and partition_by:
             first = first.withColumn(partition_by, history_parts(business_keys, stamp))
@@ -178,6 +185,12 @@ def _merge_existing(source: DataFrame, table: str, keys: list[str], strategy: st
         clash = repeated_keys(source, keys).limit(1).collect()
         if clash:
             raise ValueError(f"source repeats business key {clash[0].asDict()}; pass order_by to keep the latest")
+    if keyed.exists(spark, table):
+        if strategy != "scd1" or keyed.layout_of(spark, table).keys != list(keys):
+            raise ValueError(f"{table} is laid out for type 1 merges by {keyed.layout_of(spark, table).keys}")
+        _same_columns(keyed.read_version(spark, table), source)
+        keyed.merge(source, table)
+        return {"action": "merge", "business_keys": keys}
     target = spark.table(table)
     if strategy == "scd2":
         tracked = tracking if tracking is not None else default_tracking(source.columns, keys)

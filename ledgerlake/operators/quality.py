@@ -55,7 +55,11 @@ def validate_silver(table: str | DataFrame, key_col: str, spark: SparkSession |
 
 def key_checks(df: DataFrame, key: str, layer: str, table: str) -> DataFrame:
     """row_count, null_pk and duplicate_pk of one table."""
-    p = key_profile(df, key)
+    return profile_checks(key_profile(df, key), key, layer, table)
+
+
+def profile_checks(p: DataFrame, key: str, layer: str, table: str) -> DataFrame:
+    """`key_checks` from a key profile."""
     empty = F.col("row_count") == 0
     checks = F.array(
         _result(layer, table, "row_count", empty, F.col("row_count"), F.lit("table is empty")),

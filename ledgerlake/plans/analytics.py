@@ -215,6 +215,16 @@ def customer_months(sales: DataFrame) -> DataFrame:
         F.sum(amount("net_amount")).alias("revenue"))
 
 
+def customer_month_parts(sales: DataFrame, part: str = "quarter_key") -> DataFrame:
+    """Revenue per customer and month of the partitions `part` of sales, to be kept (`maintained.refresh_parts`).
+
+    Rows are sales of the first of their month, so the monthly and customer questions take them in place of sales; sums of
+    several parts of a month add up. Sales without a customer are one row per month.
+    """
+    return sales.groupBy(part, "customer_key", (F.floor(F.col("date_key") / 100) * 100 + 1).alias("date_key")).agg(
+        F.sum(amount("net_amount")).alias("net_amount"))
+
+
 def customer_kpis(sales: DataFrame) -> DataFrame:
     """Active, new, returning, retained and churned customers, retention, churn, NRR per month.
 
@@ -260,9 +270,9 @@ def cohort_retention(sales: DataFrame) -> DataFrame:
                     ratio("customers", size).alias("retention"))
 
 
-def cohort_matrix(cohorts: DataFrame) -> DataFrame:
-    """Cohorts as rows, all ages that occur as columns; the calendar bounds their number."""
-    ages = [r[0] for r in cohorts.select("age").distinct().orderBy("age").collect()]
+def cohort_matrix(cohorts: DataFrame, ages: list[int] | None = None) -> DataFrame:
+    """Cohorts as rows, ages as columns: the given ones, or all that occur; the calendar bounds their number."""
+    ages = ages if ages is not None else [r[0] for r in cohorts.select("age").distinct().orderBy("age").collect()]
     return cohorts.groupBy("cohort_month").pivot("age", ages).agg(F.max("retention"))
 
 

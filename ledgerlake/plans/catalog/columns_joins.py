@@ -431,8 +431,7 @@ def open_store_days(t):
         F.min("first").cast("date").alias("open_date")).withColumn(
         "close_date", F.when(F.col("store_key") % 4 == 0, F.date_add("open_date", 900)))
     days = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(count().alias("orders"))
-    horizon = t.orders.agg(F.max("o_orderdate").cast("date")).scalar()
-    return joins.open_on(days, "day", stores, horizon).groupBy(
+    return joins.open_on(days, "day", stores).groupBy(
         (F.year("day") * 100 + F.month("day")).cast("bigint").alias("month_key")).agg(
         count().alias("open_store_days"), F.sum("orders").alias("orders"))
 
@@ -475,10 +474,9 @@ def inventory_spine_cells(t):
     """product x store x day spine of the 20 top sellers (a parameter of the model), densified with shipped units."""
     lines = standins.shipped_lines(t)
     top = compare.top_n_present(lines, "product_key", "quantity", 20, standins.products(t))
-    spine = joins.inventory_spine(top, _supplier_stores(t), *_ship_span(t))
     snap = lines.join(top.select("product_key"), "product_key", "left_semi").groupBy(
         "product_key", "store_key", dates.key_to_date("date_key").alias("date")).agg(F.sum("quantity").alias("units"), F.lit(1).alias("seen"))
-    dense = joins.densify(spine, snap, ["product_key", "store_key", "date"], {"units": 0, "seen": 0})
+    dense = joins.inventory_cells(top, _supplier_stores(t), snap, *_ship_span(t), {"units": 0, "seen": 0})
     return dense.groupBy("product_key", F.year("date").cast("bigint").alias("yr")).agg(
         count().alias("cells"), F.sum("units").alias("units"), F.count_if(F.col("seen") == 0).alias("empty_cells"))
 
@@ -554,20 +552,44 @@ def return_drill_back(t):
         count().alias("returns"), total("v").alias("amount"), F.min("sale_date_key").alias("first_sale"))
 
 
-@query("""
+IDENTITIES_SQL = """
 WITH b AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 1 OR (c_custkey % 7 <> 0) THEN 0 ELSE 1 END AS starts FROM customer),
 g AS (SELECT k, sum(starts) OVER (ORDER BY k) AS grp FROM b),
 m AS (SELECT k, min(k) OVER (PARTITION BY grp) AS component FROM g)
-SELECT component AS customer_id, count(*) AS accounts, max(k) AS last_account FROM m GROUP BY 1""")
+SELECT component AS customer_id, count(*) AS accounts, max(k) AS last_account FROM m GROUP BY 1"""
+
+
+@query(IDENTITIES_SQL)
 def resolved_identities(t):
     """Accounts linked by e-mail (pairs) and by loyalty card (neighbours, with breaks)."""
+    email, cards = _account_links(t)
+    resolved = joins.connected_identities(email.union(cards), "account", "identifier")
+    accounts = resolved.filter(F.col("node") < 10 ** 12)
+    return accounts.groupBy(F.col("component").alias("customer_id")).agg(
+        count().alias("accounts"), F.max("node").alias("last_account"))
+
+
+def _account_links(t):
+    """(account, identifier) by e-mail and by loyalty card."""
     k = F.col("c_custkey")
     email = t.customer.select(k.alias("account"), (F.lit(10 ** 12) + F.floor(k / 2)).alias("identifier"))
     card_to_previous = t.customer.filter((k % 2 == 0) & (k % 7 != 0) & (k > 0)).select(
         k.alias("account"), (k + 2 * 10 ** 12).alias("identifier"))
     card_of_previous = card_to_previous.select((F.col("account") - 1).alias("account"), "identifier")
-    edges = email.union(card_to_previous).union(card_of_previous)
-    resolved = joins.connected_identities(edges, "account", "identifier")
-    accounts = resolved.filter(F.col("node") < 10 ** 12)
-    return accounts.groupBy(F.col("component").alias("customer_id")).agg(
-        count().alias("accounts"), F.max("node").alias("last_account"))
+    return email, card_to_previous.union(card_of_previous)
+
+
+@query(IDENTITIES_SQL)
+def extended_identities(t):
+    """Accounts linked by e-mail, stored by node; loyalty cards come later and move only the components they touch."""
+    from ...operators.merge import merge_to_silver
+    from .quality_loads import _fresh_table
+
+    table = _fresh_table(t, "identities")
+    email, cards = _account_links(t)
+    merge_to_silver(joins.connected_identities(email, "account", "identifier"), table, ["node"], key_shelves=8)
+    for half in (0, 1):
+        links = cards.filter(F.floor(F.col("identifier") % 4 / 2) == half)
+        merge_to_silver(joins.extend_identities(t.spark.table(table), links, "account", "identifier"), table, ["node"])
+    accounts = t.spark.table(table).filter(F.col("node") < 10 ** 12)
+    return accounts.groupBy(F.col("component").alias("customer_id")).agg(count().alias("accounts"), F.max("node").alias("last_account"))

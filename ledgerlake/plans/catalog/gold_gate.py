@@ -183,3 +183,38 @@ def ordered_gate_results(t):
     rows = quality.ordered(results).collect()  # a report: one row per check
     return t.spark.createDataFrame([(i + 1, r["status"], r["layer"], r["table"], r["check"]) for i, r in enumerate(rows)],
                                    "place bigint, status string, layer string, `table` string, `check` string")
+
+
+@query(f"""{GATE_SQL} SELECT * FROM r""")
+def maintained_gate_results(t):
+    """The same checks after two loads, the second of late sessions and of customers that came again, from statistics per partition."""
+    from ...operators import calendar
+
+    silver, gold = _fresh_database(t, "kept_silver"), _fresh_database(t, "kept_gold")
+    sessions = standins.sessions(t)
+    customers = t.customer.filter("c_custkey % 5 <> 0").select(F.col("c_custkey").alias("customer_key"))
+    span = calendar.date_span(sessions.select(dates.key_to_date("date_key").alias("d")), "d")
+    first = {"dim_date": calendar.dim_date(span), "dim_channel": calendar.dim_channel(t.spark), "dim_customer": customers.filter("customer_key % 3 > 0"),
+             "fact_sessions": sessions.filter("session_key % 10 > 0 OR date_key % 3 > 0")}
+    tables = ["dim_customer", "fact_sessions"]
+    medallion.run_load(t.spark, first, silver, gold)
+    medallion.run_checkpoint(t.spark, silver, gold, date(2100, 1, 1), fail_on_errors=False, tables=tables, incremental=True)
+    medallion.run_load(t.spark, {"dim_customer": customers, "fact_sessions": sessions.filter("session_key % 10 = 0")}, silver, gold)
+    results = medallion.checkpoint_results(t.spark, silver, gold, date(2100, 1, 1), tables, incremental=True)
+    return results.select("layer", "table", "check", "status", "value")
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'Z' ELSE o_orderstatus END AS s, CAST(o_totalprice AS DECIMAL(12,2)) AS v FROM orders)
+SELECT s AS status, count(*) AS n, CAST(sum(v) AS DOUBLE) AS total FROM o GROUP BY 1""")
+def gold_from_change_sets(t):
+    """Orders merged in three batches (most; the rest with some that come again unchanged; changed ones), followed by a second table after each."""
+    from .. import changes
+
+    silver, gold = _fresh_table(t, "recorded_orders"), _fresh_table(t, "following_orders")
+    o = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"), F.col("o_totalprice").cast("decimal(12,2)").alias("v"),
+                        F.year("o_orderdate").alias("yr"))
+    for batch in (o.filter("k % 5 > 0"), o.filter("k % 5 < 2"), o.filter("k % 7 = 0").withColumn("s", F.lit("Z"))):
+        changes.merge_recorded(batch, silver, ["k"], order_by=["v"], partition_by="yr", keys_may_move=False)
+        changes.follow(t.spark, silver, gold, ["k"], partition_by="yr", keys_may_move=False)
+    return t.spark.table(gold).groupBy(F.col("s").alias("status")).agg(count().alias("n"), F.sum("v").cast("double").alias("total"))

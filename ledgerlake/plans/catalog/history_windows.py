@@ -288,7 +288,7 @@ def table_differences(t):
     """Rows one of two tables holds more often, with the surplus."""
     a = t.lineitem.select("l_partkey", F.col("l_linenumber").cast("bigint").alias("line"), "l_returnflag")
     b = a.withColumn("l_returnflag", F.when(F.col("l_partkey") % 500 == 1, "N").otherwise(F.col("l_returnflag")))
-    return compare.row_differences(a, b)
+    return compare.differing_rows(a, b)
 
 
 # Upserts and history

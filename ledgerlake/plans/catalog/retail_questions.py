@@ -341,18 +341,38 @@ def campaign_roi(t):
 CM_SQL = "cm AS (SELECT customer_key, n, sum(net_amount) AS r FROM ord GROUP BY 1, 2)"
 
 
-@query(f"""
+CUSTOMER_KPIS_SQL = f"""
 WITH {ORDERS_SQL}, {CM_SQL}, s AS (SELECT *, lag(n) OVER (PARTITION BY customer_key ORDER BY n) AS p FROM cm),
 g AS (SELECT n, count(*) AS active, count(*) FILTER (WHERE p IS NULL) AS new, count(*) FILTER (WHERE p IS NOT NULL) AS returning_, count(*) FILTER (WHERE p = n - 1) AS retained,
   sum(r) AS rev, coalesce(sum(r) FILTER (WHERE p = n - 1), 0) AS rr FROM s GROUP BY 1)
 SELECT CAST(g.n // 12 * 100 + g.n % 12 + 1 AS BIGINT) AS month_key, g.active, g.new, g.returning_ AS returning, g.retained, b.active - g.retained AS churned,
   {frac('g.retained', 'b.active')} AS retention, {frac('b.active - g.retained', 'b.active')} AS churn, {frac('g.rr', 'b.rev')} AS nrr
-FROM g LEFT JOIN g b ON b.n = g.n - 1""")
+FROM g LEFT JOIN g b ON b.n = g.n - 1"""
+
+
+@query(CUSTOMER_KPIS_SQL)
 def customer_kpis(t):
     """Active, new, returning, retained and churned customers, retention, churn and NRR per month."""
     return analytics.customer_kpis(standins.order_totals(t))
 
 
+@query(CUSTOMER_KPIS_SQL)
+def maintained_customer_kpis(t):
+    """The same from customer-months that are kept per quarter and computed anew for the quarters of a late batch only."""
+    from ...operators.merge import merge_to_silver
+    from .. import maintained
+    from .quality_loads import _fresh_table
+
+    table = _fresh_table(t, "kept_orders")
+    orders = standins.order_totals(t).withColumn("quarter_key", F.floor(F.col("date_key") / 10000) * 10 + F.floor((F.floor(F.col("date_key") / 100) % 100 + 2) / 3))
+    late = F.col("date_key").between(19930101, 19930630) & (F.col("order_id") % 3 == 0)
+    merge_to_silver(orders.filter(~late), table, ["order_id"], partition_by="quarter_key")
+    maintained.refresh_parts(t.spark, table, "customer_months", analytics.customer_month_parts)
+    merge_to_silver(orders.filter(late), table, ["order_id"], partition_by="quarter_key", keys_may_move=False)
+    parts, _ = maintained.refresh_parts(t.spark, table, "customer_months", analytics.customer_month_parts)
+    return analytics.customer_kpis(parts)
+
+
 @query(f"""
 WITH {ORDERS_SQL}, v AS (SELECT customer_key, sum(net_amount) AS v FROM ord GROUP BY 1),
 a AS (SELECT count(*) AS customers, {frac('sum(v)', 'count(*)')} AS average_ltv, CAST((SELECT sum(CAST(s_acctbal AS DECIMAL(12,2))) FROM supplier) AS DOUBLE) / count(*) AS cac FROM v)
@@ -382,13 +402,16 @@ def cohort_retention(t):
     return analytics.cohort_retention(standins.order_totals(t))
 
 
+MATRIX_MONTHS = 84
+
+
 @query(f"""
 WITH {ORDERS_SQL}, {CM_SQL}, {COHORT_SQL},
 r AS (SELECT CAST(c // 12 * 100 + c % 12 + 1 AS BIGINT) AS cohort_month, age, {frac('customers', 'max(CASE WHEN age = 0 THEN customers END) OVER (PARTITION BY c)')} AS x FROM g)
-SELECT * FROM (PIVOT r ON age USING max(x) GROUP BY cohort_month)""")
+SELECT cohort_month, {', '.join(f'max(x) FILTER (WHERE age = {k}) AS "{k}"' for k in range(MATRIX_MONTHS))} FROM r GROUP BY cohort_month""")
 def cohort_matrix(t):
-    """Every cohort by every age that occurs."""
-    return analytics.cohort_matrix(analytics.cohort_retention(standins.order_totals(t)))
+    """Every cohort by every age of seven years, which is more than occurs."""
+    return analytics.cohort_matrix(analytics.cohort_retention(standins.order_totals(t)), list(range(MATRIX_MONTHS)))
 
 
 @query(f"""

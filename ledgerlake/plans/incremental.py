@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
@@ -41,6 +41,23 @@ def high_water_marks(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def footer_aggregates(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """(watermark, row_count) of Parquet files, from their footers alone: no row is read.
+
+    The source's own aggregate push-down does it; it is a setting of a session, so the frame belongs to a session of its own.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.max(key).cast("bigint").alias("watermark"), F.count("*").alias("row_count"))
+
+
+def file_marks(spark: SparkSession, tables: dict[str, tuple[str, str]]) -> DataFrame:
+    """`high_water_marks` of tables given as (path, whole-number key): one row per table comes from the footers."""
+    found = [(name, *footer_aggregates(spark, path, key).first()) for name, (path, key) in tables.items()]
+    return spark.createDataFrame([(name, mark or 0, n or 0) for name, mark, n in found], "table_name string, watermark bigint, row_count bigint")
+
+
 def advance_state(previous: DataFrame, fresh: DataFrame) -> DataFrame:
     """Newest watermark per table; a table without new rows keeps its previous one."""
     new = fresh.select("table_name", F.nullif("watermark", F.lit(0)).alias("new_mark"))

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from . import publication
+
 TABLE_ROOT_SETTING = "spark.ledgerlake.tables.dir"
 BASE_URI_SETTING = "spark.ledgerlake.files.base"
 VERSION = "ledgerlake.version"
@@ -63,6 +65,12 @@ def create_table(df: DataFrame, table: str, partition_by: str | None = None) ->
 
 def drop_table(spark: SparkSession, table: str) -> None:
     """Take a table out of the catalog and delete all its versions."""
+    from . import keyed
+
+    table = table.removesuffix(keyed.runs_table(""))
+    if spark.catalog.tableExists(keyed.runs_table(table)):
+        keyed.drop(spark, table)
+        return
     folder = spark._jvm.org.apache.hadoop.fs.Path(fresh_location(spark, table)).getParent()
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
@@ -123,10 +131,16 @@ def version(spark: SparkSession, table: str) -> str:
 
 
 def _next_version(spark: SparkSession, table: str, before: str) -> None:
-    """Claim the next publication, unless another writer has published since `before` was read."""
+    """Claim the next publication, unless another writer has published since `before` was read.
+
+    The claim is a file that only one writer can put in place after `before`; the property names it.
+    """
+    folder, name = f"{fresh_location(spark, table).rsplit('/', 1)[0]}/_claims", uuid.uuid4().hex
+    first = "none" if not re.fullmatch("[0-9a-f]{32}", before) else before
     if version(spark, table) != before:
-        raise RuntimeError(f"{table} was changed by another writer; run the merge again")
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{VERSION}' = '{uuid.uuid4().hex}')")
+        raise publication.Conflict(f"{table} was changed by another writer; run the merge again")
+    publication.publish(spark, f"{folder}/{first}", 0, {"next": name})
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{VERSION}' = '{name}')")
 
 
 def _partition_name(part: str, value) -> str:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,16 +23,19 @@ def read_landing(spark: SparkSession, path: str, schema: StructType, max_files:
 
 
 def upsert_stream(stream: DataFrame, table: str, keys: list[str], order_by: list[str], checkpoint: str,
-                  partition_by: str | None = None,
+                  partition_by: str | None = None, keys_may_move: bool = True, key_shelves: int | None = None,
                   prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Drain what has landed and merge it, batch by batch; a replayed batch changes nothing.
 
     Within a batch the latest row per key wins, and the merge is idempotent, so the at-least
-    once delivery of foreachBatch ends in the same table as exactly once.
+    once delivery of foreachBatch ends in the same table as exactly once. `keys_may_move` and
+    `key_shelves` are those of `merge_to_silver`: without the one or with the other no batch reads the
+    keys of the whole table.
     """
     def merge(batch: DataFrame, _: int) -> None:
         rows = prepare(batch) if prepare else batch
-        merge_to_silver(rows, table, keys, order_by=order_by, partition_by=partition_by)
+        merge_to_silver(rows, table, keys, order_by=order_by, partition_by=partition_by, keys_may_move=keys_may_move,
+                        key_shelves=key_shelves)
 
     return (
         stream.writeStream.foreachBatch(merge)
@@ -41,23 +43,25 @@ def upsert_stream(stream: DataFrame, table: str, keys: list[str], order_by: list
     )
 
 
+DEDUPE_SALTS = 64
+
+
+def salted(df: DataFrame, salts: int = DEDUPE_SALTS) -> DataFrame:
+    """Rows with a salt by the task that reads them, so copies that arrive together are spread."""
+    return df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+
+
 def dedupe_stream(stream: DataFrame, ts: str, keys: list[str],
-                  within: str = f"{fixed.LATE_WINDOW_DAYS} days") -> DataFrame:
+                  within: str = f"{fixed.LATE_WINDOW_DAYS} days", salts: int = DEDUPE_SALTS) -> DataFrame:
     """First arrival of each key; repeats within the late window are dropped.
 
-    The watermark bounds the state: keys are forgotten once the window has passed. Copies that
-    arrive together are combined in their own task first, so a key that replays repeat for a
-    third of all rows reaches its state once per task and record batch.
+    The watermark bounds the state: keys are forgotten once the window has passed. There are two stages. The
+    first drops repeats of a key and salt, so a key that replays repeat for a third of all rows is spread over
+    `salts` state tasks; the second drops repeats among the few that survive, by key. A retried task may salt its rows
+    otherwise, which changes what the first stage lets pass and not what the second does.
     """
-    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[tuple, int] = {}
-            for i, key in enumerate(zip(*(batch.column(k).to_pylist() for k in keys), strict=True)):
-                seen.setdefault(key, i)
-            yield batch.take(pa.array(list(seen.values()), pa.int64()))
-
-    timed = _event_time(stream, ts)
-    return timed.mapInArrow(combine, timed.schema).withWatermark(ts, within).dropDuplicatesWithinWatermark(keys)
+    timed = salted(_event_time(stream, ts), salts).withWatermark(ts, within)
+    return timed.dropDuplicatesWithinWatermark([*keys, "__salt"]).dropDuplicatesWithinWatermark(keys).drop("__salt")
 
 
 def hourly_counts(df: DataFrame, ts: str, by: list[str] | None = None, watermark: str | None = None) -> DataFrame:

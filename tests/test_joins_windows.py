@@ -1,6 +1,8 @@
+import math
 import random
-from datetime import date
+from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import joins, windows
@@ -80,6 +82,55 @@ def test_open_ended_interval(spark):
     assert sorted((r.day.day, r.store_key) for r in out.collect()) == [(4, 2), (5, 1), (5, 2), (6, 1), (20, 1)]
 
 
+def brute_force_pairs(points, spans):
+    return sorted(((p, n) for p in points for n, a, b in spans if p is not None and a is not None and a <= p and (b is None or p <= b)), key=str)
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "bigint"])
+def test_dyadic_intervals_against_brute_force(spark, kind):
+    rng = random.Random(kind)
+    make = {"date": lambda x: date(2020, 1, 1) + timedelta(days=x), "timestamp": lambda x: datetime(1969, 12, 31) + timedelta(microseconds=x * 37_000_001),
+            "bigint": lambda x: x - 300}[kind]
+    points = [None if rng.random() < 0.05 else make(rng.randrange(600)) for _ in range(150)]
+    spans = [(n, None if n == 3 else make(a := rng.randrange(600)), None if n % 9 == 0 else make(a + rng.randrange(-3, 200))) for n in range(60)]
+    f = spark.createDataFrame([(i, p) for i, p in enumerate(points)], f"i int, at {kind}")
+    s = spark.createDataFrame(spans, f"n int, a {kind}, b {kind}")
+    got = sorted(((r["at"], r["n"]) for r in joins.in_interval(f, "at", s, "a", "b").collect()), key=str)
+    assert got == brute_force_pairs(points, spans)
+    left = joins.in_interval(f, "at", s, "a", "b", "left").collect()
+    hit = {p for p, _ in got}
+    assert len(left) == len(got) + sum(p not in hit for p in points)
+    assert {r["i"] for r in left} == set(range(150))
+
+
+def test_an_interval_is_few_blocks(spark):
+    spans = [(date(2024, 1, 1), date(2024, 1, 1) + timedelta(days=n - 1)) for n in (1, 2, 3, 10, 365, 3650, 36500)] + [(date(2024, 1, 2), None)]
+    n = joins.dyadic_blocks(spark.createDataFrame(spans, "a date, b date"), "a", "b").groupBy("a", "b").count().collect()
+    assert len(n) == 8
+    for r in n:
+        days = (r["b"] - r["a"]).days + 1 if r["b"] else 2**23
+        assert r["count"] < 2 * math.log2(days) + 2
+
+
+def test_no_interval_at_all(spark):
+    f = spark.createDataFrame([(1, date(2024, 1, 1))], "i int, at date")
+    none = spark.createDataFrame([], "n int, a date, b date")
+    assert joins.in_interval(f, "at", none, "a", "b").count() == 0
+    assert joins.in_interval(f, "at", none, "a", "b", "left").count() == 1
+
+
+def test_inventory_cells_equal_the_densified_spine(spark):
+    p = spark.createDataFrame([(1,), (2,), (3,)], "product_key int")
+    s = spark.createDataFrame([(7, date(2024, 1, 2), None), (8, date(2023, 1, 1), date(2024, 1, 1)), (9, date(2025, 1, 1), None)], "store_key int, opened date, closed date")
+    snap = spark.createDataFrame([(1, 7, date(2024, 1, 2), 5), (2, 8, date(2024, 1, 1), 6), (2, 8, date(2024, 1, 3), 7), (1, 7, None, 1), (4, 7, date(2024, 1, 2), 9)],
+                                 "product_key int, store_key int, date date, units int")
+    span = (F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 3)))
+    got = joins.inventory_cells(p, s, snap, *span, {"units": 0}, opened="opened", closed="closed")
+    want = joins.densify(joins.inventory_spine(p, s, *span, opened="opened", closed="closed"), snap, ["product_key", "store_key", "date"], {"units": 0})
+    assert rows(got.select("date", "product_key", "store_key", "units")) == rows(want.select("date", "product_key", "store_key", "units"))
+    assert got.count() == 9
+
+
 def test_spend_spine_types_and_calendar(spark):
     c = spark.createDataFrame([
         (1, "Email", date(2024, 1, 1), date(2024, 1, 2)), (2, "Skywriting", date(2024, 1, 2), date(2024, 1, 5)),
@@ -232,12 +283,14 @@ def test_point_in_time_ends_with_the_last_version(spark):
     assert {r.id: r.product_key for r in out.collect()} == {1: None, 2: 1, 3: None}
 
 
-def test_exploded_intervals_are_never_broadcast(spark):
+def test_intervals_are_broadcast_by_their_real_size_only(spark):
     d = spark.createDataFrame([(date(2024, 1, 1), date(2024, 1, 3))], "a date, b date")
     days = spark.createDataFrame([(date(2024, 1, 2),)], "day date")
     for plan in (joins.in_interval(days, "day", d, "a", "b"), joins.open_on(days, "day", d, F.lit(date(2024, 1, 9)), "a", "b")):
         text = plan._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+        assert "NestedLoop" not in text and "Cartesian" not in text
+        # the intervals are read as they were written: their size is known, not guessed
+        assert "interval-blocks" in text and "shiftleft" not in text
 
 
 def test_the_later_run_of_a_day_counts(spark):
