@@ -121,7 +121,7 @@ totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE s = 1 GROUP BY
 candidates AS (SELECT lang, s, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE s > 1 AND f >= 10),
 cuts AS (SELECT *, unnest(range(1, s)) AS k FROM candidates),
 parts AS (SELECT c.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score FROM cuts c
-    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[k + 1:s], ' ')),
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[k + 1:c.s], ' ')),
 least AS (SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 longer AS (SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase, a FROM candidates WHERE s = 3),
 inside AS (SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN longer g ON g.lang = c.lang AND g.phrase = c.phrase AND 100 * g.a >= 50 * c.a),
