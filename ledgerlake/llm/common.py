@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,6 +66,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 21)
         yield batch.slice(start)
 
 
+def collected_bitmap(slots: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of 2^bits bits, as bytes, of the numbers in column `slot`: what reaches the driver is of that size, whatever the rows."""
+    slot = F.col("slot")
+    cells = slots.groupBy(F.shiftright(slot, 6).alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 AS int)))").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6) if bits > 6 else 1, "<i8")
+    out[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
+    return out.view(np.uint8)
+
+
+def in_bitmap(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bitmap[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def decoded(text: bytes) -> str:
     return text.decode("utf-8", "replace")
 
