@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,6 +80,43 @@ def in_bitmap(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (bitmap[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
 
 
+def collected_filter(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Bloom filter of 2^bits bits with three probes, as bytes, of the 64-bit hashes in column `h`; at most 31 bits."""
+    h, mask = F.col("h"), (1 << bits) - 1
+    one, two = F.shiftrightunsigned(h, 64 - bits), F.shiftrightunsigned(h, 64 - 2 * bits).bitwiseAND(mask)
+    three = one.bitwiseXOR(F.shiftleft(two, 5)).bitwiseXOR(h).bitwiseAND(mask)
+    return collected_bitmap(hashes.select(F.explode(F.array(one, two, three)).alias("slot")), bits)
+
+
+def in_filter(held: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
+    """Which hashes may be in a filter: all that are, and few others while it is not full."""
+    h, mask = h.view(np.uint64), np.uint64((1 << bits) - 1)
+    one, two = h >> np.uint64(64 - bits), h >> np.uint64(64 - 2 * bits) & mask
+    three = (one ^ two << np.uint64(5) ^ h) & mask
+    return in_bitmap(held, one.astype(np.int64)) & in_bitmap(held, two.astype(np.int64)) & in_bitmap(held, three.astype(np.int64))
+
+
+ROW_BITS = 25
+
+
+def without_rows(docs: DataFrame, row: str, gone: DataFrame, key: str) -> DataFrame:
+    """The rows of `docs` whose id is not in `gone`, without the id.
+
+    Only rows that a filter of `gone` does not clear are joined, so texts that stay are not shuffled. The filter has 2^`ROW_BITS`
+    bits however many rows go.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(collected_filter(gone.select(F.xxhash64(key).alias("h")), ROW_BITS))
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        return pd.Series(in_filter(held.value, h.to_numpy(np.int64), ROW_BITS))
+
+    flag = fresh(docs, "maybe_gone")
+    told = docs.withColumn(flag, maybe(F.xxhash64(row)))
+    rest = told.filter(flag).join(gone.select(F.col(key).alias(row)), row, "left_anti").select(*told.columns)
+    return told.filter(~F.col(flag)).unionByName(rest).drop(row, flag)
+
+
 def decoded(text: bytes) -> str:
     return text.decode("utf-8", "replace")
 
