@@ -1,17 +1,21 @@
 """Document scores by masked pseudo-likelihood.
 
 A window network predicts every word from the words on both sides of it: the context's embeddings, scaled by
-position, are summed and squashed, and the word's probability is that of its class times that within its class.
-A document's score is the sum of its words' conditional log-probabilities.
-
-Everything the model has comes from the whole corpus: the vocabulary and starting biases from the counts of all
-words, the weights from rounds in which every partition trains on its own documents and all partitions' weights are
-averaged, by number of words, in Spark. A round takes another share of the documents; after the last one each document
-has moved the weights once. The driver sees the vocabulary and one set of weights.
+position, are summed and squashed, and the word is found by three choices, of its class, of its group in the class and
+of its place in the group, each a softmax over as many as the cube root of the vocabulary. A document's score is
+the sum of its words' conditional log-probabilities.
+
+Everything the model has comes from the whole corpus and grows with it. The table of the counts of all words stays
+distributed. The vocabulary of the network grows with the square root of the number of different words; all others share
+tokens, by hash, and a word of such a bucket has the bucket's probability, from the network, times its share of the bucket's
+occurrences, by a join with the table. The weights come from rounds in which every partition trains on its own documents
+and all partitions' weights are averaged, by number of words, in Spark. A round takes another share of the documents; after
+the last one each document has moved the weights once. The driver sees the vocabulary and one set of weights.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -23,29 +27,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
-from .common import slices, text_of
+from .common import partitions, slices, text_of
 
-CLASSES = 64
-PER_CLASS = 64
-UNKNOWN = 256  # words outside the vocabulary share this many tokens, by hash
-DIM = 24
+LEAST_WIDTH = 16  # choices at each of the three levels
+DIM = 16
 SIDE = (-2, -1, 1, 2)
 ROUNDS = 2
-BATCH = 1024
-CHUNK = 1 << 14
-RATE = 0.08
+BATCH = 8192
+RATE = 0.2
 
 
 @dataclass
 class Model:
-    """Token of each known word, log-probability of every token in its class by count, and the weights."""
+    """Token of each known word, the weights, and what the words without a token of their own need."""
 
     tokens: dict[bytes, int]
     weights: dict[str, np.ndarray]
+    width: int
+    bucket_words: np.ndarray  # occurrences of the words of each bucket
+    counts: DataFrame  # (word, n): all words of the corpus
 
     @property
     def pad(self) -> int:
-        return CLASSES * PER_CLASS
+        return self.width**3
+
+
+def first_bucket(width: int) -> int:
+    """The last class holds the buckets."""
+    return width**3 - width**2
+
+
+def bucket_of(word: bytes, width: int) -> int:
+    return zlib.crc32(word) % width**2
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,117 +81,157 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def vocabulary(docs: DataFrame) -> Model:
     """Untrained model over the commonest words of all documents: it gives every word its share of the corpus."""
     counts = materialize(docs.select(text_of().alias("text")).mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    known = CLASSES * PER_CLASS - UNKNOWN
+    width = max(LEAST_WIDTH, math.ceil((4 * math.sqrt(counts.count())) ** (1 / 3)))
+    known, buckets = first_bucket(width), width**2
     top = counts.orderBy(F.col("n").desc(), "word").limit(known).collect()
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    n = np.zeros(CLASSES * PER_CLASS)
+    n = np.zeros(width**3)
     n[: len(top)] = [r["n"] for r in top]
-    n[known:] = max(0.0, total - n.sum()) / UNKNOWN
-    share = (n + 0.5).reshape(CLASSES, PER_CLASS)
+    bucket_words = np.zeros(buckets)
+    if len(top) == known:
+        last = top[-1]
+        rest = counts.filter((F.col("n") < last["n"]) | (F.col("n") == last["n"]) & (F.col("word") > F.lit(bytearray(last["word"]))))
+        for r in rest.groupBy((F.crc32("word") % buckets).alias("bucket")).agg(F.sum("n").alias("n")).collect():
+            bucket_words[r["bucket"]] = r["n"]
+    n[known:] = bucket_words
+    share = (n + 0.5).reshape(width, width, width)
     r = np.random.default_rng(1)
     weights = {
-        "embed": r.normal(0, 0.1, (CLASSES * PER_CLASS + 1, DIM)), "place": np.ones((len(SIDE), DIM)) / 2, "offset": np.zeros(DIM),
-        "to_class": r.normal(0, 0.02, (DIM, CLASSES)), "class_bias": np.log(share.sum(axis=1) / share.sum()),
-        "to_word": r.normal(0, 0.02, (CLASSES, DIM, PER_CLASS)), "word_bias": np.log(share / share.sum(axis=1, keepdims=True)),
+        "embed": r.normal(0, 0.1, (width**3 + 1, DIM)), "place": np.ones((len(SIDE), DIM)) / 2, "offset": np.zeros(DIM),
+        "to_class": r.normal(0, 0.02, (DIM, width)), "class_bias": np.log(share.sum(axis=(1, 2)) / share.sum()),
+        "to_group": r.normal(0, 0.02, (width, DIM, width)), "group_bias": np.log(share.sum(axis=2) / share.sum(axis=(1, 2))[:, None]),
+        "to_word": r.normal(0, 0.02, (width**2, DIM, width)), "word_bias": np.log(share / share.sum(axis=2, keepdims=True)).reshape(width**2, width),
     }
     weights["embed"][-1] = 0
-    return Model({bytes(row["word"]): i for i, row in enumerate(top)}, {k: v.astype(np.float32) for k, v in weights.items()})
+    return Model({bytes(row["word"]): i for i, row in enumerate(top)}, {k: v.astype(np.float32) for k, v in weights.items()}, width, bucket_words, counts)
+
+
+def tokens_of(words: list[bytes], known: dict[bytes, int], width: int) -> np.ndarray:
+    get, first, buckets, crc = known.get, first_bucket(width), width**2, zlib.crc32
+    return np.array([k if (k := get(w)) is not None else first + crc(w) % buckets for w in words], np.int32)
 
 
-def tokens_of(texts: list[bytes], known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of all texts and the first of each text."""
-    first_unknown = CLASSES * PER_CLASS - UNKNOWN
-    ids: list[int] = []
+def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """Words of all texts and the first of each text."""
+    words: list[bytes] = []
     bounds = [0]
     for t in texts:
-        words = t.lower().split()
-        ids += [k if (k := known.get(w)) is not None else first_unknown + zlib.crc32(w) % UNKNOWN for w in words]
-        bounds.append(len(ids))
-    return np.array(ids, np.int64), np.array(bounds)
+        words += t.lower().split()
+        bounds.append(len(words))
+    return words, np.array(bounds)
 
 
 def contexts(ids: np.ndarray, bounds: np.ndarray, pad: int) -> np.ndarray:
-    """(words, sides): the tokens around every word, `pad` beyond the ends of its text."""
+    """(sides, words): the tokens around every word, `pad` beyond the ends of its text."""
     n = np.diff(bounds)
     left = np.arange(len(ids)) - np.repeat(bounds[:-1], n)
     right = np.repeat(n, n) - 1 - left
-    out = np.full((len(ids), len(SIDE)), pad, np.int64)
+    out = np.full((len(SIDE), len(ids)), pad, np.int32)
     for j, d in enumerate(SIDE):
-        inside = (left >= -d) & (right >= d)
-        at = np.flatnonzero(inside)
-        out[at, j] = ids[at + d]
+        at = np.flatnonzero((left >= -d) & (right >= d))
+        out[j, at] = ids[at + d]
     return out
 
 
-def _hidden(w: dict[str, np.ndarray], around: np.ndarray) -> np.ndarray:
-    h = np.repeat(w["offset"][None], len(around), axis=0)
-    for j in range(len(SIDE)):
-        h += w["embed"][around[:, j]] * w["place"][j]
-    return np.tanh(h)
+def _hidden(w: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(hidden layer, embeddings by side)."""
+    seen = [w["embed"][around[j]] for j in range(len(SIDE))]
+    h = np.repeat(w["offset"][None], around.shape[1], axis=0)
+    for j, e in enumerate(seen):
+        h += e * w["place"][j]
+    return np.tanh(h, out=h), seen
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _spans(sorted_keys: np.ndarray) -> list[tuple[int, int, int]]:
+    """(key, first, end) of the stretches of equal keys."""
+    starts = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])).tolist()
+    return list(zip(sorted_keys[starts].tolist(), starts, [*starts[1:], len(sorted_keys)], strict=True))
+
+
+def _scores(w: dict[str, np.ndarray], h: np.ndarray, kind: np.ndarray, node: np.ndarray):
+    """Of words in order: scores of all classes, of the groups of the word's class, and of the words of its group; and the spans."""
+    width = w["to_class"].shape[1]
+    classes, nodes = _spans(kind), _spans(node)
+    groups, words = np.empty((len(h), width), np.float32), np.empty((len(h), width), np.float32)
+    for k, a, b in classes:
+        np.matmul(h[a:b], w["to_group"][k], out=groups[a:b])
+        groups[a:b] += w["group_bias"][k]
+    for k, a, b in nodes:
+        np.matmul(h[a:b], w["to_word"][k], out=words[a:b])
+        words[a:b] += w["word_bias"][k]
+    return (h @ w["to_class"] + w["class_bias"], groups, words), classes, nodes
+
+
+def _choices(t: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(class, group among all groups, the choice at each level) of tokens."""
+    node = t // width
+    kind = node // width
+    return kind, node, [kind, node - kind * width, t - node * width]
 
 
 def log_probabilities(w: dict[str, np.ndarray], target: np.ndarray, around: np.ndarray) -> np.ndarray:
-    """Of every word, given the words on both sides."""
+    """Of every token, given the tokens on both sides."""
+    width = w["to_class"].shape[1]
     out = np.zeros(len(target))
-    for start in range(0, len(target), CHUNK):
-        t = target[start : start + CHUNK]
-        order = np.argsort(t // PER_CLASS, kind="stable")
-        t = t[order]
-        kind, word = t // PER_CLASS, t % PER_CLASS
-        h = _hidden(w, around[start : start + CHUNK][order])
-        own = _log_softmax(h @ w["to_class"] + w["class_bias"])[np.arange(len(t)), kind]
-        edge = np.searchsorted(kind, np.arange(CLASSES + 1))
-        for k in np.flatnonzero(np.diff(edge)):
-            a, b = edge[k], edge[k + 1]
-            own[a:b] += _log_softmax(h[a:b] @ w["to_word"][k] + w["word_bias"][k])[np.arange(b - a), word[a:b]]
+    for start in range(0, len(target), 2 * BATCH):
+        t = target[start : start + 2 * BATCH]
+        order = np.argsort(t, kind="stable")
+        kind, node, picks = _choices(t[order], width)
+        h, _ = _hidden(w, around[:, start : start + 2 * BATCH][:, order])
+        levels, _, _ = _scores(w, h, kind, node)
+        own, rows = np.zeros(len(t)), np.arange(len(t))
+        for z, pick in zip(levels, picks, strict=True):
+            z -= z.max(axis=1, keepdims=True)
+            own += z[rows, pick]
+            own -= np.log(np.exp(z, out=z).sum(axis=1))
         out[start + order] = own
     return out
 
 
 def train_on(w: dict[str, np.ndarray], target: np.ndarray, around: np.ndarray, sums: dict[str, np.ndarray]) -> None:
     """One pass of Adagrad over the words, in place."""
+    width = w["to_class"].shape[1]
 
     def step(name: str, grad: np.ndarray, at=slice(None)) -> None:
-        sums[name][at] += grad * grad
-        w[name][at] -= RATE * grad / np.sqrt(sums[name][at])
+        s = sums[name][at] + grad * grad
+        sums[name][at] = s
+        w[name][at] -= RATE * grad / np.sqrt(s)
 
     for start in range(0, len(target), BATCH):
-        t, c = target[start : start + BATCH], around[start : start + BATCH]
-        order = np.argsort(t // PER_CLASS, kind="stable")
-        t, c = t[order], c[order]
-        kind, word, rows = t // PER_CLASS, t % PER_CLASS, np.arange(len(t))
-        h = _hidden(w, c)
-        scale = np.float32(1 / len(t))
-        p = np.exp(_log_softmax(h @ w["to_class"] + w["class_bias"]))
-        p[rows, kind] -= 1
-        p *= scale
+        order = np.argsort(target[start : start + BATCH], kind="stable")
+        t, c = target[start + order], around[:, start + order]
+        kind, node, picks = _choices(t, width)
+        h, seen = _hidden(w, c)
+        levels, classes, nodes = _scores(w, h, kind, node)
+        rows, scale = np.arange(len(t)), np.float32(1 / len(t))
+        for z, pick in zip(levels, picks, strict=True):  # to gradients of the scores
+            z -= z.max(axis=1, keepdims=True)
+            np.exp(z, out=z)
+            z *= scale / z.sum(axis=1, keepdims=True)
+            z[rows, pick] -= scale
+        p, groups, words = levels
         back = p @ w["to_class"].T
-        grads = {"to_class": h.T @ p, "class_bias": p.sum(axis=0)}
-        edge = np.searchsorted(kind, np.arange(CLASSES + 1))
-        for k in np.flatnonzero(np.diff(edge)):
-            a, b = edge[k], edge[k + 1]
-            q = np.exp(_log_softmax(h[a:b] @ w["to_word"][k] + w["word_bias"][k]))
-            q[np.arange(b - a), word[a:b]] -= 1
-            q *= scale
-            back[a:b] += q @ w["to_word"][k].T
-            step("to_word", h[a:b].T @ q, k)
-            step("word_bias", q.sum(axis=0), k)
+        for name, z, spans in (("group", groups, classes), ("word", words, nodes)):
+            who = [k for k, _, _ in spans]
+            grad = np.empty((len(who), DIM, width), np.float32)
+            for i, (k, a, b) in enumerate(spans):
+                np.matmul(h[a:b].T, z[a:b], out=grad[i])
+                back[a:b] += z[a:b] @ w[f"to_{name}"][k].T
+            step(f"to_{name}", grad, who)
+            step(f"{name}_bias", np.add.reduceat(z, [a for _, a, _ in spans], axis=0), who)
+        step("to_class", h.T @ p)
+        step("class_bias", p.sum(axis=0))
         back *= 1 - h * h
-        grads["offset"] = back.sum(axis=0)
-        grads["place"] = np.stack([(back * w["embed"][c[:, j]]).sum(axis=0) for j in range(len(SIDE))])
-        moves = np.concatenate([back * w["place"][j] for j in range(len(SIDE))])
-        who, inverse = np.unique(c.T.ravel(), return_inverse=True)
-        total = np.zeros((len(who), DIM), np.float32)
-        np.add.at(total, inverse, moves)
-        total[who == CLASSES * PER_CLASS] = 0
+        moves = (back[None] * w["place"][:, None]).reshape(-1, DIM)
+        step("offset", back.sum(axis=0))
+        step("place", np.stack([np.einsum("ij,ij->j", back, e) for e in seen]))
+        ids = c.ravel()
+        order = np.argsort(ids.astype(np.uint16) if width**3 < 1 << 16 else ids, kind="stable")  # of 16 bits it is a radix sort
+        ids = ids[order]
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        total = np.add.reduceat(moves[order], first, axis=0)
+        who = ids[first]
+        total[who == width**3] = 0
         step("embed", total, who)
-        for name, g in grads.items():
-            step(name, g)
 
 
 def _flat(w: dict[str, np.ndarray]) -> np.ndarray:
@@ -194,27 +247,32 @@ def _unflat(v: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]
 
 
 def train_round(docs: DataFrame, model: Model, round_: int, rounds: int = ROUNDS) -> Model:
-    """Every partition trains from the same weights on its documents of the round; the average is the new model."""
+    """Every partition trains from the same weights on its documents of the round; the average is the new model.
+
+    There are no more partitions than the session shuffles into, so what is sent to be averaged does not grow with the number of
+    input files.
+    """
     parts = 16
-    size = _flat(model.weights).size
-    width = -(-size // parts)
+    tokens, weights, width = model.tokens, model.weights, model.width
+    cut = -(-_flat(weights).size // parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = {k: v.copy() for k, v in model.weights.items()}
+        w = {k: v.copy() for k, v in weights.items()}
         sums = {k: np.full_like(v, 1e-4) for k, v in w.items()}
         seen = 0
         for batch in slices(batches, "text"):
-            ids, bounds = tokens_of(batch.column("text").to_pylist(), model.tokens)
-            if not len(ids):
+            words, bounds = words_of(batch.column("text").to_pylist())
+            if not words:
                 continue
-            around = contexts(ids, bounds, model.pad)
+            ids = tokens_of(words, tokens, width)
+            around = contexts(ids, bounds, width**3)
             mixed = np.random.default_rng([round_, len(ids)]).permutation(len(ids))
-            train_on(w, ids[mixed], around[mixed], sums)
+            train_on(w, ids[mixed], around[:, mixed], sums)
             seen += len(ids)
         if seen:
             v = _flat(w)
             yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([seen] * parts, pa.int64()),
-                                              pa.array([v[i * width : (i + 1) * width].tobytes() for i in range(parts)], pa.binary())], ["part", "n", "v"])
+                                              pa.array([v[i * cut : (i + 1) * cut].tobytes() for i in range(parts)], pa.binary())], ["part", "n", "v"])
 
     def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -228,12 +286,12 @@ def train_round(docs: DataFrame, model: Model, round_: int, rounds: int = ROUNDS
                                           pa.array([(v / n).astype(np.float32).tobytes() for n, v in held.values()], pa.binary())], ["part", "n", "v"])
 
     chosen = docs.filter(F.expr(f"pmod(xxhash64(doc_id, text), {rounds}) = {round_}")).select(text_of().alias("text"))
-    trained = chosen.mapInArrow(run, "part int, n long, v binary")
+    trained = chosen.coalesce(partitions(docs.sparkSession)).mapInArrow(run, "part int, n long, v binary")
     rows = trained.repartition(parts, "part").mapInArrow(average, "part int, n long, v binary").collect()
     if not rows:
         return model
     v = np.concatenate([np.frombuffer(r["v"], np.float32) for r in sorted(rows, key=lambda r: r["part"])])
-    return Model(model.tokens, _unflat(v, model.weights))
+    return Model(tokens, _unflat(v, weights), width, model.bucket_words, model.counts)
 
 
 def train(docs: DataFrame, rounds: int = ROUNDS) -> Model:
@@ -247,17 +305,33 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> Model:
 def pseudo_likelihood(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, log_likelihood, mean_log_likelihood, pseudo_perplexity: one row per row of `docs`.
 
-    A null text or one without a word has no tokens, log-likelihood 0, and null mean and perplexity. Repeated
-    rows score alike. An empty table gives an empty result.
+    A word of a bucket with n occurrences in all has, of the bucket's probability, its own number of occurrences to n + 1; all
+    words that the corpus does not have share the one that is left. A null text or one without a word has no
+    tokens, log-likelihood 0, and null mean and perplexity. Repeated rows score alike. An empty table gives an empty result.
     """
+    tokens, weights, width = model.tokens, model.weights, model.width
+    of_bucket = np.log(model.bucket_words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = first_bucket(width)
         for batch in slices(batches, "text", 1 << 20):
-            ids, bounds = tokens_of(batch.column("text").to_pylist(), model.tokens)
-            total = np.concatenate([[0.0], np.cumsum(log_probabilities(model.weights, ids, contexts(ids, bounds, model.pad)))])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(bounds)), pa.array(total[bounds[1:]] - total[bounds[:-1]])],
-                                             ["doc_id", "n_tokens", "log_likelihood"])
-
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double")
+            words, bounds = words_of(batch.column("text").to_pylist())
+            ids = tokens_of(words, tokens, width)
+            own = log_probabilities(weights, ids, contexts(ids, bounds, width**3))
+            rare = np.flatnonzero(ids >= first)
+            own[rare] -= of_bucket[ids[rare] - first]
+            total = np.concatenate([[0.0], np.cumsum(own)])
+            ends = np.searchsorted(rare, bounds).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), pa.array(np.diff(bounds)), pa.array(total[bounds[1:]] - total[bounds[:-1]]),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array([words[i] for i in rare.tolist()], pa.binary()))], ["doc_id", "n_tokens", "score", "rare"])
+
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    scored = plain.mapInArrow(run, "doc_id long, n_tokens long, score double, rare array<binary>")
+    scored = materialize(scored.withColumn("id", F.monotonically_increasing_id()), "scored")  # numbered once, as written
+    shares = scored.select("id", F.explode("rare").alias("word")).join(model.counts, "word", "left").groupBy("id").agg(
+        F.sum(F.coalesce(F.log("n"), F.lit(0.0))).alias("share"))
+    out = scored.drop("rare").join(shares, "id", "left").select(
+        "doc_id", "n_tokens", (F.col("score") + F.coalesce("share", F.lit(0.0))).alias("log_likelihood"))
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return out.withColumn("mean_log_likelihood", mean).withColumn("pseudo_perplexity", F.exp(-mean))

@@ -1,35 +1,87 @@
+import math
+import zlib
+from collections import Counter
+
 import numpy as np
+import pytest
 
 from ledgerlake.llm import masked_lm as M
 
 from .cases import messy, messy_rows
 
 
-def test_probabilities_of_all_words_sum_to_one(spark):
+def test_probabilities_of_all_tokens_sum_to_one(spark):
     model = M.train(messy(spark))
     n = model.pad
-    around = np.tile(np.array([[3, model.pad, 1, 2]]), (n, 1))
-    assert abs(np.exp(M.log_probabilities(model.weights, np.arange(n), around)).sum() - 1) < 1e-3
+    around = np.tile(np.array([[3], [model.pad], [1], [2]], np.int32), (1, n))
+    assert abs(np.exp(M.log_probabilities(model.weights, np.arange(n, dtype=np.int32), around)).sum() - 1) < 1e-3
+
 
+def by_hand(text: bytes, model: M.Model, counts: Counter) -> float:
+    """Word by word; a word without a token of its own has its bucket's probability times its share of it."""
+    w, b = {k: v.astype(float) for k, v in model.weights.items()}, model.width
+    words = text.lower().split()
+    ids = [model.tokens.get(x, b**3 - b**2 + zlib.crc32(x) % b**2) for x in words]
+    of_bucket = Counter()
+    for x, n in counts.items():
+        if x not in model.tokens:
+            of_bucket[zlib.crc32(x) % b**2] += n
+    total = 0.0
+    for i, t in enumerate(ids):
+        h = w["offset"].copy()
+        for j, d in enumerate(M.SIDE):
+            h += w["embed"][ids[i + d] if 0 <= i + d < len(ids) else model.pad] * w["place"][j]
+        h = np.tanh(h)
+        for z, pick in ((h @ w["to_class"] + w["class_bias"], t // b**2), (h @ w["to_group"][t // b**2] + w["group_bias"][t // b**2], t // b % b),
+                        (h @ w["to_word"][t // b] + w["word_bias"][t // b], t % b)):
+            total += z[pick] - np.log(np.exp(z).sum())
+        if words[i] not in model.tokens:
+            total += math.log(max(1, counts[words[i]]) / (of_bucket[zlib.crc32(words[i]) % b**2] + 1))
+    return total
 
-def test_against_word_by_word(spark):
-    docs = messy(spark)
+
+@pytest.mark.parametrize("width", [16, 4])
+def test_against_word_by_word(spark, monkeypatch, width):
+    """Of width 4, 48 words have their own tokens and the others are rare; one text has words that the corpus does not have."""
+    monkeypatch.setattr(M, "LEAST_WIDTH", width)
+    rows = [r for r in messy_rows() if len(r[1] or "") < 10_000]
+    docs = messy(spark, rows)
     model = M.train(docs)
-    texts = {r[0]: (r[1] or "").encode() for r in messy_rows() if r[0] is not None and r[0] < 100 and len(r[1] or "") < 10_000}
-    got = {r["doc_id"]: r for r in M.pseudo_likelihood(docs, model).collect()}
-    w = {k: v.astype(float) for k, v in model.weights.items()}
+    assert model.width == width
+    counts = Counter(x for r in rows for x in (r[1] or "").encode().lower().split())
+    texts = {r[0]: (r[1] or "").encode() for r in rows if r[0] is not None and r[0] < 100}
+    texts[900] = b"one invented nowhereword two"
+    asked = messy(spark, rows + [(900, texts[900].decode(), "en", "s", 1)])
+    got = {r["doc_id"]: r for r in M.pseudo_likelihood(asked, model).collect()}
     for doc, text in texts.items():
-        ids = M.tokens_of([text], model.tokens)[0]
-        total = 0.0
-        for i, t in enumerate(ids):
-            h = w["offset"].copy()
-            for j, d in enumerate(M.SIDE):
-                h += w["embed"][ids[i + d] if 0 <= i + d < len(ids) else model.pad] * w["place"][j]
-            h = np.tanh(h)
-            z, k = h @ w["to_class"] + w["class_bias"], t // M.PER_CLASS
-            v = h @ w["to_word"][k] + w["word_bias"][k]
-            total += z[k] - np.log(np.exp(z).sum()) + v[t % M.PER_CLASS] - np.log(np.exp(v).sum())
-        assert abs(got[doc]["log_likelihood"] - total) < 1e-3 * max(1, abs(total)) and got[doc]["n_tokens"] == len(ids)
+        total = by_hand(text, model, counts)
+        assert abs(got[doc]["log_likelihood"] - total) < 1e-3 * max(1, abs(total)) and got[doc]["n_tokens"] == len(text.split())
+
+
+def test_the_gradient_is_that_of_the_loss():
+    """One small step against differences of the log-likelihood, for weights of every kind."""
+    r = np.random.default_rng(2)
+    width, n = 3, 40
+    shapes = {"embed": (28, M.DIM), "place": (4, M.DIM), "offset": (M.DIM,), "to_class": (M.DIM, 3), "class_bias": (3,), "to_group": (3, M.DIM, 3), "group_bias": (3, 3),
+              "to_word": (9, M.DIM, 3), "word_bias": (9, 3)}
+    w = {k: r.normal(0, 0.5, s).astype(np.float32) for k, s in shapes.items()}
+    w["embed"][-1] = 0
+    t, c = r.integers(0, width**3, n).astype(np.int32), r.integers(0, width**3, (4, n)).astype(np.int32)
+    after = {k: v.copy() for k, v in w.items()}
+    M.train_on(after, t, c, {k: np.full_like(v, 1e8) for k, v in w.items()})  # so a step is RATE x gradient / 10^4
+    loss = lambda v: -M.log_probabilities(v, t, c).mean()
+    for name in shapes:
+        at = tuple(r.integers(0, d) for d in shapes[name])
+        if name == "embed":
+            at = (int(c[0, 0]), at[1])
+        grads = []
+        for sign in (1, -1):
+            v = {k: x.astype(np.float64) for k, x in w.items()}
+            v[name][at] += sign * 1e-3
+            grads.append(loss({k: x.astype(np.float32) for k, x in v.items()}))
+        slope = (grads[0] - grads[1]) / 2e-3
+        got = (w[name][at].astype(float) - after[name][at]) * 1e4 / M.RATE
+        assert abs(got - slope) < 0.05 * abs(slope) + 2e-3, name
 
 
 def test_training_on_both_sides_beats_word_counts(spark):
@@ -48,6 +100,16 @@ def test_vocabulary_counts_all_documents(spark):
     assert model.tokens[b"common"] == 0 and len(model.tokens) == 301
 
 
+def test_the_vocabulary_grows_with_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(M, "LEAST_WIDTH", 2)
+    sizes = []
+    for n in (10, 200):
+        model = M.vocabulary(messy(spark, [(i, " ".join(f"w{200 * i + k}" for k in range(200)), "en", "s", 1) for i in range(n)]))
+        sizes.append(len(model.tokens))
+        assert model.bucket_words.sum() == 200 * n - len(model.tokens)
+    assert sizes == [6**3 - 6**2, 10**3 - 10**2]
+
+
 def test_every_document_moves_the_weights(spark):
     rows = [(i, f"some only{i} words here", "en", "s", 1) for i in range(200)]
     docs = messy(spark, rows).repartition(2)
