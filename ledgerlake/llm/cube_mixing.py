@@ -9,7 +9,9 @@ A source is cut into blocks of about `BLOCK` documents by hash. A block keeps tw
 those of all blocks are the input of the next level, until a source fits into one block. There the documents
 are decided by decreasing size, the larger half first: the two that its flight leaves are drawn, of the joint
 draws with their probabilities the one that disturbs the words least, and what this adds or takes is made up by
-the probabilities of the smaller half. What is left in the end is as small as the smallest documents.
+the probabilities of the smaller half. Where that half is too small for a large text, nearness to the target goes before the
+probabilities: decisions of this last block are turned over, the one that brings the words nearest first, as long as one
+brings them nearer. What is left in the end is as small as the smallest documents.
 """
 
 from __future__ import annotations
@@ -125,11 +127,49 @@ def settle(p: np.ndarray, size: np.ndarray, draws: np.random.Generator) -> None:
         rest = rest[(p[rest] > 0) & (p[rest] < 1)]
 
 
+def _turned(p: np.ndarray, size: np.ndarray, over: float, free: np.ndarray) -> tuple[np.ndarray, float]:
+    """`p` with decisions among `free` turned over while one of them brings the words nearer, and the words then over."""
+    p = p.copy()
+    while len(free):
+        after = np.abs(over + size[free] * (1 - 2 * p[free]))
+        best = int(after.argmin())
+        if after[best] >= abs(over) - NEAR:
+            break
+        over += float(size[free[best]] * (1 - 2 * p[free[best]]))
+        p[free[best]] = 1 - p[free[best]]
+    return p, over
+
+
+LARGEST = 3
+
+
+def polish(p: np.ndarray, size: np.ndarray, due: np.ndarray) -> None:
+    """Turns decisions over in place while one of them brings the words taken nearer to those due.
+
+    Where a text is so large that all others together cannot make up for it, turning it over helps only if the others then
+    follow; so this is tried with each of the `LARGEST` largest, and the best outcome stays.
+    """
+    free = np.flatnonzero((due > 0) & (due < 1) & (size > 0))
+    best, least = _turned(p, size, float(size @ (p - due)), free)
+    for i in free[np.argsort(-size[free], kind="stable")[:LARGEST]]:
+        q = best.copy()
+        q[i] = 1 - q[i]
+        q, over = _turned(q, size, least + float(size[i] * (2 * q[i] - 1)), free[free != i])
+        if abs(over) < abs(least) - NEAR:
+            best, least = q, over
+    p[:] = best
+
+
 def _decide(block: pd.DataFrame) -> pd.DataFrame:
     block = block.sort_values(["key", "size", "row"], ignore_index=True)
     p, size = block["p"].to_numpy(float).copy(), block["size"].to_numpy(float)
     draws = np.random.default_rng([int(block["sid"][0]), int(block["level"][0]), int(block["block"][0])])
-    (settle if block["n_blocks"][0] == 1 else flight)(p, size, draws)
+    if block["n_blocks"][0] == 1:
+        due = p.copy()
+        settle(p, size, draws)
+        polish(p, size, due)
+    else:
+        flight(p, size, draws)
     return block.assign(p=p)[["row", "sid", "key", "size", "p"]]
 
 

@@ -6,8 +6,9 @@ has `per_source` documents of its source. Documents go in by decreasing size. Bi
 the search starts at the least space that suffices and goes on to the next until the bin is compatible, so it
 finds the tightest compatible bin; a new one is opened only if there is none.
 
-Documents are dealt to shards of about `SHARD` rows by hash and each shard is packed by itself, so copies of a hot
-cluster or source spread evenly and the cost of passed-over bins stays bounded.
+Documents are dealt to shards of about `SHARD` rows by a hash of id, text and number among equal rows, and each shard is
+packed by itself in an order by the same values; so copies of a hot cluster or source spread evenly, the cost of passed-over
+bins stays bounded, and the same rows are packed alike wherever they are read from.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
-from .common import SPACES, text_of, with_rows
+from .common import SPACES, text_of
 
 SHARD = 4096
 CAPACITY = 2048
@@ -81,8 +82,8 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").to_pylist()
         cluster = [int.from_bytes(hashlib.blake2b(t.translate(None, SPACES), digest_size=8).digest(), "big", signed=True) for t in texts]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "doc_id", "source")), pa.array([len(t.split()) for t in texts], pa.int64()),
-                                          pa.array(cluster, pa.int64())], ["row", "doc_id", "source", "n_words", "cluster"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "source")), pa.array([len(t.split()) for t in texts], pa.int64()),
+                                          pa.array(cluster, pa.int64())], ["doc_id", "source", "n_words", "cluster"])
 
 
 def packed(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
@@ -93,14 +94,16 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOUR
     the null source is a source. Repeated rows are packed each by itself, and conflict by their cluster. An
     empty table gives an empty result.
     """
-    docs, row = with_rows(docs)
-    plain = docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text_of().alias("text"))
-    items = materialize(plain.mapInArrow(_measured, "row string, doc_id long, source string, n_words long, cluster long"), "items")
-    n_shards = max(1, -(-items.count() // SHARD))
-    dealt = items.withColumn("shard", F.expr(f"pmod(xxhash64(row), {n_shards})"))
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text_of().alias("text"))
+    items = plain.mapInArrow(_measured, "doc_id long, source string, n_words long, cluster long")
+    # rows alike in all that counts here are one, with their number, until they are dealt
+    items = materialize(items.groupBy("doc_id", "source", "n_words", "cluster").agg(F.count("*").alias("rows")), "items")
+    n_shards = max(1, -(-int(items.agg(F.sum("rows")).first()[0] or 0) // SHARD))
+    dealt = items.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).drop("rows")
+    dealt = dealt.withColumn("shard", F.expr(f"pmod(xxhash64(doc_id, source, n_words, cluster, copy), {n_shards})"))
 
     def run(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values("row", ignore_index=True)
+        shard = shard.sort_values(["cluster", "n_words", "doc_id", "source", "copy"], ignore_index=True)
         n = shard["n_words"].to_numpy()
         rest, whole = n % capacity, n // capacity
         rest, whole = np.where((rest == 0) & (whole > 0), capacity, rest), np.where((rest == 0) & (whole > 0), whole - 1, whole)

@@ -83,12 +83,22 @@ def attribute(token_ends: np.ndarray, sections: list[tuple[int, int]], rule: str
     return count, crossed
 
 
+def ordered_spans(spans: list[dict | None]) -> list[tuple[int, int]]:
+    """Spans in order, without those that are null or lack an end; overlapping ones are an error."""
+    out = sorted((s["start"], s["stop"]) for s in spans if s is not None and s["start"] is not None and s["stop"] is not None)
+    for (a, b), (c, d) in zip(out, out[1:]):
+        if c < b and d > c:
+            raise ValueError(f"sections overlap: {a} to {b} and {c} to {d}")
+    return out
+
+
 def section_tokens(docs: DataFrame, rule: str = "majority", sections: str | None = None, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, section, start, stop, n_tokens, n_crossing: one row per section of every row of `docs`;
     start and stop are in characters.
 
-    `sections` names a column of `docs` with an array of (start, stop) spans; they are put in order,
-    and must not overlap. Without it the sections are the lines, each with its line end. `section` numbers them from
+    `sections` names a column of `docs` with an array of (start, stop) spans; they are put in order. A span that is null or
+    lacks an end is passed over and has no row, a null array means no sections, and overlapping spans stop the job with an
+    error. Without `sections` they are the lines, each with its line end. `section` numbers them from
     0; tokens outside of all are in a row with a null section, left out where there are none. n_tokens is a double:
     with the rule `share` a token is divided. A null or empty text has one line without tokens; repeated rows are
     counted each by itself; an empty table gives an empty result.
@@ -97,8 +107,9 @@ def section_tokens(docs: DataFrame, rule: str = "majority", sections: str | None
         raise ValueError(f"rule {rule}: one of {', '.join(RULES)}")
     lines = docs.sparkSession.read.text(vocabulary).collect()  # by Spark's reader: the file may be in any store
     ranks = "\n".join(r["value"] for r in lines).encode()
-    spans = F.lit(None).cast("array<struct<start:long,stop:long>>") if sections is None else F.transform(
-        F.col(sections), lambda s: F.struct(s["start"].cast("long").alias("start"), s["stop"].cast("long").alias("stop")))
+    nothing = "array<struct<start:long,stop:long>>"
+    spans = F.lit(None).cast(nothing) if sections is None else F.coalesce(F.transform(
+        F.col(sections), lambda s: F.struct(s["start"].cast("long").alias("start"), s["stop"].cast("long").alias("stop"))), F.array().cast(nothing))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coding, sizes = encoder(ranks)
@@ -113,7 +124,7 @@ def section_tokens(docs: DataFrame, rule: str = "majority", sections: str | None
                     pieces = line_sections(plain)
                     shown = np.searchsorted(places, np.array(pieces)).tolist()
                 else:
-                    shown = sorted((s["start"], s["stop"]) for s in own)
+                    shown = ordered_spans(own)
                     pieces = [tuple(int(places[min(max(x, 0), len(places) - 1)]) for x in s) for s in shown]
                 count, crossed = attribute(ends, pieces, rule)
                 for i, (a, b) in enumerate([*shown, (None, None)]):

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from ledgerlake.llm import cube_mixing as C
 
@@ -81,3 +82,30 @@ def test_messy_table_and_stage(spark):
     assert all(x["source_size"] == sizes[x["source"]] and math.isclose(x["target"], want[x["source"]], abs_tol=1e-6) for x in got)
     copies = sum(x["copies"] for x in got)
     assert C.apply_mix(docs).count() == copies
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_one_text_that_holds_a_third_of_its_source(spark, seed):
+    """The target is missed by less than half of a small text, whether the large one is taken or not."""
+    r = random.Random(seed)
+    rows = []
+    for source in "abcdef":
+        small = [r.randint(1, 60) for _ in range(r.randint(60, 200))]
+        for n in [*small, sum(small) // 2]:
+            rows.append((len(rows), " ".join("w" * n).strip(), "en", source, 1))
+    taken, target = {}, {}
+    for x in C.mix(messy(spark, rows)).collect():
+        taken[x["source"]] = taken.get(x["source"], 0) + x["taken"]
+        target[x["source"]] = x["target"]
+    assert all(abs(taken[s] - target[s]) <= 5 for s in target)
+
+
+def test_polish_never_makes_it_worse():
+    for seed in range(200):
+        r = np.random.default_rng(seed)
+        size, due = r.integers(0, 50, 12).astype(float), r.choice([0.0, 1.0, 0.3, 0.8], 12)
+        p = np.where((due > 0) & (due < 1), r.integers(0, 2, 12), due).astype(float)
+        q = p.copy()
+        C.polish(q, size, due)
+        assert set(q) <= {0.0, 1.0} and (q[(due == 0) | (due == 1)] == due[(due == 0) | (due == 1)]).all()
+        assert abs(q @ size - due @ size) <= abs(p @ size - due @ size) + 1e-9

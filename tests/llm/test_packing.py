@@ -72,3 +72,14 @@ def test_bins_are_full_without_conflicts(spark):
     rows = [(i, " ".join(f"{r.random():.5f}" for _ in range(r.randint(1, 500))), "en", f"s{i % 50}", 1) for i in range(1500)]
     n = whole(rows, P.packed(messy(spark, rows), capacity=1024, per_source=4).collect(), 1024, 4)
     assert n <= 1.03 * sum(len(x[1].split()) for x in rows) / 1024 + 1
+
+
+def test_the_same_rows_are_packed_alike_wherever_they_lie(spark, tmp_path):
+    r = random.Random(6)
+    rows = messy_rows() + [(i, " ".join(f"{r.random():.4f}" for _ in range(r.randint(0, 90))), "en", f"s{i % 9}", 1) for i in range(400)] + [(7, "again and again", "en", "s1", 1)] * 60
+    docs, runs = messy(spark, rows), []
+    for name, n in (("one", 2), ("two", 7)):
+        path = str(tmp_path / name)
+        docs.repartition(n).write.parquet(path)
+        runs.append(sorted(map(str, P.packed(spark.read.parquet(path), capacity=128).collect())))
+    assert runs[0] == runs[1]

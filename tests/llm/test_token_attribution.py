@@ -69,3 +69,14 @@ def test_lines_hold_all_tokens_of_the_whole_text(spark, coding):
 def test_unknown_rule(spark):
     with pytest.raises(ValueError):
         T.section_tokens(messy(spark), "last")
+
+
+def test_null_spans_are_passed_over_and_overlapping_ones_are_an_error(spark):
+    docs = spark.sql("""SELECT 1L AS doc_id, 'hello big world' AS text, array(named_struct('start', 10, 'stop', 15), NULL, named_struct('start', NULL, 'stop', 3),
+        named_struct('start', 0, 'stop', 9)) AS s UNION ALL SELECT 2L, 'hello big world', NULL""")
+    got = sorted(T.section_tokens(docs, sections="s").collect(), key=str)
+    assert [(r["doc_id"], r["section"], r["start"], r["stop"], r["n_tokens"]) for r in got if r["doc_id"] == 1 and r["section"] is not None] == [(1, 0, 0, 9, 2.0), (1, 1, 10, 15, 1.0)]
+    assert [(r["section"], r["n_tokens"]) for r in got if r["doc_id"] == 2] == [(None, 3.0)]
+    overlapping = spark.sql("SELECT 1L AS doc_id, 'hello big world' AS text, array(named_struct('start', 0, 'stop', 10), named_struct('start', 3, 'stop', 15)) AS s")
+    with pytest.raises(Exception, match="sections overlap"):
+        T.section_tokens(overlapping, sections="s").collect()
