@@ -205,10 +205,14 @@ def key_gaps(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def falling_watermarks(runs: DataFrame, table: str = "table_name", order_by: str = "run_date",
+def falling_watermarks(runs: DataFrame, table: str = "table_name", order_by: str | list[str] = "run_date",
                        mark: str = "watermark") -> DataFrame:
-    """Runs whose watermark lies below the previous run's."""
-    w = Window.partitionBy(table).orderBy(order_by)
+    """Runs whose watermark lies below the previous run's.
+
+    `order_by` names what orders the runs of a table: the day, or day and time (`run_date`, `run_ts`) where a day may
+    have several runs.
+    """
+    w = Window.partitionBy(table).orderBy(*([order_by] if isinstance(order_by, str) else order_by))
     return runs.withColumn("previous", F.lag(mark).over(w)).filter(F.col(mark) < F.col("previous"))
 
 

@@ -206,7 +206,7 @@ def _write_run(df: DataFrame, table: str, layout: Layout, run: str) -> tuple[int
     draft = f"{table}__draft_{run}"
     _bucketed(counted, layout, path, draft)
     spark.sql(f"DROP TABLE {draft}")  # external: its files stay
-    rows = seen.get["rows"]
+    rows = lake.rows_of(seen)
     blocks = max(1, -(-rows // (layout.shelves * KEYS_PER_BLOCK)))
     written = sorted(int(n.split("=")[1]) for n in _listed(spark, path) if n.startswith(f"{SHELF}="))
     if written:

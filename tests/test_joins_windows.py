@@ -321,3 +321,8 @@ def test_a_hot_identifier_is_split(spark):
     finally:
         for k, v in keep.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_runs_of_one_day_are_ordered_by_their_time(spark):
+    runs = spark.createDataFrame([("t", 1, 8, 10), ("t", 1, 20, 30), ("t", 1, 23, 20), ("t", 2, 1, 25)], "table_name string, run_date int, run_ts int, watermark int")
+    assert rows(windows.falling_watermarks(runs, order_by=["run_date", "run_ts"]).select("run_ts", "previous")) == [(23, 30)]
