@@ -103,7 +103,7 @@ def follow(spark: SparkSession, table: str, follower: str, keys: list[str], *, p
            key_shelves: int | None = None) -> dict:
     """Bring a table that follows another up to date: a copy the first time, then the change sets it has not seen.
 
-    Of several changes of a key the last one counts. A crash between the merge and the mark applies the same sets again,
+    `applied` of the result says how many sets were new. Of several changes of a key the last one counts. A crash between the merge and the mark applies the same sets again,
     which changes nothing.
     """
     marks = _folder(spark, follower, "_followed")
@@ -113,9 +113,9 @@ def follow(spark: SparkSession, table: str, follower: str, keys: list[str], *, p
     if not spark.catalog.tableExists(follower):
         done = merge_to_silver(spark.table(table), follower, keys, **how)
     elif rows is None or rows.isEmpty():
-        done = {"action": "none", "business_keys": keys}
+        done = {"action": "merge", "business_keys": keys}  # of no rows: nothing is written
     else:
         done = merge_to_silver(rows.drop(CHANGE), follower, keys, order_by=["__set"], order_only=["__set"], **how)
     if newest != state.get("set"):
         publication.publish(spark, marks, number, {"table": table, "set": newest})
-    return done
+    return done | {"applied": newest - state.get("set", 0)}

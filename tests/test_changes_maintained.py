@@ -48,7 +48,9 @@ def test_followers_read_only_change_sets(spark, table, tmp_path):
             os.rename(f"{folder}/{name}", f"{folder}/{name}.away")
     assert changes.follow(spark, table, follower, ["k"], **how)["action"] == "merge"
     assert rows(spark.table(follower)) == want
-    assert changes.follow(spark, table, follower, ["k"], **how)["action"] == "none"
+    files = {r.f for r in spark.table(follower).select(F.input_file_name().alias("f")).collect()}
+    assert changes.follow(spark, table, follower, ["k"], **how)["applied"] == 0
+    assert files == {r.f for r in spark.table(follower).select(F.input_file_name().alias("f")).collect()}
 
 
 def test_a_merge_that_died_before_its_set_was_published(spark, table, monkeypatch):
