@@ -215,13 +215,13 @@ def customer_months(sales: DataFrame) -> DataFrame:
         F.sum(amount("net_amount")).alias("revenue"))
 
 
-def customer_month_parts(sales: DataFrame, part: str = "quarter_key") -> DataFrame:
-    """Revenue per customer and month of the partitions `part` of sales, to be kept (`maintained.refresh_parts`).
+def month_parts(sales: DataFrame, by: tuple[str, ...] = ("customer_key",), part: str = "quarter_key") -> DataFrame:
+    """Revenue per month and `by` of the partitions `part` of sales, to be kept (`maintained.refresh_parts`).
 
     Rows are sales of the first of their month, so the monthly and customer questions take them in place of sales; sums of
     several parts of a month add up. Sales without a customer are one row per month.
     """
-    return sales.groupBy(part, "customer_key", (F.floor(F.col("date_key") / 100) * 100 + 1).alias("date_key")).agg(
+    return sales.groupBy(part, *by, (F.floor(F.col("date_key") / 100) * 100 + 1).alias("date_key")).agg(
         F.sum(amount("net_amount")).alias("net_amount"))
 
 

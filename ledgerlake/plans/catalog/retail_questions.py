@@ -63,11 +63,14 @@ TREND_SQL = f"""
   x AS (SELECT *, lag(r3, 3) OVER (ORDER BY n) AS p3, lag(ytd, 12) OVER (ORDER BY n) AS pytd FROM w)"""
 
 
-@query(f"""
+REVENUE_TREND_SQL = f"""
 WITH {SHIPPED_SQL}, {TREND_SQL}
 SELECT CAST(n // 12 * 100 + n % 12 + 1 AS BIGINT) AS month_key, CAST(r AS DOUBLE) AS revenue, CAST(prev_month AS DOUBLE) AS prev_month,
   CAST(sply AS DOUBLE) AS same_month_last_year, CAST(ytd AS DOUBLE) AS ytd, CAST(pytd AS DOUBLE) AS pytd, CAST(r3 AS DOUBLE) AS rolling_3m, CAST(r12 AS DOUBLE) AS rolling_12m,
-  {frac('r - prev_month', 'prev_month')} AS mom, {frac('r3 - p3', 'p3')} AS qoq, {frac('r - sply', 'sply')} AS yoy FROM x""")
+  {frac('r - prev_month', 'prev_month')} AS mom, {frac('r3 - p3', 'p3')} AS qoq, {frac('r - sply', 'sply')} AS yoy FROM x"""
+
+
+@query(REVENUE_TREND_SQL)
 def revenue_trend(t):
     """Month, quarter and year comparisons, year to date, rolling sums on a dense month spine."""
     return analytics.revenue_trend(standins.shipped_lines(t))
@@ -356,21 +359,34 @@ def customer_kpis(t):
     return analytics.customer_kpis(standins.order_totals(t))
 
 
-@query(CUSTOMER_KPIS_SQL)
-def maintained_customer_kpis(t):
-    """The same from customer-months that are kept per quarter and computed anew for the quarters of a late batch only."""
+def _kept(t, name, sales, keys, late, build):
+    """Parts of a table of sales by quarter, brought up to date after a late batch."""
     from ...operators.merge import merge_to_silver
     from .. import maintained
     from .quality_loads import _fresh_table
 
-    table = _fresh_table(t, "kept_orders")
-    orders = standins.order_totals(t).withColumn("quarter_key", F.floor(F.col("date_key") / 10000) * 10 + F.floor((F.floor(F.col("date_key") / 100) % 100 + 2) / 3))
-    late = F.col("date_key").between(19930101, 19930630) & (F.col("order_id") % 3 == 0)
-    merge_to_silver(orders.filter(~late), table, ["order_id"], partition_by="quarter_key")
-    maintained.refresh_parts(t.spark, table, "customer_months", analytics.customer_month_parts)
-    merge_to_silver(orders.filter(late), table, ["order_id"], partition_by="quarter_key", keys_may_move=False)
-    parts, _ = maintained.refresh_parts(t.spark, table, "customer_months", analytics.customer_month_parts)
-    return analytics.customer_kpis(parts)
+    table = _fresh_table(t, name)
+    sales = sales.withColumn("quarter_key", F.floor(F.col("date_key") / 10000) * 10 + F.floor((F.floor(F.col("date_key") / 100) % 100 + 2) / 3))
+    merge_to_silver(sales.filter(~late), table, keys, partition_by="quarter_key")
+    maintained.refresh_parts(t.spark, table, "months", build)
+    merge_to_silver(sales.filter(late), table, keys, partition_by="quarter_key", keys_may_move=False)
+    return maintained.refresh_parts(t.spark, table, "months", build)[0]
+
+
+@query(CUSTOMER_KPIS_SQL)
+def maintained_customer_kpis(t):
+    """The same from customer-months that are kept per quarter and computed anew for the quarters of a late batch only."""
+    late = F.col("date_key").between(19960101, 19960630) & (F.col("order_id") % 3 == 0)
+    return analytics.customer_kpis(_kept(t, "kept_orders", standins.order_totals(t), ["order_id"], late, analytics.month_parts))
+
+
+@query(REVENUE_TREND_SQL)
+def maintained_revenue_trend(t):
+    """The revenue trend from months that are kept per quarter, after lines of two quarters came late."""
+    lines = standins.shipped_lines(t).groupBy("order_id", "line", "date_key").agg(F.sum("net_amount").alias("net_amount"))
+    late = F.col("date_key").between(19970101, 19970630) & (F.col("order_id") % 4 == 0)
+    parts = _kept(t, "kept_lines", lines, ["order_id", "line", "date_key"], late, lambda sales: analytics.month_parts(sales, ()))
+    return analytics.revenue_trend(parts)
 
 
 @query(f"""
