@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..functions.columns import _col
 from ..operators import windows
+from ..sources.scratch import materialize
 
 AMOUNT = "decimal(18,4)"
 MONTH = "month_key"
@@ -27,6 +28,19 @@ def total(column: Column | str) -> Column:
     return F.coalesce(F.sum(amount(column)), F.lit(0)).cast("double")
 
 
+def whole_total(column: str) -> Column:
+    """Exact sum of whole numbers as decimal(38,0), which 64 bits may not hold: their halves are summed as longs."""
+    high, low = F.sum(F.shiftright(column, 32)), F.sum(F.col(column).bitwiseAND(F.lit((1 << 32) - 1)))
+    return (high.cast("decimal(28,0)") * F.lit(1 << 32).cast("decimal(10,0)") + low.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def fitted(totals: DataFrame, column: str) -> DataFrame:
+    """`totals`, a few rows, with a `whole_total` as bigint; it stays decimal(38,0) if one of them passes 64 bits."""
+    kept = materialize(totals, "totals")
+    beyond = kept.filter(~F.col(column).between(F.lit(-(1 << 63)).cast("decimal(38,0)"), F.lit((1 << 63) - 1).cast("decimal(38,0)")))
+    return kept.withColumn(column, F.col(column).cast("bigint")) if beyond.isEmpty() else kept
+
+
 def ratio(a: Column | str, b: Column | str) -> Column:
     """a / b as double, NULL when b is 0."""
     return F.try_divide(_col(a).cast("double"), _col(b).cast("double"))

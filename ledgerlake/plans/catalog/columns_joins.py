@@ -8,7 +8,7 @@ from ...functions import fixed_values as fixed
 from ...operators import calendar, compare, joins
 from ...sources import bronze
 from .. import standins
-from ..analytics import amount, count, total
+from ..analytics import amount, count, fitted, total, whole_total
 from . import (AMOUNTS_SQL, CAMPAIGNS_SQL, CHANNEL_SQL, ORDERS_SQL, PRODUCTS_SQL, SALES_SQL, SHIPPED_SQL, VERSIONS_SQL,
                dk, query)
 
@@ -370,9 +370,9 @@ def as_of_product_version(t):
         F.col("l_quantity").cast("bigint").alias("q"))
     j = joins.as_of_join(facts, standins.price_versions(t), "product_id", "day", "effective_date",
                          ["version_key", "unit_price"], horizon=_last_shipment(t))
-    return j.groupBy(F.year("day").cast("bigint").alias("yr"), F.col("version_key").isNull().alias("before_first")).agg(
+    return fitted(j.groupBy(F.year("day").cast("bigint").alias("yr"), F.col("version_key").isNull().alias("before_first")).agg(
         count().alias("n"), F.sum("q").alias("units"), F.sum(F.col("unit_price") * F.col("q")).alias("valued"),
-        F.sum("version_key").alias("key_sum"))
+        whole_total("version_key").alias("key_sum")), "key_sum")
 
 
 @query(f"""
@@ -401,8 +401,8 @@ def current_version_lookup(t):
     """Natural key to the current version's key."""
     lines = t.lineitem.select(F.col("l_partkey").alias("product_id"), F.year("l_shipdate").cast("bigint").alias("yr"))
     dim = standins.version_table(t)
-    return joins.current_lookup(lines, dim, "product_id", "version_key").groupBy("yr").agg(
-        count().alias("n"), F.sum("version_key").alias("key_sum"))
+    return fitted(joins.current_lookup(lines, dim, "product_id", "version_key").groupBy("yr").agg(
+        count().alias("n"), whole_total("version_key").alias("key_sum")), "key_sum")
 
 
 @query(f"""

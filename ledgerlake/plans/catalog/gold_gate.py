@@ -42,8 +42,8 @@ def closed_version_lookup(t):
     """Versions of a later day: after the end of a closed last version there is none."""
     lines = _dated_lines(t).withColumn("day", F.date_add("day", 90))
     j = joins.point_in_time_join(lines, _closed_versions(t), "product_id", "day", ["version_key"], horizon=F.date_add(_horizon(t), 90))
-    return j.groupBy(F.year("day").cast("bigint").alias("yr")).agg(
-        count().alias("lines"), F.count("version_key").alias("resolved"), F.sum("version_key").alias("key_sum"))
+    return analytics.fitted(j.groupBy(F.year("day").cast("bigint").alias("yr")).agg(
+        count().alias("lines"), F.count("version_key").alias("resolved"), analytics.whole_total("version_key").alias("key_sum")), "key_sum")
 
 
 @query("""
@@ -74,8 +74,9 @@ def gold_fact_keys(t):
     known = windows.dense_numbers(t.part.filter("p_partkey % 100 = 0").select(F.col("p_partkey").alias("product_id")), "product_key", ["product_id"], start=101)
     versions = _closed_versions(t).filter("product_id % 50 <> 0").withColumnRenamed("version_key", "product_key")
     facts, _ = medallion.resolve_fact_keys(lines, versions, known, "product_id", "product_key", "day", horizon=_horizon(t))
-    return facts.groupBy("how").agg(count().alias("n"), F.sum("quantity").alias("units"), F.sum("product_key").alias("key_sum"),
-                                    F.count_distinct("product_key").alias("keys"))
+    return analytics.fitted(facts.groupBy("how").agg(
+        count().alias("n"), F.sum("quantity").alias("units"), analytics.whole_total("product_key").alias("key_sum"),
+        F.count_distinct("product_key").alias("keys")), "key_sum")
 
 
 @query(f"""
