@@ -24,3 +24,12 @@ def test_key_totals_beyond_64_bits(spark, folder):
     for name in ("as_of_product_version", "closed_version_lookup", "current_version_lookup"):
         got = [int(r["key_sum"]) for r in entry.queries()[name](spark, folder).collect() if r["key_sum"] is not None]
         assert sum(got) > 1 << 63
+
+
+def test_tasks_of_a_version_chain_follow_its_rows(spark, folder, monkeypatch):
+    t = standins.Tables(spark, folder)
+    before = sorted(map(tuple, standins.version_table(t).collect()))
+    monkeypatch.setattr(standins, "ROWS_PER_TASK", 2)
+    many = standins.version_table(t)
+    assert many.rdd.getNumPartitions() == 20
+    assert sorted(map(tuple, many.collect())) == before
