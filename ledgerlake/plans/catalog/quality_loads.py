@@ -159,6 +159,7 @@ def silver_newest_copy(t):
     lines = lines.withColumns({
         "sale_key": F.col("order_id") * 8 + F.col("line"), "channel_key": F.lit(4).cast("bigint"),
         "ingest_date": F.date_add(dates.key_to_date("date_key"), 1)})
+    lines = standins.dealt(lines, t.lineitem.count(), "sale_key")  # silver's rows are wide, and sorted to find the newest
     fixed_lines = lines.filter("line % 3 = 0").withColumns({"quantity": F.lit(1).cast("bigint"), "ingest_date": F.date_add("ingest_date", 2)})
     spec = SPECS["fact_sales"]
     medallion.load_silver(t.spark, spec, lines.unionByName(fixed_lines), db)

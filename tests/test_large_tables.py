@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 
 import __spark_entry__ as entry
-from ledgerlake.plans import standins
+from ledgerlake.plans import medallion, standins
 
 LINES = [(o, 4_000_000_000_000 + o % 3, 1, 1 + o % 7, 2.0, 10.0 * (1 + o % 5), 0.0, 0.0, "R", "O", datetime(2000, 1, 1) + timedelta(days=7 * o)) for o in range(40)]
 
@@ -33,3 +33,11 @@ def test_tasks_of_a_version_chain_follow_its_rows(spark, folder, monkeypatch):
     many = standins.version_table(t)
     assert many.rdd.getNumPartitions() == 20
     assert sorted(map(tuple, many.collect())) == before
+
+
+def test_tasks_of_a_silver_load_follow_its_rows(spark, folder, monkeypatch):
+    tasks, load = [], medallion.load_silver
+    monkeypatch.setattr(medallion, "load_silver", lambda s, spec, raw, db: tasks.append(raw.rdd.getNumPartitions()) or load(s, spec, raw, db))
+    monkeypatch.setattr(standins, "ROWS_PER_TASK", 2)
+    got = entry.queries()["silver_newest_copy"](spark, folder).collect()
+    assert min(tasks) >= 20 and sum(r["n"] for r in got) == len(LINES)
