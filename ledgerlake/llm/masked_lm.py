@@ -8,9 +8,10 @@ the sum of its words' conditional log-probabilities.
 Everything the model has comes from the whole corpus and grows with it. The table of the counts of all words stays
 distributed. The vocabulary of the network grows with the square root of the number of different words; all others share
 tokens, by hash, and a word of such a bucket has the bucket's probability, from the network, times its share of the bucket's
-occurrences, by a join with the table. The weights come from rounds in which every partition trains on its own documents
-and all partitions' weights are averaged, by number of words, in Spark. A round takes another share of the documents; after
-the last one each document has moved the weights once. The driver sees the vocabulary and one set of weights.
+occurrences: its count is held for the commonest of them and comes by a join with the table for all others. The weights
+come from rounds in which every partition trains on its own documents and all partitions' weights are averaged, by number of
+words, in Spark. A round takes another share of the documents; after the last one each document has moved the weights once.
+The driver sees the vocabulary, the counts that are held, and one set of weights.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ SIDE = (-2, -1, 1, 2)
 ROUNDS = 2
 BATCH = 8192
 RATE = 0.2
+NEAR = 16  # times the words with a token, whose counts every task holds
 
 
 @dataclass
@@ -46,6 +48,7 @@ class Model:
     width: int
     bucket_words: np.ndarray  # occurrences of the words of each bucket
     counts: DataFrame  # (word, n): all words of the corpus
+    near: dict[bytes, float] = field(default_factory=dict)  # logarithms of the counts of the commonest words of the buckets
 
     @property
     def pad(self) -> int:
@@ -83,7 +86,8 @@ def vocabulary(docs: DataFrame) -> Model:
     counts = materialize(docs.select(text_of().alias("text")).mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     width = max(LEAST_WIDTH, math.ceil((4 * math.sqrt(counts.count())) ** (1 / 3)))
     known, buckets = first_bucket(width), width**2
-    top = counts.orderBy(F.col("n").desc(), "word").limit(known).collect()
+    commonest = counts.orderBy(F.col("n").desc(), "word").limit(known * (1 + NEAR)).collect()
+    top = commonest[:known]
     n = np.zeros(width**3)
     n[: len(top)] = [r["n"] for r in top]
     bucket_words = np.zeros(buckets)
@@ -102,7 +106,8 @@ def vocabulary(docs: DataFrame) -> Model:
         "to_word": r.normal(0, 0.02, (width**2, DIM, width)), "word_bias": np.log(share / share.sum(axis=2, keepdims=True)).reshape(width**2, width),
     }
     weights["embed"][-1] = 0
-    return Model({bytes(row["word"]): i for i, row in enumerate(top)}, {k: v.astype(np.float32) for k, v in weights.items()}, width, bucket_words, counts)
+    return Model({bytes(row["word"]): i for i, row in enumerate(top)}, {k: v.astype(np.float32) for k, v in weights.items()}, width, bucket_words, counts,
+                 {bytes(row["word"]): math.log(row["n"]) for row in commonest[known:]})
 
 
 def tokens_of(words: list[bytes], known: dict[bytes, int], width: int) -> np.ndarray:
@@ -134,7 +139,7 @@ def contexts(ids: np.ndarray, bounds: np.ndarray, pad: int) -> np.ndarray:
 
 def _hidden(w: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """(hidden layer, embeddings by side)."""
-    seen = [w["embed"][around[j]] for j in range(len(SIDE))]
+    seen = [w["embed"].take(around[j], axis=0) for j in range(len(SIDE))]
     h = np.repeat(w["offset"][None], around.shape[1], axis=0)
     for j, e in enumerate(seen):
         h += e * w["place"][j]
@@ -147,18 +152,42 @@ def _spans(sorted_keys: np.ndarray) -> list[tuple[int, int, int]]:
     return list(zip(sorted_keys[starts].tolist(), starts, [*starts[1:], len(sorted_keys)], strict=True))
 
 
+def _with_bias(w: dict[str, np.ndarray], name: str, bias: str) -> np.ndarray:
+    """Weights with their bias as one row more, for a hidden layer with a column of ones."""
+    return np.concatenate([w[name], w[bias][..., None, :]], axis=-2)
+
+
 def _scores(w: dict[str, np.ndarray], h: np.ndarray, kind: np.ndarray, node: np.ndarray):
-    """Of words in order: scores of all classes, of the groups of the word's class, and of the words of its group; and the spans."""
+    """Of words in order: scores of all classes, of the groups of the word's class, and of the words of its group; and the spans.
+
+    `h` has a last column of ones.
+    """
     width = w["to_class"].shape[1]
     classes, nodes = _spans(kind), _spans(node)
     groups, words = np.empty((len(h), width), np.float32), np.empty((len(h), width), np.float32)
+    to_group, to_word = _with_bias(w, "to_group", "group_bias"), _with_bias(w, "to_word", "word_bias")
     for k, a, b in classes:
-        np.matmul(h[a:b], w["to_group"][k], out=groups[a:b])
-        groups[a:b] += w["group_bias"][k]
+        np.matmul(h[a:b], to_group[k], out=groups[a:b])
     for k, a, b in nodes:
-        np.matmul(h[a:b], w["to_word"][k], out=words[a:b])
-        words[a:b] += w["word_bias"][k]
-    return (h @ w["to_class"] + w["class_bias"], groups, words), classes, nodes
+        np.matmul(h[a:b], to_word[k], out=words[a:b])
+    return (h @ _with_bias(w, "to_class", "class_bias"), groups, words), classes, nodes
+
+
+def _exponentials(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """(exponentials of scores, their sums by row, what was taken off the scores): rows are moved below 0 where the sums would not be safe."""
+    ones = np.ones(z.shape[1], z.dtype)
+    with np.errstate(over="ignore"):
+        e = np.exp(z)
+        total = e @ ones
+    if total.min() > 1e-20 and total.max() < 1e20:
+        return e, total, 0.0
+    off = z.max(axis=1)
+    e = np.exp(z - off[:, None])
+    return e, e @ ones, off
+
+
+def _and_ones(h: np.ndarray) -> np.ndarray:
+    return np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)
 
 
 def _choices(t: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -177,12 +206,12 @@ def log_probabilities(w: dict[str, np.ndarray], target: np.ndarray, around: np.n
         order = np.argsort(t, kind="stable")
         kind, node, picks = _choices(t[order], width)
         h, _ = _hidden(w, around[:, start : start + 2 * BATCH][:, order])
-        levels, _, _ = _scores(w, h, kind, node)
+        levels, _, _ = _scores(w, _and_ones(h), kind, node)
         own, rows = np.zeros(len(t)), np.arange(len(t))
         for z, pick in zip(levels, picks, strict=True):
-            z -= z.max(axis=1, keepdims=True)
-            own += z[rows, pick]
-            own -= np.log(np.exp(z, out=z).sum(axis=1))
+            _, total, off = _exponentials(z)
+            own += z[rows, pick] - off
+            own -= np.log(total)
         out[start + order] = own
     return out
 
@@ -201,34 +230,42 @@ def train_on(w: dict[str, np.ndarray], target: np.ndarray, around: np.ndarray, s
         t, c = target[start + order], around[:, start + order]
         kind, node, picks = _choices(t, width)
         h, seen = _hidden(w, c)
-        levels, classes, nodes = _scores(w, h, kind, node)
+        one = _and_ones(h)
+        levels, classes, nodes = _scores(w, one, kind, node)
         rows, scale = np.arange(len(t)), np.float32(1 / len(t))
-        for z, pick in zip(levels, picks, strict=True):  # to gradients of the scores
-            z -= z.max(axis=1, keepdims=True)
-            np.exp(z, out=z)
-            z *= scale / z.sum(axis=1, keepdims=True)
+        slopes = []  # gradients of the scores
+        for z, pick in zip(levels, picks, strict=True):
+            z, total, _ = _exponentials(z)
+            z *= (scale / total)[:, None]
             z[rows, pick] -= scale
-        p, groups, words = levels
+            slopes.append(z)
+        p, groups, words = slopes
         back = p @ w["to_class"].T
+        part = np.empty_like(back)
         for name, z, spans in (("group", groups, classes), ("word", words, nodes)):
             who = [k for k, _, _ in spans]
-            grad = np.empty((len(who), DIM, width), np.float32)
+            grad = np.empty((len(who), DIM + 1, width), np.float32)
+            turned = w[f"to_{name}"].transpose(0, 2, 1)
             for i, (k, a, b) in enumerate(spans):
-                np.matmul(h[a:b].T, z[a:b], out=grad[i])
-                back[a:b] += z[a:b] @ w[f"to_{name}"][k].T
-            step(f"to_{name}", grad, who)
-            step(f"{name}_bias", np.add.reduceat(z, [a for _, a, _ in spans], axis=0), who)
-        step("to_class", h.T @ p)
-        step("class_bias", p.sum(axis=0))
+                np.matmul(one[a:b].T, z[a:b], out=grad[i])
+                np.matmul(z[a:b], turned[k], out=part[a:b])
+            back += part
+            step(f"to_{name}", grad[:, :DIM], who)
+            step(f"{name}_bias", grad[:, DIM], who)
+        grad = one.T @ p
+        step("to_class", grad[:DIM])
+        step("class_bias", grad[DIM])
         back *= 1 - h * h
-        moves = (back[None] * w["place"][:, None]).reshape(-1, DIM)
+        place = w["place"].copy()
         step("offset", back.sum(axis=0))
         step("place", np.stack([np.einsum("ij,ij->j", back, e) for e in seen]))
         ids = c.ravel()
         order = np.argsort(ids.astype(np.uint16) if width**3 < 1 << 16 else ids, kind="stable")  # of 16 bits it is a radix sort
         ids = ids[order]
         first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        total = np.add.reduceat(moves[order], first, axis=0)
+        moves = back.take(order % len(t), axis=0)
+        moves *= place.take(order // len(t), axis=0)
+        total = np.add.reduceat(moves, first, axis=0)
         who = ids[first]
         total[who == width**3] = 0
         step("embed", total, who)
@@ -291,7 +328,7 @@ def train_round(docs: DataFrame, model: Model, round_: int, rounds: int = ROUNDS
     if not rows:
         return model
     v = np.concatenate([np.frombuffer(r["v"], np.float32) for r in sorted(rows, key=lambda r: r["part"])])
-    return Model(tokens, _unflat(v, weights), width, model.bucket_words, model.counts)
+    return replace(model, weights=_unflat(v, weights))
 
 
 def train(docs: DataFrame, rounds: int = ROUNDS) -> Model:
@@ -309,7 +346,7 @@ def pseudo_likelihood(docs: DataFrame, model: Model) -> DataFrame:
     words that the corpus does not have share the one that is left. A null text or one without a word has no
     tokens, log-likelihood 0, and null mean and perplexity. Repeated rows score alike. An empty table gives an empty result.
     """
-    tokens, weights, width = model.tokens, model.weights, model.width
+    tokens, weights, width, near = model.tokens, model.weights, model.width, model.near
     of_bucket = np.log(model.bucket_words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,6 +357,9 @@ def pseudo_likelihood(docs: DataFrame, model: Model) -> DataFrame:
             own = log_probabilities(weights, ids, contexts(ids, bounds, width**3))
             rare = np.flatnonzero(ids >= first)
             own[rare] -= of_bucket[ids[rare] - first]
+            logs = np.array([near.get(words[i], -1.0) for i in rare.tolist()])
+            own[rare[logs >= 0]] += logs[logs >= 0]
+            rare = rare[logs < 0]  # their counts come by a join
             total = np.concatenate([[0.0], np.cumsum(own)])
             ends = np.searchsorted(rare, bounds).astype(np.int32)
             yield pa.RecordBatch.from_arrays([

@@ -116,3 +116,20 @@ def test_every_document_moves_the_weights(spark):
     start, model = M.vocabulary(docs), M.train(docs)
     at = [start.tokens[f"only{i}".encode()] for i in range(200)]
     assert (start.weights["embed"][at] != model.weights["embed"][at]).any(axis=1).all()
+
+
+def test_sums_of_exponentials_are_safe_for_scores_of_any_size():
+    z = np.array([[1.0, 2.0, -1.0], [300.0, 299.0, -400.0], [-300.0, -301.0, -302.0]], np.float32)
+    _, total, off = M._exponentials(z)
+    exact = np.log(np.exp(z.astype(float) - z.max(axis=1, keepdims=True)).sum(axis=1)) + z.max(axis=1)
+    assert np.allclose(np.log(total) + off, exact)
+
+
+def test_counts_that_tasks_hold_spare_the_join(spark):
+    words = [f"w{i}" for i in range(9000) for _ in range(1 + i % 7)]
+    docs = spark.createDataFrame([(i, " ".join(words[i::20])) for i in range(20)], "doc_id long, text string")
+    model = M.vocabulary(docs)
+    assert len(model.near) == 9000 - M.first_bucket(model.width)
+    held, joined = (sorted(map(tuple, M.pseudo_likelihood(docs, m).collect())) for m in (model, M.replace(model, near={})))
+    for a, b in zip(held, joined, strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6
