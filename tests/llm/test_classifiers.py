@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import compression_quality, conv_toxicity
+from ledgerlake.llm import compression_quality, conv_toxicity, labelled
 from ledgerlake.llm.common import held_out
 
 FOLDER = "/root/testdata/sf0.1"
@@ -58,3 +58,19 @@ def test_threshold():
     s, y = np.array([0.1, 0.2, 0.3, 0.8, 0.9]), np.array([0, 0, 0, 1, 1])
     assert 0.3 < conv_toxicity.threshold(s, y) < 0.8
     assert conv_toxicity.threshold(s, np.zeros(5, int)) == conv_toxicity.CUT
+
+
+def test_every_labelled_text_counts(spark, monkeypatch):
+    monkeypatch.setattr(labelled, "PER_CLASS", 20)
+    monkeypatch.setattr(conv_toxicity, "TASK_TEXTS", 100)
+    rows = [(i, ("vile " if i % 2 else "kind ") + f"word{i} " * (6000 if i % 100 == 0 else 3), "en") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (docs.doc_id % 2).cast("int").alias("toxic"))
+    learnt = labelled.learnt(docs, labels, "toxic", more=("lang",))
+    counts, n = conv_toxicity.bucket_counts(learnt)
+    assert n.sum() == learnt.count() == docs.filter(~held_out()).count()
+    assert counts[:, conv_toxicity._bucket(b"vile")].tolist() == [0, n[1]] and counts[:, conv_toxicity._bucket(b"kind")].tolist() == [n[0], 0]
+    model = conv_toxicity.train(docs, labels)
+    assert sum(c.sum() for c in conv_toxicity.score_counts(learnt, model).values()) == n.sum()
+    got = held_out_rows(conv_toxicity.toxicity_scores(docs, model), labels, "toxic")
+    assert (got[:, 0] == got[:, 1]).all()
