@@ -81,21 +81,33 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _near(rest: DataFrame, most: int) -> dict[bytes, float]:
+    """Logarithms of the counts of the commonest words, at most so many: all from a level of counts on, found without a sort."""
+    level = F.floor(F.log2("n") * 8)
+    words, least = 0, None
+    for r in sorted(rest.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):  # at most 512
+        words += r["count"]
+        if words > most:
+            break
+        least = r["level"]
+    return {} if least is None else {bytes(r["word"]): math.log(r["n"]) for r in rest.filter(level >= least).collect()}
+
+
 def vocabulary(docs: DataFrame) -> Model:
     """Untrained model over the commonest words of all documents: it gives every word its share of the corpus."""
     counts = materialize(docs.select(text_of().alias("text")).mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     width = max(LEAST_WIDTH, math.ceil((4 * math.sqrt(counts.count())) ** (1 / 3)))
     known, buckets = first_bucket(width), width**2
-    commonest = counts.orderBy(F.col("n").desc(), "word").limit(known * (1 + NEAR)).collect()
-    top = commonest[:known]
+    top = counts.orderBy(F.col("n").desc(), "word").limit(known).collect()
     n = np.zeros(width**3)
     n[: len(top)] = [r["n"] for r in top]
-    bucket_words = np.zeros(buckets)
+    bucket_words, near = np.zeros(buckets), {}
     if len(top) == known:
         last = top[-1]
         rest = counts.filter((F.col("n") < last["n"]) | (F.col("n") == last["n"]) & (F.col("word") > F.lit(bytearray(last["word"]))))
         for r in rest.groupBy((F.crc32("word") % buckets).alias("bucket")).agg(F.sum("n").alias("n")).collect():
             bucket_words[r["bucket"]] = r["n"]
+        near = _near(rest, NEAR * known)
     n[known:] = bucket_words
     share = (n + 0.5).reshape(width, width, width)
     r = np.random.default_rng(1)
@@ -106,13 +118,26 @@ def vocabulary(docs: DataFrame) -> Model:
         "to_word": r.normal(0, 0.02, (width**2, DIM, width)), "word_bias": np.log(share / share.sum(axis=2, keepdims=True)).reshape(width**2, width),
     }
     weights["embed"][-1] = 0
-    return Model({bytes(row["word"]): i for i, row in enumerate(top)}, {k: v.astype(np.float32) for k, v in weights.items()}, width, bucket_words, counts,
-                 {bytes(row["word"]): math.log(row["n"]) for row in commonest[known:]})
+    return Model({bytes(row["word"]): i for i, row in enumerate(top)}, {k: v.astype(np.float32) for k, v in weights.items()}, width, bucket_words, counts, near)
+
+
+class Tokens(dict):
+    """Token of a word, its bucket's if it has none of its own; buckets are kept while not too many words are held."""
+
+    def __init__(self, known: dict[bytes, int], width: int):
+        super().__init__(known)
+        self.first, self.buckets = first_bucket(width), width**2
+
+    def __missing__(self, word: bytes) -> int:
+        token = self.first + zlib.crc32(word) % self.buckets
+        if len(self) < 1 << 20:
+            self[word] = token
+        return token
 
 
 def tokens_of(words: list[bytes], known: dict[bytes, int], width: int) -> np.ndarray:
-    get, first, buckets, crc = known.get, first_bucket(width), width**2, zlib.crc32
-    return np.array([k if (k := get(w)) is not None else first + crc(w) % buckets for w in words], np.int32)
+    held = known if isinstance(known, Tokens) else Tokens(known, width)
+    return np.fromiter(map(held.__getitem__, words), np.int32, len(words))
 
 
 def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
@@ -296,12 +321,12 @@ def train_round(docs: DataFrame, model: Model, round_: int, rounds: int = ROUNDS
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = {k: v.copy() for k, v in weights.items()}
         sums = {k: np.full_like(v, 1e-4) for k, v in w.items()}
-        seen = 0
+        seen, held = 0, Tokens(tokens, width)
         for batch in slices(batches, "text"):
             words, bounds = words_of(batch.column("text").to_pylist())
             if not words:
                 continue
-            ids = tokens_of(words, tokens, width)
+            ids = tokens_of(words, held, width)
             around = contexts(ids, bounds, width**3)
             mixed = np.random.default_rng([round_, len(ids)]).permutation(len(ids))
             train_on(w, ids[mixed], around[:, mixed], sums)
@@ -350,10 +375,10 @@ def pseudo_likelihood(docs: DataFrame, model: Model) -> DataFrame:
     of_bucket = np.log(model.bucket_words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = first_bucket(width)
+        first, held = first_bucket(width), Tokens(tokens, width)
         for batch in slices(batches, "text", 1 << 20):
             words, bounds = words_of(batch.column("text").to_pylist())
-            ids = tokens_of(words, tokens, width)
+            ids = tokens_of(words, held, width)
             own = log_probabilities(weights, ids, contexts(ids, bounds, width**3))
             rare = np.flatnonzero(ids >= first)
             own[rare] -= of_bucket[ids[rare] - first]

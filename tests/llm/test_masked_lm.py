@@ -129,7 +129,7 @@ def test_counts_that_tasks_hold_spare_the_join(spark):
     words = [f"w{i}" for i in range(9000) for _ in range(1 + i % 7)]
     docs = spark.createDataFrame([(i, " ".join(words[i::20])) for i in range(20)], "doc_id long, text string")
     model = M.vocabulary(docs)
-    assert len(model.near) == 9000 - M.first_bucket(model.width)
+    assert len(model.near) == 9000 - M.first_bucket(model.width) and len(M._near(model.counts, 4000)) == 3856
     held, joined = (sorted(map(tuple, M.pseudo_likelihood(docs, m).collect())) for m in (model, M.replace(model, near={})))
     for a, b in zip(held, joined, strict=True):
         assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6
