@@ -74,3 +74,36 @@ def test_every_labelled_text_counts(spark, monkeypatch):
     assert sum(c.sum() for c in conv_toxicity.score_counts(learnt, model).values()) == n.sum()
     got = held_out_rows(conv_toxicity.toxicity_scores(docs, model), labels, "toxic")
     assert (got[:, 0] == got[:, 1]).all()
+
+
+def shuffles_of_texts(plan) -> int:
+    children = plan.children()
+    own = plan.nodeName() == "Exchange" and "text#" in plan.output().toString()
+    return own + sum(shuffles_of_texts(children.apply(i)) for i in range(children.size()))
+
+
+def test_texts_to_learn_from_are_shuffled_once(spark, monkeypatch):
+    """However large the labels are, so what is shuffled does not grow faster than the texts."""
+    monkeypatch.setattr(conv_toxicity, "TASK_TEXTS", 100)
+    docs = spark.createDataFrame([(i, f"word{i} here", "en") for i in range(900)] + [(7, "another text", None), (None, "no id", "en")], "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (docs.doc_id % 2).cast("int").alias("toxic")).filter("doc_id < 800")
+    plans, written = [], conv_toxicity.materialize
+
+    def seen(df, purpose):
+        plans.append(df)
+        return written(df, purpose)
+
+    monkeypatch.setattr(conv_toxicity, "materialize", seen)
+    for threshold in ("-1", "10485760"):
+        with_conf = {"spark.sql.autoBroadcastJoinThreshold": threshold, "spark.sql.adaptive.enabled": "false"}
+        before = {k: spark.conf.get(k) for k in with_conf}
+        try:
+            for k, v in with_conf.items():
+                spark.conf.set(k, v)
+            conv_toxicity.train(docs, labels)
+            assert shuffles_of_texts(plans[-1]._jdf.queryExecution().executedPlan()) == 1
+            got = sorted(r["doc_id"] for r in plans[-1].collect())
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        assert got == sorted(r["doc_id"] for r in docs.filter(~held_out() & F.col("doc_id").isNotNull() & (F.col("doc_id") < 800)).collect())
