@@ -18,12 +18,12 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,25 +60,23 @@ def first_bucket(width: int) -> int:
     return width**3 - width**2
 
 
-def bucket_of(word: bytes, width: int) -> int:
-    return zlib.crc32(word) % width**2
-
-
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n): counts of a partition, handed on whenever many words are held."""
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
-
-    held: Counter[bytes] = Counter()
-    for batch in batches:
-        for t in batch.column("text").to_pylist():
-            held.update(t.lower().split())
-        if len(held) > 1 << 19:
-            yield out()
-            held = Counter()
+    held: list[pa.Table] = []
+
+    def merged() -> pa.Table:
+        return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+    for batch in slices(batches, "text", 1 << 22):
+        words, _ = words_of(batch.column("text"))
+        n = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
+        held.append(pa.table({"word": words.dictionary, "n": n}))
+        if sum(map(len, held)) > 1 << 20:
+            held = [merged()]
+            if len(held[0]) > 1 << 19:
+                yield from held.pop().to_batches()
     if held:
-        yield out()
+        yield from merged().to_batches()
 
 
 def _near(rest: DataFrame, most: int) -> dict[bytes, float]:
@@ -121,33 +119,32 @@ def vocabulary(docs: DataFrame) -> Model:
     return Model({bytes(row["word"]): i for i, row in enumerate(top)}, {k: v.astype(np.float32) for k, v in weights.items()}, width, bucket_words, counts, near)
 
 
-class Tokens(dict):
-    """Token of a word, its bucket's if it has none of its own; buckets are kept while not too many words are held."""
+def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Words of all texts, in lower case, each different one once in the dictionary, and the first of each text."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words, first = split.flatten().view(pa.binary()), split.offsets.to_numpy()
+    full = pc.binary_length(words).to_numpy() > 0  # white space at an end of a text leaves an empty word
+    if not full.all():
+        words, first = words.filter(pa.array(full)), np.concatenate([[0], np.cumsum(full)])[first]
+    return words.dictionary_encode(), first
 
-    def __init__(self, known: dict[bytes, int], width: int):
-        super().__init__(known)
-        self.first, self.buckets = first_bucket(width), width**2
 
-    def __missing__(self, word: bytes) -> int:
-        token = self.first + zlib.crc32(word) % self.buckets
-        if len(self) < 1 << 20:
-            self[word] = token
-        return token
+def tokens_of(words: pa.Array, known: pa.Array, width: int) -> np.ndarray:
+    """Tokens of words, which are their places in `known`; a word without one has its bucket's."""
+    out = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy().copy()
+    rare = np.flatnonzero(out < 0)
+    buckets = np.fromiter(map(zlib.crc32, _list(words.take(pa.array(rare)))), np.int64, len(rare))
+    out[rare] = first_bucket(width) + buckets % width**2
+    return out
 
 
-def tokens_of(words: list[bytes], known: dict[bytes, int], width: int) -> np.ndarray:
-    held = known if isinstance(known, Tokens) else Tokens(known, width)
-    return np.fromiter(map(held.__getitem__, words), np.int32, len(words))
+def _list(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()
 
 
-def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Words of all texts and the first of each text."""
-    words: list[bytes] = []
-    bounds = [0]
-    for t in texts:
-        words += t.lower().split()
-        bounds.append(len(words))
-    return words, np.array(bounds)
+def by_token(tokens: dict[bytes, int]) -> pa.Array:
+    """The words with a token, in the order of their tokens."""
+    return pa.array(sorted(tokens, key=tokens.__getitem__), pa.binary())
 
 
 def contexts(ids: np.ndarray, bounds: np.ndarray, pad: int) -> np.ndarray:
@@ -162,6 +159,11 @@ def contexts(ids: np.ndarray, bounds: np.ndarray, pad: int) -> np.ndarray:
     return out
 
 
+def _ordered(t: np.ndarray, width: int) -> np.ndarray:
+    """Order of tokens; equal ones keep theirs."""
+    return np.argsort(t.astype(np.uint16) if width**3 < 1 << 16 else t, kind="stable")  # of 16 bits it is a radix sort
+
+
 def _hidden(w: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """(hidden layer, embeddings by side)."""
     seen = [w["embed"].take(around[j], axis=0) for j in range(len(SIDE))]
@@ -192,9 +194,9 @@ def _scores(w: dict[str, np.ndarray], h: np.ndarray, kind: np.ndarray, node: np.
     groups, words = np.empty((len(h), width), np.float32), np.empty((len(h), width), np.float32)
     to_group, to_word = _with_bias(w, "to_group", "group_bias"), _with_bias(w, "to_word", "word_bias")
     for k, a, b in classes:
-        np.matmul(h[a:b], to_group[k], out=groups[a:b])
+        np.dot(h[a:b], to_group[k], groups[a:b])
     for k, a, b in nodes:
-        np.matmul(h[a:b], to_word[k], out=words[a:b])
+        np.dot(h[a:b], to_word[k], words[a:b])
     return (h @ _with_bias(w, "to_class", "class_bias"), groups, words), classes, nodes
 
 
@@ -226,18 +228,23 @@ def log_probabilities(w: dict[str, np.ndarray], target: np.ndarray, around: np.n
     """Of every token, given the tokens on both sides."""
     width = w["to_class"].shape[1]
     out = np.zeros(len(target))
-    for start in range(0, len(target), 2 * BATCH):
-        t = target[start : start + 2 * BATCH]
-        order = np.argsort(t, kind="stable")
-        kind, node, picks = _choices(t[order], width)
-        h, _ = _hidden(w, around[:, start : start + 2 * BATCH][:, order])
-        levels, _, _ = _scores(w, _and_ones(h), kind, node)
-        own, rows = np.zeros(len(t)), np.arange(len(t))
+    every = _ordered(target, width)  # so few groups are in one batch
+    placed = [w["embed"] * p for p in w["place"]]
+    for start in range(0, len(target), BATCH):
+        order = every[start : start + BATCH]
+        kind, node, picks = _choices(target[order], width)
+        h = np.ones((len(order), DIM + 1), np.float32)
+        inner = np.repeat(w["offset"][None], len(order), axis=0)
+        for j, e in enumerate(placed):
+            inner += e.take(around[j].take(order), axis=0)
+        np.tanh(inner, out=h[:, :DIM])
+        levels, _, _ = _scores(w, h, kind, node)
+        own, rows = np.zeros(len(order)), np.arange(len(order)) * width
         for z, pick in zip(levels, picks, strict=True):
             _, total, off = _exponentials(z)
-            own += z[rows, pick] - off
+            own += z.ravel().take(rows + pick) - off
             own -= np.log(total)
-        out[start + order] = own
+        out[order] = own
     return out
 
 
@@ -246,23 +253,26 @@ def train_on(w: dict[str, np.ndarray], target: np.ndarray, around: np.ndarray, s
     width = w["to_class"].shape[1]
 
     def step(name: str, grad: np.ndarray, at=slice(None)) -> None:
-        s = sums[name][at] + grad * grad
+        s = grad * grad
+        s += sums[name][at]
         sums[name][at] = s
-        w[name][at] -= RATE * grad / np.sqrt(s)
+        np.sqrt(s, out=s)
+        np.divide(RATE * grad, s, out=s)
+        w[name][at] -= s
 
     for start in range(0, len(target), BATCH):
-        order = np.argsort(target[start : start + BATCH], kind="stable")
+        order = _ordered(target[start : start + BATCH], width)
         t, c = target[start + order], around[:, start + order]
         kind, node, picks = _choices(t, width)
         h, seen = _hidden(w, c)
         one = _and_ones(h)
         levels, classes, nodes = _scores(w, one, kind, node)
-        rows, scale = np.arange(len(t)), np.float32(1 / len(t))
+        rows, scale = np.arange(len(t)) * width, np.float32(1 / len(t))
         slopes = []  # gradients of the scores
         for z, pick in zip(levels, picks, strict=True):
             z, total, _ = _exponentials(z)
             z *= (scale / total)[:, None]
-            z[rows, pick] -= scale
+            z.ravel()[rows + pick] -= scale
             slopes.append(z)
         p, groups, words = slopes
         back = p @ w["to_class"].T
@@ -270,10 +280,10 @@ def train_on(w: dict[str, np.ndarray], target: np.ndarray, around: np.ndarray, s
         for name, z, spans in (("group", groups, classes), ("word", words, nodes)):
             who = [k for k, _, _ in spans]
             grad = np.empty((len(who), DIM + 1, width), np.float32)
-            turned = w[f"to_{name}"].transpose(0, 2, 1)
+            turned = np.ascontiguousarray(w[f"to_{name}"].transpose(0, 2, 1))
             for i, (k, a, b) in enumerate(spans):
-                np.matmul(one[a:b].T, z[a:b], out=grad[i])
-                np.matmul(z[a:b], turned[k], out=part[a:b])
+                np.dot(one[a:b].T, z[a:b], grad[i])
+                np.dot(z[a:b], turned[k], part[a:b])
             back += part
             step(f"to_{name}", grad[:, :DIM], who)
             step(f"{name}_bias", grad[:, DIM], who)
@@ -285,13 +295,12 @@ def train_on(w: dict[str, np.ndarray], target: np.ndarray, around: np.ndarray, s
         step("offset", back.sum(axis=0))
         step("place", np.stack([np.einsum("ij,ij->j", back, e) for e in seen]))
         ids = c.ravel()
-        order = np.argsort(ids.astype(np.uint16) if width**3 < 1 << 16 else ids, kind="stable")  # of 16 bits it is a radix sort
-        ids = ids[order]
-        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        moves = back.take(order % len(t), axis=0)
-        moves *= place.take(order // len(t), axis=0)
-        total = np.add.reduceat(moves, first, axis=0)
-        who = ids[first]
+        who = np.flatnonzero(np.bincount(ids, minlength=width**3 + 1))
+        at = np.zeros(width**3 + 1, np.int64)
+        at[who] = np.arange(len(who))
+        at, turned, total = at[ids], back.T.astype(np.float64, order="C"), np.empty((len(who), DIM), np.float32)
+        for d in range(DIM):
+            total[:, d] = np.bincount(at, np.multiply.outer(place[:, d], turned[d]).ravel(), len(who))
         total[who == width**3] = 0
         step("embed", total, who)
 
@@ -315,21 +324,21 @@ def train_round(docs: DataFrame, model: Model, round_: int, rounds: int = ROUNDS
     input files.
     """
     parts = 16
-    tokens, weights, width = model.tokens, model.weights, model.width
+    known, weights, width = by_token(model.tokens), model.weights, model.width
     cut = -(-_flat(weights).size // parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = {k: v.copy() for k, v in weights.items()}
         sums = {k: np.full_like(v, 1e-4) for k, v in w.items()}
-        seen, held = 0, Tokens(tokens, width)
+        seen = 0
         for batch in slices(batches, "text"):
-            words, bounds = words_of(batch.column("text").to_pylist())
-            if not words:
+            words, bounds = words_of(batch.column("text"))
+            if not len(words):
                 continue
-            ids = tokens_of(words, held, width)
+            ids = tokens_of(words.dictionary, known, width)[words.indices]
             around = contexts(ids, bounds, width**3)
             mixed = np.random.default_rng([round_, len(ids)]).permutation(len(ids))
-            train_on(w, ids[mixed], around[:, mixed], sums)
+            train_on(w, ids[mixed], around.take(mixed, axis=1), sums)
             seen += len(ids)
         if seen:
             v = _flat(w)
@@ -371,25 +380,28 @@ def pseudo_likelihood(docs: DataFrame, model: Model) -> DataFrame:
     words that the corpus does not have share the one that is left. A null text or one without a word has no
     tokens, log-likelihood 0, and null mean and perplexity. Repeated rows score alike. An empty table gives an empty result.
     """
-    tokens, weights, width, near = model.tokens, model.weights, model.width, model.near
-    of_bucket = np.log(model.bucket_words + 1)
+    known, weights, width, near = by_token(model.tokens), model.weights, model.width, model.near
+    of_bucket, first = np.log(model.bucket_words + 1), first_bucket(model.width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, held = first_bucket(width), Tokens(tokens, width)
         for batch in slices(batches, "text", 1 << 20):
-            words, bounds = words_of(batch.column("text").to_pylist())
-            ids = tokens_of(words, held, width)
+            words, bounds = words_of(batch.column("text"))
+            each, at = words.dictionary, words.indices.to_numpy()
+            tokens = tokens_of(each, known, width)
+            ids = tokens[at]
             own = log_probabilities(weights, ids, contexts(ids, bounds, width**3))
-            rare = np.flatnonzero(ids >= first)
-            own[rare] -= of_bucket[ids[rare] - first]
-            logs = np.array([near.get(words[i], -1.0) for i in rare.tolist()])
-            own[rare[logs >= 0]] += logs[logs >= 0]
-            rare = rare[logs < 0]  # their counts come by a join
+            rare = np.flatnonzero(tokens >= first)
+            logs = np.array([near.get(x, -1.0) for x in _list(each.take(pa.array(rare)))])
+            share, joined = np.zeros(len(each)), np.zeros(len(each), bool)  # of the different words
+            share[rare] = np.maximum(logs, 0) - of_bucket[tokens[rare] - first]
+            joined[rare] = logs < 0  # their counts come by a join
+            own += share[at]
+            rare = np.flatnonzero(joined[at])
             total = np.concatenate([[0.0], np.cumsum(own)])
             ends = np.searchsorted(rare, bounds).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(np.diff(bounds)), pa.array(total[bounds[1:]] - total[bounds[:-1]]),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array([words[i] for i in rare.tolist()], pa.binary()))], ["doc_id", "n_tokens", "score", "rare"])
+                batch.column("doc_id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(total[bounds[1:]] - total[bounds[:-1]]),
+                pa.ListArray.from_arrays(pa.array(ends), each.take(pa.array(at[rare])))], ["doc_id", "n_tokens", "score", "rare"])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     scored = plain.mapInArrow(run, "doc_id long, n_tokens long, score double, rare array<binary>")

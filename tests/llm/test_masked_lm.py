@@ -1,8 +1,10 @@
 import math
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlake.llm import masked_lm as M
@@ -133,3 +135,39 @@ def test_counts_that_tasks_hold_spare_the_join(spark):
     held, joined = (sorted(map(tuple, M.pseudo_likelihood(docs, m).collect())) for m in (model, M.replace(model, near={})))
     for a, b in zip(held, joined, strict=True):
         assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6
+
+
+def test_words_are_those_of_bytes_split():
+    r = random.Random(4)
+    parts = [b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r", b"\x1c", b"\x85", b"\x00", b"a", b"B", b"Gr\xc3\x96\xc3\x9fe", b"\xff", b"x" * 50]
+    texts = [b"", b"  ", *(b"".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(300))]
+    words, bounds = M.words_of(pa.array([b"before", *texts], pa.binary())[1:])
+    got = words.dictionary_decode().to_pylist()
+    assert [got[a:b] for a, b in zip(bounds, bounds[1:])] == [t.lower().split() for t in texts]
+    assert len(set(words.dictionary.to_pylist())) == len(words.dictionary)
+    known = M.by_token({b"a": 1, b"b": 0})
+    assert M.tokens_of(pa.array([b"b", b"new", b"a"]), known, 4).tolist() == [0, 48 + zlib.crc32(b"new") % 16, 1]
+
+
+def test_counts_of_a_partition_that_holds_many_words(monkeypatch):
+    rows = [b" ".join(b"w%d" % (i % 400_000) for i in range(k, k + 300_000)) for k in range(0, 1_500_000, 300_000)]
+    total = Counter()
+    for batch in M._counted(iter([pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["text"])] * 2)):
+        for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+            total[word] += n
+    assert total == Counter(w for t in rows * 2 for w in t.split())
+
+
+def test_few_groups_of_words_are_in_one_batch_of_scores(monkeypatch):
+    """The products of a slice are about as many as its groups, not as many as groups times batches."""
+    monkeypatch.setattr(M, "BATCH", 256)
+    r = np.random.default_rng(5)
+    width, n, spans, found = 4, 8192, M._spans, []
+    shapes = {"embed": (width**3 + 1, M.DIM), "place": (4, M.DIM), "offset": (M.DIM,), "to_class": (M.DIM, width), "class_bias": (width,), "to_group": (width, M.DIM, width),
+              "group_bias": (width, width), "to_word": (width**2, M.DIM, width), "word_bias": (width**2, width)}
+    w = {k: r.normal(0, 0.5, s).astype(np.float32) for k, s in shapes.items()}
+    t, c = r.integers(0, width**3, n).astype(np.int32), r.integers(0, width**3, (4, n)).astype(np.int32)
+    monkeypatch.setattr(M, "_spans", lambda keys: found.extend(spans(keys)) or spans(keys))
+    at_once = M.log_probabilities(w, t, c)
+    assert len(found) <= width + width**2 + 2 * n // 256
+    assert np.allclose(at_once, np.concatenate([M.log_probabilities(w, t[i : i + 100], c[:, i : i + 100]) for i in range(0, n, 100)]), atol=1e-4)
